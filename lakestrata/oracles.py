@@ -10,8 +10,8 @@ from lakestrata.sources.testviews import duckdb_view
 STAMP = "TIMESTAMP '2024-01-01 00:00:00'"
 
 
-def _detail(table: DetailTable, raw: str) -> str:
-    columns = []
+def _detail(table: DetailTable, raw: str, *carried: str) -> str:
+    columns = list(carried)
     for field in table.schema:
         name, dtype = field.name, field.dataType.simpleString()
         if name in table.audit:
@@ -59,9 +59,15 @@ _CURRENT = f"""SELECT id, pt_created_date, seq, amount, status FROM (
 _PAYMENTS = _detail(PAYMENTS, "pay")
 _DETAILS = _detail(TRANSACTION_DETAILS, "txn")
 
-_KEPT = f"""SELECT * FROM ({_PAYMENTS}) payments
+_PAYMENTS_FEED = _detail(PAYMENTS, "pay_feed")
+_DETAILS_FEED = _detail(TRANSACTION_DETAILS, "txn_feed", "_row_kind")
+
+
+def _unexpired(rows: str, as_of: str) -> str:
+    return f"""SELECT * FROM ({rows}) payments
 WHERE strptime(CAST(pt_created_date AS VARCHAR), '%Y%m%d')
-  >= TIMESTAMP '2005-10-01 00:00:00' - INTERVAL 3650 DAY"""
+  >= TIMESTAMP '{as_of} 00:00:00' - INTERVAL 3650 DAY"""
+
 
 _MODEL = f"""SELECT transaction_id, user_id, amount, currency, status,
   transaction_time AS ods_ingested_at, {STAMP} AS dwd_updated_at
@@ -78,22 +84,22 @@ ORACLE_SQL: dict[str, str] = {
   min(pt_created_date) AS first_partition, max(pt_created_date) AS last_partition
 FROM ({_CURRENT}) current_rows GROUP BY id HAVING count(*) > 1""",
     "append_changes": _FEED,
-    "table_payments": _PAYMENTS,
+    "table_payments": _PAYMENTS_FEED,
     "create_table_once": _NO_BETS,
-    "upsert_transaction_details": f"""SELECT * EXCLUDE (newest) FROM (
-  SELECT *, row_number() OVER (
-    PARTITION BY id, pt_created_date ORDER BY amount DESC, channel DESC, payment_id DESC) AS newest
-  FROM ({_DETAILS}) details) ranked WHERE newest = 1""",
-    "stream_payments": _PAYMENTS,
+    "upsert_transaction_details": f"""SELECT * EXCLUDE (newest, _row_kind) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, pt_created_date ORDER BY payment_id DESC) AS newest
+  FROM ({_DETAILS_FEED}) details WHERE _row_kind <> '-U') ranked
+WHERE newest = 1 AND _row_kind <> '-D'""",
+    "stream_payments": _PAYMENTS_FEED,
     "stream_unpivot": _BETS,
     "stream_upsert": _CURRENT,
     "multi_sink_load": f"""SELECT 'payments' AS sink, CAST(id AS VARCHAR) AS id, amount, pt_created_date
-FROM ({_PAYMENTS}) payments
+FROM ({_PAYMENTS_FEED}) payments
 UNION ALL
-SELECT 'transaction_details' AS sink, id, amount, pt_created_date FROM ({_DETAILS}) details""",
+SELECT 'transaction_details' AS sink, id, amount, pt_created_date FROM ({_DETAILS_FEED}) details""",
     "resumed_load": _FEED,
-    "expire_partitions": _KEPT,
-    "drop_expired_partitions": _KEPT,
+    "expire_partitions": _unexpired(_PAYMENTS, "2005-10-01"),
+    "drop_expired_partitions": _unexpired(_PAYMENTS_FEED, "2034-01-10"),
     "compact_partitions": _FEED,
     "backfill_order": _PAYMENTS,
     "model_success_transactions": _MODEL,

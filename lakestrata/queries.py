@@ -22,7 +22,7 @@ from lakestrata.operators import (
     read_current,
     upsert,
 )
-from lakestrata.operators.versions import INSERT, ROW_KIND
+from lakestrata.operators.versions import ROW_KIND
 from lakestrata.plans.ewallet import PAYMENTS, TRANSACTION_DETAILS, keyed_target, to_detail
 from lakestrata.plans.models import run_model, success_transactions
 from lakestrata.plans.ratings import bets, no_bets
@@ -36,6 +36,7 @@ from lakestrata.streaming import Load, run_loads
 # Fixed so that a query and its check stamp the same time.
 AS_OF = dt.datetime(2024, 1, 1)
 EXPIRY_AS_OF = dt.date(2005, 10, 1)
+FEED_EXPIRY_AS_OF = dt.date(2034, 1, 10)
 DATABASE = "lakestrata_dwd"
 FEED_KEYS = ("id", "pt_created_date")
 FEED_SCHEMA = (
@@ -50,6 +51,7 @@ FEED_SCHEMA = (
 
 payments = to_detail(PAYMENTS, AS_OF)
 transaction_details = to_detail(TRANSACTION_DETAILS, AS_OF)
+detail_changes = to_detail(TRANSACTION_DETAILS, AS_OF, carry=(ROW_KIND,))
 
 
 def dwd_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +111,7 @@ def table_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, location = _fresh_table(spark, "payments")
     for _ in range(2):
         create_table(spark, PAYMENTS, name, location, bucketed=True)
-    insert_into(dwd_payments(spark, sf_dir), name, PAYMENTS.partition)
+    insert_into(payments(view(spark, sf_dir, "pay_feed")), name, PAYMENTS.partition)
     return spark.table(name)
 
 
@@ -125,9 +127,8 @@ def create_table_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_transaction_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The detail table kept as one row per key; the batch is run, and then repeated."""
     folder = work_dir(spark, "details")
-    order = ("amount", "channel", "payment_id")
-    target = keyed_target(TRANSACTION_DETAILS, f"{folder}/table", order)
-    changes = dwd_transaction_details(spark, sf_dir).withColumn(ROW_KIND, F.lit(INSERT))
+    target = keyed_target(TRANSACTION_DETAILS, f"{folder}/table", seq=("payment_id",))
+    changes = detail_changes(view(spark, sf_dir, "txn_feed"))
     for _ in range(2):
         upsert(spark, target, changes, f"{folder}/stage", "backfill")
     return read_current(target.read(spark))
@@ -146,7 +147,7 @@ def _append_load(spark: SparkSession, sf_dir: str, raw: str, transform, folder:
 
 def stream_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "stream-payments")
-    load = _append_load(spark, sf_dir, "pay", payments, folder, PAYMENTS.partition)
+    load = _append_load(spark, sf_dir, "pay_feed", payments, folder, PAYMENTS.partition)
     run_loads(spark, [load], bounded=True)
     return spark.read.parquet(load.append_to)
 
@@ -168,8 +169,8 @@ def stream_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def multi_sink_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both detail tables loaded side by side."""
     plans = {
-        "payments": ("pay", payments),
-        "transaction_details": ("txn", transaction_details),
+        "payments": ("pay_feed", payments),
+        "transaction_details": ("txn_feed", transaction_details),
     }
     loads = {
         sink: _append_load(
@@ -213,9 +214,9 @@ def dropped_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored table after its expired partitions were dropped."""
     name, location = _fresh_table(spark, "expiring")
     create_table(spark, PAYMENTS, name, location)
-    insert_into(dwd_payments(spark, sf_dir), name, PAYMENTS.partition)
+    insert_into(payments(view(spark, sf_dir, "pay_feed")), name, PAYMENTS.partition)
     drop_expired_partitions(
-        spark, name, PAYMENTS.partition, PAYMENTS.partition_format, PAYMENTS.expire_days, EXPIRY_AS_OF
+        spark, name, PAYMENTS.partition, PAYMENTS.partition_format, PAYMENTS.expire_days, FEED_EXPIRY_AS_OF
     )
     return spark.table(name)
 

@@ -55,6 +55,40 @@ _TXN = _raw_columns(
     },
 )
 
+# The two contracts once more, fed by events: a month of busy days instead of
+# years of nearly empty ones, times with microseconds, and keys that change.
+_EVENT_DAY = f"CASE WHEN event_id % 10 = 0 THEN NULL ELSE {_day('ts')} END"
+
+_ROW_KIND = """CASE WHEN event_type = 'error' THEN '-D' WHEN event_type = 'click' THEN '-U'
+       WHEN event_type = 'signup' THEN '+I' ELSE '+U' END"""
+
+_PAY_FEED = _raw_columns(
+    PAYMENTS,
+    {
+        "Id": "event_id",
+        "PatronId": "CAST(user_id AS STRING)",
+        "Amount": _money("value"),
+        "Status": "event_type",
+        "CreatedTime": "ts",
+        "pt_created_date": _EVENT_DAY,
+    },
+)
+
+_TXN_FEED = (
+    _raw_columns(
+        TRANSACTION_DETAILS,
+        {
+            "Id": "CAST(user_id AS STRING)",
+            "PaymentId": "event_id",
+            "Amount": _money("value"),
+            "Channel": "event_type",
+            "CreatedTime": "ts",
+            "pt_created_date": _EVENT_DAY,
+        },
+    )
+    + f", {_ROW_KIND} AS _row_kind"
+)
+
 
 def _hand_columns() -> str:
     quantity = "CAST(l_quantity AS DECIMAL(18,2))"
@@ -89,9 +123,7 @@ def _hand_columns() -> str:
 
 
 _FEED = f"""user_id AS id, {_day('ts')} AS pt_created_date, event_id AS seq,
-  CASE WHEN event_type = 'error' THEN '-D' WHEN event_type = 'click' THEN '-U'
-       WHEN event_type = 'signup' THEN '+I' ELSE '+U' END AS row_kind,
-  {_money('value')} AS amount, event_type AS status"""
+  {_ROW_KIND} AS row_kind, {_money('value')} AS amount, event_type AS status"""
 
 _MODEL_SRC = """event_id AS transaction_id, user_id, CAST(value AS DECIMAL(18,2)) AS amount,
   'USD' AS currency, CASE WHEN event_type = 'purchase' THEN 'SUCCESS' ELSE upper(event_type) END AS status,
@@ -101,6 +133,8 @@ _MODEL_SRC = """event_id AS transaction_id, user_id, CAST(value AS DECIMAL(18,2)
 VIEWS = {
     "pay": ("orders", _PAY),
     "txn": ("lineitem", _TXN),
+    "pay_feed": ("events", _PAY_FEED),
+    "txn_feed": ("events", _TXN_FEED),
     "wide": ("lineitem", _hand_columns()),
     "feed": ("events", _FEED),
     "model_src": ("events", _MODEL_SRC),

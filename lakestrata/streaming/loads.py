@@ -37,6 +37,10 @@ def start_load(spark: SparkSession, load: Load, bounded: bool = False) -> Stream
     if (load.append_to is None) == (load.upsert_into is None):
         raise ValueError(f"load {load.name} needs exactly one sink")
     rows = load.transform(load.source(spark))
+    if load.append_to and load.partition:
+        # Without this every task would write a file into every partition it
+        # meets; adaptive execution still splits a hot partition.
+        rows = rows.hint("rebalance", load.partition)
     writer = rows.writeStream.queryName(load.name).option("checkpointLocation", load.checkpoint)
     writer = writer.trigger(availableNow=True) if bounded else writer.trigger(processingTime=load.interval)
     if load.append_to:
@@ -45,8 +49,6 @@ def start_load(spark: SparkSession, load: Load, bounded: bool = False) -> Stream
         return writer.format("parquet").outputMode("append").start(load.append_to)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        # The table side uses the caller's session, where adaptive execution is
-        # on; a stream's own session has it off.
         upsert(spark, load.upsert_into, batch, f"{load.checkpoint}/stage", str(batch_id))
 
     return writer.foreachBatch(merge).start()

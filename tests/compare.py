@@ -1,10 +1,8 @@
-"""Bag comparison of a Spark result with a DuckDB result, values and types of values alike."""
+"""Bag comparison of a Spark result with a DuckDB result, types included."""
 
 from __future__ import annotations
 
-import datetime as dt
-from collections import Counter
-from decimal import Decimal
+import tempfile
 from pathlib import Path
 
 import duckdb
@@ -17,29 +15,28 @@ TABLES = (
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
+    connection.execute("SET TimeZone = 'UTC'")
     for table in TABLES:
         file = Path(sf_dir) / f"{table}.parquet"
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{file}')")
     return connection
 
 
-def _value(value):
-    if isinstance(value, Decimal):
-        return ("decimal", str(value))
-    if isinstance(value, dt.datetime):
-        return ("timestamp", value.replace(tzinfo=None).isoformat())
-    return (type(value).__name__, value)
-
-
-def bag(columns: list[str], rows) -> tuple[list[str], Counter]:
-    order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(columns), Counter(tuple(_value(row[i]) for i in order) for row in rows)
-
-
-def spark_bag(df):
-    return bag(df.columns, df.collect())
-
-
-def duck_bag(connection, sql: str):
-    result = connection.execute(sql)
-    return bag([column[0] for column in result.description], result.fetchall())
+def assert_same_rows(connection, result, sql: str) -> int:
+    """Check names, types and the bag of rows; return how many there are."""
+    written = f"{tempfile.mkdtemp(prefix='lakestrata-result-')}/rows"
+    result.write.parquet(written)
+    connection.execute(f"CREATE OR REPLACE VIEW result AS SELECT * FROM read_parquet('{written}/*.parquet')")
+    connection.execute(f"CREATE OR REPLACE TEMP TABLE expected AS {sql}")
+
+    def types(name):
+        return {row[0]: row[1] for row in connection.execute(f"DESCRIBE {name}").fetchall()}
+
+    assert types("result") == types("expected")
+    names = ", ".join(f'"{name}"' for name in sorted(types("expected")))
+    for left, right in (("result", "expected"), ("expected", "result")):
+        extra = connection.execute(
+            f"SELECT {names} FROM {left} EXCEPT ALL SELECT {names} FROM {right} LIMIT 5"
+        ).fetchall()
+        assert extra == [], f"rows only in {left}"
+    return connection.execute("SELECT count(*) FROM result").fetchone()[0]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from compare import duck, duck_bag, spark_bag
+from compare import assert_same_rows, duck
 from conftest import SF
 
 import __spark_entry__ as entry_point
@@ -11,6 +11,21 @@ import __spark_entry__ as entry_point
 QUERIES = entry_point.queries()
 SQL = entry_point.oracle_sql()
 
+# Rows at this scale that both engines were seen to agree on before this code was written.
+CONTROL_ROWS = {
+    "dwd_payments": 13500,
+    "dwd_transaction_details": 53989,
+    "unpivot_bets": 565118,
+    "no_bet_rows": 2903,
+    "latest_by_key": 4006,
+    "apply_changes": 2826,
+    "stream_upsert": 2826,
+    "append_changes": 10000,
+    "expire_partitions": 11935,
+    "model_success_transactions": 1981,
+    "page_views_per_minute": 1938,
+}
+
 
 @pytest.fixture(scope="module")
 def connection():
@@ -21,13 +36,10 @@ def test_every_query_has_a_check():
     assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, connection, name):
-    columns, rows = spark_bag(QUERIES[name](spark, SF))
-    expected_columns, expected = duck_bag(connection, SQL[name])
-    assert columns == expected_columns
-    assert sum(rows.values()) > 0
-    assert rows - expected == expected - rows == type(rows)()
+    rows = assert_same_rows(connection, QUERIES[name](spark, SF), SQL[name])
+    assert rows == CONTROL_ROWS.get(name, rows) > 0
 
 
 def test_entry(spark):
