@@ -2,6 +2,7 @@ from lakestrata.operators.changelog import append_changes
 from lakestrata.operators.conform import conform
 from lakestrata.operators.maintain import (
     backfill,
+    compact_in_place,
     compact_partitions,
     drop_expired_partitions,
     expire_partitions,
@@ -17,6 +18,7 @@ __all__ = [
     "append_changes",
     "apply_changes",
     "backfill",
+    "compact_in_place",
     "compact_partitions",
     "conform",
     "drop_expired_partitions",

@@ -8,7 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.operators.staging import replace_partitions
 from lakestrata.session import session_conf
+from lakestrata.sources.readers import read_touched_partitions
+
+TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
 def partition_date(col: str, fmt: str = "yyyyMMdd") -> Column:
@@ -64,30 +68,57 @@ def drop_expired_partitions(
 def file_stats(spark: SparkSession, path: str, col: str) -> DataFrame:
     """Files and bytes per partition, from the file listing; no file is opened."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    return files.groupBy(col).agg(
-        F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max("length").alias("largest")
-    )
+    return files.groupBy(col).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
+def _file_size(target_bytes: int) -> dict[str, str]:
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
 
 
 def compact_partitions(
-    spark: SparkSession, src: str, dst: str, col: str, target_bytes: int = 128 * 1024 * 1024
+    spark: SparkSession, src: str, dst: str, col: str, target_bytes: int = TARGET_FILE_BYTES
 ) -> None:
     """Rewrite the table at ``src`` to ``dst`` with files near ``target_bytes``, rows unchanged.
 
     The rebalance gathers a partition's small files, and adaptive execution
     cuts a large partition into several writers of the advisory size.
     """
-    with session_conf(
-        spark,
-        {
-            "spark.sql.adaptive.enabled": "true",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
-        },
-    ):
+    with session_conf(spark, _file_size(target_bytes)):
         rows = spark.read.parquet(src)
         rows.hint("rebalance", col).write.mode("overwrite").partitionBy(col).parquet(dst)
 
 
+def compact_in_place(
+    spark: SparkSession,
+    path: str,
+    col: str,
+    stage: str,
+    batch: str,
+    target_bytes: int = TARGET_FILE_BYTES,
+    min_files: int = 3,
+) -> None:
+    """Compact only the partitions with ``min_files`` files and more than twice those they need.
+
+    The table has no other writer meanwhile. ``stage`` and ``batch`` are as for
+    ``replace_partitions``, so a run that was cut off is repeated safely.
+    """
+    schema = spark.read.parquet(path).schema
+    needed = F.ceil(F.col("bytes") / target_bytes)
+    fragmented = file_stats(spark, path, col).filter(
+        (F.col("files") >= min_files) & (F.col("files") > 2 * needed)
+    )
+
+    def gathered() -> DataFrame | None:
+        return read_touched_partitions(spark, path, schema, col, fragmented.select(col))
+
+    with session_conf(spark, _file_size(target_bytes)):
+        replace_partitions(spark, path, schema, col, gathered, stage, batch)
+
+
 def backfill(df: DataFrame, col: str, tie_cols: Sequence[str] = ()) -> DataFrame:
     """Rows in partition order, for loading history day by day.
 

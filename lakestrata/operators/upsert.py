@@ -1,23 +1,16 @@
-"""Upsert a batch of changes into a partitioned parquet table, safe to repeat.
-
-A partition rewrite replaces folders one after the other, so a crash half way
-leaves some of them empty. The merged partitions are therefore complete in a
-staging folder, and marked, before the table is touched; a repeated batch finds
-the mark and finishes the swap from there instead of reading a torn table.
-"""
+"""Upsert a batch of changes into a partitioned parquet table."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
+from lakestrata.operators.staging import replace_partitions
 from lakestrata.operators.versions import ROW_KIND, merge_winners, winning_changes
 from lakestrata.sources.readers import read_if_present, read_touched_partitions
 
-_MARK_SCHEMA = StructType([StructField("batch", StringType())])
-
 
 @dataclass(frozen=True)
 class UpsertTarget:
@@ -50,60 +43,21 @@ class UpsertTarget:
 def upsert(
     spark: SparkSession, target: UpsertTarget, changes: DataFrame, stage: str, batch: str
 ) -> None:
-    """Merge ``changes`` into the table; running the same ``batch`` again changes nothing.
-
-    ``stage`` holds one batch at a time and belongs to one writer. A batch that
-    failed must be repeated before the next one is run.
-    """
-    if not _is_staged(spark, stage, batch):
-        _stage(spark, target, changes, stage)
-        spark.createDataFrame([(batch,)], _MARK_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
-            f"{stage}/mark"
-        )
-    merged = read_if_present(spark, f"{stage}/merged", target.schema)
-    if merged is not None:
-        (
-            merged.select(*target.schema.names)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(target.partition)
-            .parquet(target.path)
-        )
-
-
-def _is_staged(spark: SparkSession, stage: str, batch: str) -> bool:
-    mark = read_if_present(spark, f"{stage}/mark", _MARK_SCHEMA)
-    return mark is not None and not mark.filter(mark["batch"] == batch).isEmpty()
-
+    """Merge ``changes`` into the table; running the same ``batch`` again changes nothing."""
 
-def _stage(spark: SparkSession, target: UpsertTarget, changes: DataFrame, stage: str) -> None:
-    winners = winning_changes(
-        changes.select(*target.schema.names), target.keys, target.seq, target.kind
-    )
-    # Written out, the winners have a known size for the join, and losing an
-    # executor never recomputes the change batch.
-    winners.write.mode("overwrite").parquet(f"{stage}/winners")
-    winners = spark.read.schema(target.schema).parquet(f"{stage}/winners")
-    base = read_touched_partitions(
-        spark,
-        target.path,
-        target.schema,
-        target.partition,
-        winners.select(target.partition).distinct(),
-    )
-    merged = winners
-    if base is not None:
-        merged = merge_winners(
-            base.select(*target.schema.names),
-            winners,
-            target.keys,
-            target.seq,
-            target.kind,
-            target.keep_first,
+    def merged() -> DataFrame:
+        winners = winning_changes(
+            changes.select(*target.schema.names), target.keys, target.seq, target.kind
         )
-    (
-        merged.hint("rebalance", target.partition)
-        .write.mode("overwrite")
-        .partitionBy(target.partition)
-        .parquet(f"{stage}/merged")
-    )
+        # Written out, the winners have a known size for the join, and losing an
+        # executor never recomputes the change batch.
+        winners.write.mode("overwrite").parquet(f"{stage}/winners")
+        winners = spark.read.schema(target.schema).parquet(f"{stage}/winners")
+        touched = winners.select(target.partition).distinct()
+        base = read_touched_partitions(spark, target.path, target.schema, target.partition, touched)
+        if base is None:
+            return winners
+        base = base.select(*target.schema.names)
+        return merge_winners(base, winners, target.keys, target.seq, target.kind, target.keep_first)
+
+    replace_partitions(spark, target.path, target.schema, target.partition, merged, stage, batch)

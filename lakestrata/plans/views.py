@@ -12,10 +12,11 @@ def page_views_per_minute(
     """Number of views in each minute that has one.
 
     Counts are combined before the shuffle, so a busy minute sends one row per
-    task. A stream sets ``lateness``, after which a minute is closed.
+    task. A stream sets ``lateness``, after which a minute is closed; its
+    watermark needs an instant, so wall times are read in the session zone.
     """
     views = events.filter(F.col(kind) == "view")
     if lateness:
-        views = views.withWatermark(ts, lateness)
+        views = views.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
     counted = views.groupBy(F.window(ts, "1 minute")).agg(F.count("*").alias("views"))
-    return counted.select(F.col("window.start").alias("minute"), "views")
+    return counted.select(F.col("window.start").cast("timestamp_ntz").alias("minute"), "views")

@@ -6,14 +6,19 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 # Adaptive execution sizes the shuffles at run time, so no partition count is
 # fixed here; a cluster sets spark.sql.shuffle.partitions as the upper bound.
+# The advisory size is what a rebalanced writer gets, and so the file size;
+# parallelism first would cut it down to one piece per core.
 LAKE_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -56,18 +61,23 @@ def build_session(
     return builder.getOrCreate()
 
 
+@cache
+def _local_shared(application: str) -> str:
+    return tempfile.mkdtemp(prefix="lakestrata-")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
     Only a local session, where the driver is the one machine, may do without
     that setting.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="lakestrata-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_shared(context.applicationId)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

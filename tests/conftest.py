@@ -21,6 +21,8 @@ def spark(tmp_path_factory):
         "local[8]",
         {
             "spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+            "spark.sql.maxMetadataStringLength": "5000",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

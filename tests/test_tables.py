@@ -1,0 +1,254 @@
+from __future__ import annotations
+
+import datetime as dt
+import glob
+
+import pytest
+from conftest import SF
+from plans import physical, same_rows
+
+from lakestrata.operators import (
+    append_changes,
+    backfill,
+    compact_in_place,
+    compact_partitions,
+    drop_expired_partitions,
+    expire_partitions,
+    file_stats,
+    latest_by_key,
+    read_current,
+    staging,
+    unparsable_partitions,
+    upsert,
+)
+from lakestrata.plans.ewallet import PAYMENTS
+from lakestrata.plans.models import LAYER_DEFAULTS, run_model, save_table, success_transactions
+from lakestrata.queries import FEED_KEYS, FEED_SCHEMA, feed_target
+from lakestrata.session import session_conf
+from lakestrata.sources.readers import Sources, read_touched_partitions
+from lakestrata.sources.tables import create_database, create_table, create_table_as, insert_into
+from lakestrata.sources.testviews import view
+from pyspark.sql import functions as F
+
+
+@pytest.fixture(scope="module")
+def feed(spark):
+    return view(spark, SF, "feed").select(*FEED_SCHEMA.names)
+
+
+@pytest.fixture(scope="module")
+def expected(feed):
+    after = feed.filter("row_kind <> '-U'")
+    return read_current(latest_by_key(after, FEED_KEYS, "seq"), "row_kind")
+
+
+def test_batches_in_any_order_and_repeated(spark, tmp_path, feed, expected):
+    target = feed_target(str(tmp_path / "table"))
+    batches = [feed.filter(F.expr(f"seq % 3 = {i}")) for i in range(3)]
+    for i in (2, 0, 0, 1):
+        upsert(spark, target, batches[i], str(tmp_path / "stage"), f"batch {i}")
+    assert same_rows(read_current(target.read(spark), "row_kind"), expected)
+    assert target.read(spark).count() == 3771
+
+
+def test_crash_during_the_swap_is_finished_by_the_repeat(spark, tmp_path, feed, expected, monkeypatch):
+    target = feed_target(str(tmp_path / "table"))
+    stage = str(tmp_path / "stage")
+    upsert(spark, target, feed.filter("seq % 2 = 0"), stage, "1")
+
+    rest = feed.filter("seq % 2 = 1")
+    day = 20240105
+    assert not target.read(spark).filter(F.col("pt_created_date") == day).isEmpty()
+
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(staging, "_swap", crash)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            upsert(spark, target, rest, stage, "2")
+    # The swap had emptied one day by then.
+    torn = f"{target.path}/pt_created_date={day}"
+    empty = spark.createDataFrame([], FEED_SCHEMA).drop("pt_created_date")
+    empty.write.mode("overwrite").parquet(torn)
+    assert target.read(spark).filter(F.col("pt_created_date") == day).isEmpty()
+
+    upsert(spark, target, rest, stage, "2")
+    assert same_rows(read_current(target.read(spark), "row_kind"), expected)
+
+
+def test_untouched_partitions_keep_their_files(spark, tmp_path, feed):
+    target = feed_target(str(tmp_path / "table"))
+    upsert(spark, target, feed, str(tmp_path / "stage"), "1")
+    before = set(glob.glob(f"{target.path}/*/*.parquet"))
+    one_day = feed.filter("pt_created_date = 20240105").withColumn("seq", F.col("seq") + 1_000_000)
+    upsert(spark, target, one_day, str(tmp_path / "stage"), "2")
+    gone = {path for path in before if path not in set(glob.glob(f"{target.path}/*/*.parquet"))}
+    assert gone and all("pt_created_date=20240105" in path for path in gone)
+
+
+def test_partition_must_be_in_the_key():
+    with pytest.raises(ValueError, match="keys"):
+        type(feed_target("x"))("x", FEED_SCHEMA, ("id",), ("seq",), "pt_created_date")
+
+
+@pytest.mark.parametrize("listed", [2, 4000])
+def test_touched_partitions_by_path_and_by_join(spark, tmp_path, listed):
+    path = str(tmp_path / "t")
+    schema = "v long, p int"
+    rows = spark.range(20).selectExpr("id AS v", "IF(id % 5 = 4, NULL, CAST(id % 5 AS INT)) AS p")
+    rows.write.partitionBy("p").parquet(path)
+    wanted = spark.createDataFrame([(0,), (3,), (None,), (77,)], "p int")
+    found = read_touched_partitions(spark, path, _struct(spark, schema), "p", wanted, listed)
+    assert same_rows(found.select("v", "p"), rows.filter("p IN (0, 3) OR p IS NULL"))
+    none = read_touched_partitions(spark, str(tmp_path / "nothing"), _struct(spark, schema), "p", wanted, listed)
+    assert none is None
+
+
+def _struct(spark, ddl):
+    return spark.createDataFrame([], ddl).schema
+
+
+def test_change_log_keeps_every_row_as_it_came(spark, tmp_path, feed):
+    log = str(tmp_path / "log")
+    append_changes(feed.filter("seq < 5000"), log, "pt_created_date")
+    append_changes(feed.filter("seq >= 5000"), log, "pt_created_date")
+    assert same_rows(spark.read.parquet(log).select(*feed.columns), feed)
+
+
+def test_ddl_is_idempotent_and_keeps_comments_and_options(spark, tmp_path):
+    create_database(spark, "ddl_checks", str(tmp_path / "db"))
+    create_database(spark, "ddl_checks", str(tmp_path / "db"))
+    for _ in range(2):
+        create_table(spark, PAYMENTS, "ddl_checks.payments", str(tmp_path / "payments"), bucketed=True)
+    table = spark.table("ddl_checks.payments")
+    assert table.schema["card_tier"].metadata["comment"] == "ODS: CardTier"
+    assert [c.name for c in spark.catalog.listColumns("ddl_checks.payments") if c.isPartition] == [
+        "pt_created_date"
+    ]
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED ddl_checks.payments").collect()}
+    assert described["Num Buckets"] == "4"
+    assert "primary-key=id,pt_created_date" in described["Table Properties"]
+
+
+def test_ctas_leaves_an_existing_table(spark, tmp_path):
+    create_database(spark, "ddl_checks", str(tmp_path / "db"))
+    create_table_as(spark, "ddl_checks.once", spark.range(3), str(tmp_path / "once"))
+    create_table_as(spark, "ddl_checks.once", spark.range(9), str(tmp_path / "once"))
+    assert spark.table("ddl_checks.once").count() == 3
+
+
+def dated(spark):
+    return spark.sql(
+        "SELECT * FROM VALUES (1, 20240101), (2, 20140104), (3, 20140103), (4, 20140102),"
+        " (5, 99), (6, 20241399) AS t(id, pt)"
+    )
+
+
+def test_expiry_boundary_and_unparsable_partitions(spark):
+    as_of = dt.date(2024, 1, 1)
+    cutoff = as_of - dt.timedelta(days=3650)
+    assert cutoff == dt.date(2014, 1, 3)
+    kept = expire_partitions(dated(spark), "pt", as_of=as_of)
+    assert {r.id for r in kept.collect()} == {1, 2, 3, 5, 6}
+    assert {r.pt for r in unparsable_partitions(dated(spark), "pt").collect()} == {99, 20241399}
+
+
+def test_expiry_is_monotone_and_prunes_folders(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    dated(spark).write.partitionBy("pt").parquet(path)
+    stored = spark.read.parquet(path)
+    sizes = [
+        expire_partitions(stored, "pt", as_of=dt.date(2024, 1, 1) + dt.timedelta(days=d)).count()
+        for d in range(4)
+    ]
+    assert sizes == sorted(sizes, reverse=True) == [5, 4, 3, 3]
+    plan = physical(expire_partitions(stored, "pt", as_of=dt.date(2024, 1, 1)))
+    assert "PartitionFilters: []" not in plan
+
+
+def test_dropping_expired_partitions(spark, tmp_path):
+    create_database(spark, "ddl_checks", str(tmp_path / "db"))
+    spark.sql(f"CREATE TABLE ddl_checks.dated (id INT, pt INT) USING parquet PARTITIONED BY (pt) LOCATION '{tmp_path}/d'")
+    insert_into(dated(spark), "ddl_checks.dated", "pt")
+    dropped = drop_expired_partitions(spark, "ddl_checks.dated", "pt", as_of=dt.date(2024, 1, 2))
+    assert dropped == ["20140102", "20140103"]
+    assert drop_expired_partitions(spark, "ddl_checks.dated", "pt", as_of=dt.date(2024, 1, 2)) == []
+    assert {r.id for r in spark.table("ddl_checks.dated").collect()} == {1, 2, 5, 6}
+
+
+def test_compaction_keeps_the_rows_and_cuts_a_hot_partition(spark, tmp_path, feed):
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    hot = F.when(F.col("seq") % 3 == 0, 20240101).otherwise(F.col("pt_created_date"))
+    rows = feed.withColumn("pt_created_date", hot).repartition(12)
+    rows.write.partitionBy("pt_created_date").parquet(src)
+    # Scan tasks as small next to the hot day as they are at full size.
+    small_tasks = {"spark.sql.files.maxPartitionBytes": "32k", "spark.sql.files.openCostInBytes": "1k"}
+    with session_conf(spark, small_tasks):
+        compact_partitions(spark, src, dst, "pt_created_date", target_bytes=32 * 1024)
+    assert same_rows(spark.read.parquet(dst), spark.read.parquet(src))
+    before = {r.pt_created_date: r.files for r in file_stats(spark, src, "pt_created_date").collect()}
+    after = {r.pt_created_date: r.files for r in file_stats(spark, dst, "pt_created_date").collect()}
+    assert sum(after.values()) < sum(before.values()) / 4
+    assert after[20240101] > 1
+    assert sorted(after.values())[len(after) // 2] <= 2
+
+
+def test_compaction_in_place_takes_only_fragmented_partitions(spark, tmp_path, feed):
+    path = str(tmp_path / "table")
+    feed.filter("pt_created_date < 20240110").coalesce(1).write.partitionBy("pt_created_date").parquet(path)
+    later = feed.filter("pt_created_date >= 20240110").repartition(6)
+    later.write.mode("append").partitionBy("pt_created_date").parquet(path)
+    whole = set(glob.glob(f"{path}/pt_created_date=2024010*/*.parquet"))
+    for batch in ("1", "2"):
+        compact_in_place(spark, path, "pt_created_date", str(tmp_path / "stage"), batch)
+    assert whole == set(glob.glob(f"{path}/pt_created_date=2024010*/*.parquet"))
+    assert file_stats(spark, path, "pt_created_date").filter("files > 1").isEmpty()
+    assert same_rows(spark.read.parquet(path).select(*feed.columns), feed)
+
+
+def test_backfill_order_also_inside_a_hot_day(spark, feed):
+    hot = F.when(F.col("seq") % 2 == 0, 20240110).otherwise(F.col("pt_created_date"))
+    ordered = backfill(feed.withColumn("pt_created_date", hot), "pt_created_date", ["seq"])
+    with session_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        rows = ordered.select(F.spark_partition_id().alias("task"), "pt_created_date", "seq").collect()
+    keys = [(r.pt_created_date, r.seq) for r in rows]
+    assert keys == sorted(keys)
+    assert len({r.task for r in rows if r.pt_created_date == 20240110}) > 2
+
+
+def test_model_table_is_bucketed_sorted_and_keeps_duplicates(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id) AS k", "id AS v")
+    with session_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}):
+        save_table(rows, "bucketed_model", ["k"], ["k"], 4, str(tmp_path / "bucketed"))
+    assert same_rows(spark.table("bucketed_model"), rows)
+    files = glob.glob(f"{tmp_path}/bucketed/*.parquet")
+    buckets = {path.rsplit("_", 1)[1].split(".")[0] for path in files}
+    assert buckets == {"00000", "00001", "00002", "00003"}
+    assert len(files) > 4
+    assert "Exchange" not in physical(spark.table("bucketed_model").groupBy("k").count())
+
+
+def test_models_by_layer(spark, tmp_path):
+    assert LAYER_DEFAULTS == {"ods": "view", "dwd": "table"}
+    raw = spark.sql(
+        "SELECT * FROM VALUES (1, 2, 3.5BD, 'USD', 'SUCCESS', TIMESTAMP_NTZ'2024-01-01'),"
+        " (2, 2, 1.0BD, 'USD', 'FAILED', TIMESTAMP_NTZ'2024-01-01'),"
+        " (3, 2, 1.0BD, 'USD', NULL, TIMESTAMP_NTZ'2024-01-01')"
+        " AS t(transaction_id, user_id, amount, currency, status, transaction_time)"
+    )
+    path = str(tmp_path / "raw")
+    raw.write.parquet(path)
+    sources = Sources(spark, {("ods", "ewallet_transaction_details"): path})
+    build = success_transactions()
+    as_view = run_model(spark, "model_view", sources, build, layer="ods")
+    assert "EqualTo(status,SUCCESS)" in physical(as_view)
+    as_table = run_model(spark, "model_table", sources, build, layer="dwd", location=str(tmp_path / "m"))
+    again = run_model(spark, "model_table", sources, build, layer="dwd", location=str(tmp_path / "m"))
+    assert [r.transaction_id for r in again.collect()] == [1]
+    assert as_table.columns == as_view.columns
+    assert spark.catalog._jcatalog.getTable("model_view").isTemporary()
+    with pytest.raises(ValueError, match="table or a view"):
+        run_model(spark, "x", sources, build, materialized="cube")
+    with pytest.raises(KeyError):
+        sources("ods", "unknown")
