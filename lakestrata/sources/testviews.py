@@ -90,8 +90,13 @@ _TXN_FEED = (
 )
 
 
+# Computed once per row, not once per measure.
+_LINES = """(SELECT *, CAST(l_quantity AS DECIMAL(18,2)) AS quantity,
+  CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
+  CAST(l_partkey % 4 AS INT) AS part_turn, CAST(l_suppkey % 3 AS INT) AS supp_turn FROM {rows}) lines"""
+
+
 def _hand_columns() -> str:
-    quantity = "CAST(l_quantity AS DECIMAL(18,2))"
     given = {
         "uid": _LINE_ID,
         "game_id": "'  '||CAST(l_orderkey AS STRING)||' '",
@@ -107,18 +112,18 @@ def _hand_columns() -> str:
         "patron_id": "CAST(NULL AS STRING)",
         "create_datetime": "CAST(NULL AS TIMESTAMP_NTZ)",
         "seated_patron_exists": "CAST(NULL AS BOOLEAN)",
-        "bet_chip_sum": f"CAST(CASE WHEN l_linenumber % 5 = 0 THEN 0 ELSE {quantity} END AS DECIMAL(18,2))",
+        "bet_chip_sum": "CAST(CASE WHEN l_linenumber % 5 = 0 THEN 0 ELSE quantity END AS DECIMAL(18,2))",
         "pay_off_sum": "CAST(NULL AS DECIMAL(18,2))",
         "chip_set_name": "CASE WHEN l_returnflag = 'A' THEN 'TOTAL' ELSE l_returnflag END",
     }
     for i, (bet, payoff) in enumerate(BET_PAIRS.values()):
+        # Every fourth measure is missing and every fourth zero, shifted by one
+        # from option to option; every third payoff is missing.
         given[bet] = (
-            f"CAST(CASE WHEN (l_partkey + {i}) % 4 = 0 THEN NULL WHEN (l_partkey + {i}) % 4 = 1 THEN 0"
-            f" ELSE {quantity} + {i} END AS DECIMAL(18,2))"
-        )
-        given[payoff] = (
-            f"CASE WHEN (l_suppkey + {i}) % 3 = 0 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END"
+            f"CAST(CASE WHEN part_turn = {-i % 4} THEN NULL WHEN part_turn = {(1 - i) % 4} THEN 0"
+            f" ELSE quantity + {i} END AS DECIMAL(18,2))"
         )
+        given[payoff] = f"CASE WHEN supp_turn = {-i % 3} THEN NULL ELSE price END"
     return ", ".join(f"{expression} AS {name}" for name, expression in given.items())
 
 
@@ -129,15 +134,15 @@ _MODEL_SRC = """event_id AS transaction_id, user_id, CAST(value AS DECIMAL(18,2)
   'USD' AS currency, CASE WHEN event_type = 'purchase' THEN 'SUCCESS' ELSE upper(event_type) END AS status,
   ts AS transaction_time"""
 
-# view: (test table, select list)
+# view: (test table, select list, what it selects from)
 VIEWS = {
-    "pay": ("orders", _PAY),
-    "txn": ("lineitem", _TXN),
-    "pay_feed": ("events", _PAY_FEED),
-    "txn_feed": ("events", _TXN_FEED),
-    "wide": ("lineitem", _hand_columns()),
-    "feed": ("events", _FEED),
-    "model_src": ("events", _MODEL_SRC),
+    "pay": ("orders", _PAY, "{rows}"),
+    "txn": ("lineitem", _TXN, "{rows}"),
+    "pay_feed": ("events", _PAY_FEED, "{rows}"),
+    "txn_feed": ("events", _TXN_FEED, "{rows}"),
+    "wide": ("lineitem", _hand_columns(), _LINES),
+    "feed": ("events", _FEED, "{rows}"),
+    "model_src": ("events", _MODEL_SRC, "{rows}"),
 }
 
 TABLE_SCHEMAS = {
@@ -158,16 +163,16 @@ TABLE_SCHEMAS = {
 
 def duckdb_view(name: str) -> str:
     """The view as a DuckDB subquery body."""
-    table, columns = VIEWS[name]
-    return f"SELECT {columns} FROM {table}".replace("TIMESTAMP_NTZ", "TIMESTAMP").replace(
+    table, columns, origin = VIEWS[name]
+    return f"SELECT {columns} FROM {origin.format(rows=table)}".replace("TIMESTAMP_NTZ", "TIMESTAMP").replace(
         "timestamp_ntz", "timestamp"
     )
 
 
 def view(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
     """The view over the tables in ``sf_dir``, bounded or as a stream."""
-    table, columns = VIEWS[name]
-    return spark.sql(f"SELECT {columns} FROM {{rows}}", rows=table_rows(spark, sf_dir, table, streaming))
+    table, columns, origin = VIEWS[name]
+    return spark.sql(f"SELECT {columns} FROM {origin}", rows=table_rows(spark, sf_dir, table, streaming))
 
 
 def table_rows(spark: SparkSession, sf_dir: str, table: str, streaming: bool = False) -> DataFrame:
