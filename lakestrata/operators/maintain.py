@@ -101,7 +101,7 @@ def compact_in_place(
     target_bytes: int = TARGET_FILE_BYTES,
     min_files: int = 3,
 ) -> None:
-    """Compact only the partitions with ``min_files`` files and more than twice those they need.
+    """Compact only the partitions with ``min_files`` files and at least twice those they need.
 
     The table has no other writer meanwhile. ``stage`` and ``batch`` are as for
     ``replace_partitions``, so a run that was cut off is repeated safely.
@@ -109,7 +109,7 @@ def compact_in_place(
     schema = spark.read.parquet(path).schema
     needed = F.ceil(F.col("bytes") / target_bytes)
     fragmented = file_stats(spark, path, col).filter(
-        (F.col("files") >= min_files) & (F.col("files") > 2 * needed)
+        (F.col("files") >= min_files) & (F.col("files") >= 2 * needed)
     )
 
     def gathered() -> DataFrame | None:

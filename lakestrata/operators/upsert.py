@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakestrata.operators.staging import replace_partitions
-from lakestrata.operators.versions import ROW_KIND, merge_winners, winning_changes
+from lakestrata.operators.versions import (
+    ROW_KIND,
+    lookup_bytes,
+    merge_few_winners,
+    merge_winners,
+    winning_changes,
+)
 from lakestrata.sources.readers import read_if_present, read_touched_partitions
 
 
@@ -18,6 +26,8 @@ class UpsertTarget:
 
     The partition column is part of the key: a change never moves a row between
     partitions, which is what makes the rewrite of touched partitions exact.
+    Batches whose keys and sequences take at most ``broadcast_bytes`` are merged
+    without shuffling the table.
     """
 
     path: str
@@ -27,6 +37,7 @@ class UpsertTarget:
     partition: str
     kind: str = ROW_KIND
     keep_first: tuple[str, ...] = ()
+    broadcast_bytes: int = 64 * 1024 * 1024
 
     def __post_init__(self) -> None:
         if self.partition not in self.keys:
@@ -57,7 +68,37 @@ def upsert(
         base = read_touched_partitions(spark, target.path, target.schema, target.partition, touched)
         if base is None:
             return winners
+        few = lookup_bytes(winners, target.keys, target.seq) <= target.broadcast_bytes
+        merge = merge_few_winners if few else merge_winners
         base = base.select(*target.schema.names)
-        return merge_winners(base, winners, target.keys, target.seq, target.kind, target.keep_first)
+        return merge(base, winners, target.keys, target.seq, target.kind, target.keep_first)
 
     replace_partitions(spark, target.path, target.schema, target.partition, merged, stage, batch)
+
+
+def merge_into(
+    table: str,
+    changes: DataFrame,
+    keys: Sequence[str],
+    seq: str | Sequence[str],
+    kind: str = ROW_KIND,
+) -> None:
+    """The same merge for a catalog table whose format takes MERGE, which needs no staging.
+
+    The table holds the sequence and row kind columns too. File tables refuse
+    MERGE; they go through ``upsert``.
+    """
+    order = [seq] if isinstance(seq, str) else list(seq)
+    winners = winning_changes(changes, keys, order, kind).alias("changes")
+    same = " AND ".join(f"{table}.`{k}` <=> changes.`{k}`" for k in keys)
+    stored, incoming = (
+        f"struct({', '.join(f'{side}.`{c}`' for c in order)})" for side in (table, "changes")
+    )
+    (
+        winners.mergeInto(table, F.expr(same))
+        .whenMatched(F.expr(f"{incoming} > {stored}"))
+        .updateAll()
+        .whenNotMatched()
+        .insertAll()
+        .merge()
+    )

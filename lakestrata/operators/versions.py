@@ -53,10 +53,6 @@ def apply_changes(
     kept deletes a late, older update would bring a row back. A change with the
     sequence the base already has is not applied again, so replays do nothing.
     ``keep_first`` columns keep the value of the live row that is replaced.
-
-    The base is joined to the changes' keys and sequences only. While those are
-    small enough to broadcast the base is not shuffled, and beyond that both
-    sides hash on unique keys, so no partition runs hot.
     """
     winners = winning_changes(changes, keys, seq, kind)
     if base is None:
@@ -72,12 +68,44 @@ def merge_winners(
     kind: str = ROW_KIND,
     keep_first: Sequence[str] = (),
 ) -> DataFrame:
-    """``apply_changes`` for changes that already hold one row per key."""
-    version = F.struct(*_columns(seq))
+    """``apply_changes`` for changes of any size that already hold one row per key.
+
+    Each side is shuffled once, on keys unique in it, so no task runs hot.
+    """
+    stored = base.withColumn("_stored", F.lit(True)).alias("old")
+    arrived = winners.withColumn("_arrived", F.lit(True)).alias("new")
+    both = stored.join(arrived, _same(_side("old", keys), _side("new", keys)), "full")
+    newer = _version(_side("new", _columns(seq))) > _version(_side("old", _columns(seq)))
+    take_new = F.col("_arrived").isNotNull() & (F.col("_stored").isNull() | newer)
+
+    def merged(column: str) -> Column:
+        old, new = F.col(f"old.`{column}`"), F.col(f"new.`{column}`")
+        if column in keep_first:
+            live = F.col("_stored").isNotNull() & ~F.col(f"old.`{kind}`").eqNullSafe(DELETE)
+            new = F.coalesce(F.when(live, old), new)
+        return F.when(take_new, new).otherwise(old).alias(column)
+
+    return both.select(*[merged(column) for column in base.columns])
+
+
+def merge_few_winners(
+    base: DataFrame,
+    winners: DataFrame,
+    keys: Sequence[str],
+    seq: str | Sequence[str],
+    kind: str = ROW_KIND,
+    keep_first: Sequence[str] = (),
+) -> DataFrame:
+    """``merge_winners`` for changes whose keys and sequences were checked to fit a broadcast.
+
+    The base is never shuffled: a broadcast lookup drops its replaced rows, and
+    a second, narrow pass finds what those were.
+    """
     new_keys = [f"_new_{i}" for i in range(len(keys))]
     old_keys = [f"_old_{i}" for i in range(len(keys))]
+    version = _version(_columns(seq))
 
-    incoming = winners.select(*_renamed(keys, new_keys), version.alias("_new_version"))
+    incoming = F.broadcast(winners.select(*_renamed(keys, new_keys), version.alias("_new_version")))
     stays = F.col("_new_version").isNull() | (version >= F.col("_new_version"))
     kept = base.join(incoming, _same(keys, new_keys), "left").filter(stays).select(*base.columns)
 
@@ -95,6 +123,15 @@ def merge_winners(
     return kept.unionByName(fresh.select(*base.columns))
 
 
+def lookup_bytes(winners: DataFrame, keys: Sequence[str], seq: str | Sequence[str]) -> int:
+    """Size of what ``merge_few_winners`` broadcasts: keys and sequences, as text, plus overhead."""
+    columns = [*keys, *_columns(seq)]
+    width = F.lit(64)
+    for column in columns:
+        width = width + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
+    return winners.agg(F.sum(width)).first()[0] or 0
+
+
 def read_current(
     base: DataFrame, kind: str = ROW_KIND, hide: Sequence[str] = ()
 ) -> DataFrame:
@@ -102,6 +139,14 @@ def read_current(
     return base.filter(~F.col(kind).eqNullSafe(DELETE)).drop(kind, *hide)
 
 
+def _side(side: str, names: Sequence[str]) -> list[str]:
+    return [f"{side}.`{name}`" for name in names]
+
+
+def _version(seq: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(seq)])
+
+
 def _renamed(names: Sequence[str], to: Sequence[str]) -> list[Column]:
     return [F.col(name).alias(new) for name, new in zip(names, to)]
 

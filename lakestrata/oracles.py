@@ -101,6 +101,7 @@ SELECT 'transaction_details' AS sink, id, amount, pt_created_date FROM ({_DETAIL
     "expire_partitions": _unexpired(_PAYMENTS, "2005-10-01"),
     "drop_expired_partitions": _unexpired(_PAYMENTS_FEED, "2034-01-10"),
     "compact_partitions": _FEED,
+    "compact_in_place": _FEED,
     "backfill_order": _PAYMENTS,
     "model_success_transactions": _MODEL,
     "model_as_view": _MODEL,

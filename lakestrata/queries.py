@@ -15,6 +15,7 @@ from lakestrata.operators import (
     append_changes,
     apply_changes,
     backfill,
+    compact_in_place,
     compact_partitions,
     drop_expired_partitions,
     expire_partitions,
@@ -221,14 +222,29 @@ def dropped_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def _fragmented_log(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The feed as a load without a rebalance leaves it: a file per task and day, twice."""
+    feed = view(spark, sf_dir, "feed")
+    deletes = F.col("row_kind").eqNullSafe("-D")
+    for rows in (feed.filter(~deletes), feed.filter(deletes)):
+        rows.write.mode("append").partitionBy("pt_created_date").parquet(f"{folder}/log")
+    return f"{folder}/log"
+
+
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "compacted")
-    feed = view(spark, sf_dir, "feed").repartition("id")
-    feed.write.partitionBy("pt_created_date").parquet(f"{folder}/small")
-    compact_partitions(spark, f"{folder}/small", f"{folder}/large", "pt_created_date")
+    log = _fragmented_log(spark, sf_dir, folder)
+    compact_partitions(spark, log, f"{folder}/large", "pt_created_date")
     return spark.read.parquet(f"{folder}/large")
 
 
+def compacted_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "compacted-in-place")
+    log = _fragmented_log(spark, sf_dir, folder)
+    compact_in_place(spark, log, "pt_created_date", f"{folder}/stage", "first", min_files=2)
+    return spark.read.parquet(log)
+
+
 def backfill_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfill(dwd_payments(spark, sf_dir), "pt_created_date", ["id"])
 
@@ -282,6 +298,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expire_partitions": kept_partitions,
     "drop_expired_partitions": dropped_partitions,
     "compact_partitions": compacted,
+    "compact_in_place": compacted_in_place,
     "backfill_order": backfill_order,
     "model_success_transactions": model_success_transactions,
     "model_as_view": model_as_view,

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+from dataclasses import replace
 
 import pytest
 from conftest import SF
@@ -16,6 +17,7 @@ from lakestrata.operators import (
     expire_partitions,
     file_stats,
     latest_by_key,
+    merge_into,
     read_current,
     staging,
     unparsable_partitions,
@@ -42,10 +44,11 @@ def expected(feed):
     return read_current(latest_by_key(after, FEED_KEYS, "seq"), "row_kind")
 
 
-def test_batches_in_any_order_and_repeated(spark, tmp_path, feed, expected):
-    target = feed_target(str(tmp_path / "table"))
+@pytest.mark.parametrize("broadcast_bytes", [0, 64 << 20])
+def test_batches_in_any_order_and_repeated(spark, tmp_path, feed, expected, broadcast_bytes):
+    target = replace(feed_target(str(tmp_path / "table")), broadcast_bytes=broadcast_bytes)
     batches = [feed.filter(F.expr(f"seq % 3 = {i}")) for i in range(3)]
-    for i in (2, 0, 0, 1):
+    for i in (2, 0, 1):
         upsert(spark, target, batches[i], str(tmp_path / "stage"), f"batch {i}")
     assert same_rows(read_current(target.read(spark), "row_kind"), expected)
     assert target.read(spark).count() == 3771
@@ -87,6 +90,13 @@ def test_untouched_partitions_keep_their_files(spark, tmp_path, feed):
     assert gone and all("pt_created_date=20240105" in path for path in gone)
 
 
+def test_file_tables_refuse_merge(spark, tmp_path, feed):
+    create_database(spark, "ddl_checks", str(tmp_path / "db"))
+    create_table_as(spark, "ddl_checks.file_table", feed, str(tmp_path / "file_table"))
+    with pytest.raises(Exception, match="(?i)merge into table|row-level|not support"):
+        merge_into("ddl_checks.file_table", feed, FEED_KEYS, "seq", "row_kind")
+
+
 def test_partition_must_be_in_the_key():
     with pytest.raises(ValueError, match="keys"):
         type(feed_target("x"))("x", FEED_SCHEMA, ("id",), ("seq",), "pt_created_date")
@@ -154,6 +164,13 @@ def test_expiry_boundary_and_unparsable_partitions(spark):
     assert {r.pt for r in unparsable_partitions(dated(spark), "pt").collect()} == {99, 20241399}
 
 
+def test_expiry_in_a_zone_without_that_midnight(spark):
+    day = spark.sql("SELECT 1 AS id, 20181104 AS pt")
+    with session_conf(spark, {"spark.sql.session.timeZone": "America/Sao_Paulo"}):
+        kept = [expire_partitions(day, "pt", days=1, as_of=dt.date(2018, 11, d)).count() for d in (5, 6)]
+    assert kept == [1, 0]
+
+
 def test_expiry_is_monotone_and_prunes_folders(spark, tmp_path):
     path = str(tmp_path / "dated")
     dated(spark).write.partitionBy("pt").parquet(path)

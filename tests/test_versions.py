@@ -7,7 +7,12 @@ from conftest import SF
 from plans import physical
 
 from lakestrata.operators import apply_changes, latest_by_key, read_current
-from lakestrata.operators.versions import merge_winners, winning_changes
+from lakestrata.operators.versions import (
+    lookup_bytes,
+    merge_few_winners,
+    merge_winners,
+    winning_changes,
+)
 from lakestrata.sources.testviews import view
 from pyspark.sql import functions as F
 
@@ -25,11 +30,18 @@ def brute_force(rows):
     return set(best.values())
 
 
-def merged(spark, batches):
-    base = None
+MERGES = (merge_winners, merge_few_winners)
+
+
+def merged(spark, batches, merge):
+    base = spark.createDataFrame([], SCHEMA)
     for batch in batches:
-        base = apply_changes(base, spark.createDataFrame(batch, SCHEMA), KEYS, "seq")
-    return {tuple(row) for row in base.collect()}
+        changes = spark.createDataFrame(batch, SCHEMA)
+        base = merge(base, winning_changes(changes, KEYS, "seq"), KEYS, "seq")
+        base = spark.createDataFrame(base.collect(), SCHEMA)
+    rows = [tuple(row) for row in base.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
 
 
 CASES = {
@@ -43,17 +55,24 @@ CASES = {
 }
 
 
+@pytest.mark.parametrize("merge", MERGES)
 @pytest.mark.parametrize("name", list(CASES))
-def test_edge_rows_in_one_batch_and_one_by_one(spark, name):
+def test_edge_rows_one_by_one(spark, name, merge):
     rows = CASES[name]
     expected = brute_force(rows)
-    assert merged(spark, [rows]) == expected
-    assert merged(spark, [[row] for row in rows]) == expected
-    assert merged(spark, [[row] for row in reversed(rows)]) == expected
+    assert merged(spark, [[row] for row in rows], merge) == expected
+    assert merged(spark, [[row] for row in reversed(rows)], merge) == expected
+
 
+def test_edge_rows_in_one_batch(spark):
+    """All cases at once, told apart by their partition."""
+    rows = [(r[0], r[1] + 10 * i, *r[2:]) for i, case in enumerate(CASES.values()) for r in case]
+    changes = spark.createDataFrame(rows, SCHEMA)
+    assert {tuple(r) for r in apply_changes(None, changes, KEYS, "seq").collect()} == brute_force(rows)
 
-@pytest.mark.parametrize("seed", range(3))
-def test_any_split_and_order_of_batches_and_repeats(spark, seed):
+
+@pytest.mark.parametrize(("seed", "merge"), [(0, merge_winners), (1, merge_few_winners)])
+def test_any_split_and_order_of_batches_and_repeats(spark, seed, merge):
     pick = random.Random(seed)
     kinds = ["+I", "+U", "-U", "-D"]
     rows = [
@@ -63,7 +82,7 @@ def test_any_split_and_order_of_batches_and_repeats(spark, seed):
     pick.shuffle(shuffled)
     cuts = sorted(pick.sample(range(1, len(rows)), 2))
     batches = [shuffled[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)])]
-    assert merged(spark, [*batches, batches[0]]) == brute_force(rows)
+    assert merged(spark, [*batches, batches[0]], merge) == brute_force(rows)
 
 
 def test_read_current_hides_deletes_and_bookkeeping(spark):
@@ -75,13 +94,16 @@ def test_read_current_hides_deletes_and_bookkeeping(spark):
     assert {r.id for r in current.collect()} == {1, 3}
 
 
-def test_first_creation_can_be_kept(spark):
+@pytest.mark.parametrize("merge", MERGES)
+def test_first_creation_can_be_kept(spark, merge):
     base = spark.createDataFrame([(1, 1, 1, "+I", "old"), (2, 1, 1, "-D", "old")], SCHEMA)
     changes = spark.createDataFrame([(i, 1, 2, "+U", "new") for i in (1, 2, 3)], SCHEMA)
-    kept = apply_changes(base, changes, KEYS, "seq", keep_first=("value",))
+    kept = merge(base, changes, KEYS, "seq", keep_first=("value",))
     assert {r.id: r.value for r in kept.collect()} == {1: "old", 2: "new", 3: "new"}
-    moved = apply_changes(base, changes, KEYS, "seq")
+    moved = merge(base, changes, KEYS, "seq")
     assert {r.value for r in moved.collect()} == {"new"}
+    stale = merge(changes, base, KEYS, "seq", keep_first=("value",))
+    assert {r.value for r in stale.collect()} == {"new"}
 
 
 def test_order_by_several_columns(spark):
@@ -110,19 +132,24 @@ def test_hot_key_sends_one_row_per_task(spark):
     assert result.count() == expected.count()
 
 
-def test_small_batch_leaves_the_base_unshuffled(spark, tmp_path):
+def test_plans_of_both_merges(spark, tmp_path):
     keys = ("id", "pt_created_date")
-    base_path, batch_path = str(tmp_path / "base"), str(tmp_path / "batch")
     feed = view(spark, SF, "feed")
-    winning_changes(feed, keys, "seq", "row_kind").write.parquet(base_path)
-    feed.filter("seq > 9000").write.parquet(batch_path)
-    winners = latest_by_key(spark.read.parquet(batch_path), keys, "seq")
-    winners.write.parquet(str(tmp_path / "winners"))
-    plan = physical(
-        merge_winners(
-            spark.read.parquet(base_path), spark.read.parquet(str(tmp_path / "winners")), keys, "seq", "row_kind"
-        )
-    )
-    assert "SortMergeJoin" not in plan
-    assert "hashpartitioning" not in plan
-    assert plan.count("BroadcastHashJoin") == 3
+    paths = {name: str(tmp_path / name) for name in ("base", "winners")}
+    winning_changes(feed, keys, "seq", "row_kind").write.parquet(paths["base"])
+    winning_changes(feed.filter("seq > 9000"), keys, "seq", "row_kind").write.parquet(paths["winners"])
+    base, winners = (spark.read.parquet(path) for path in paths.values())
+
+    few = physical(merge_few_winners(base, winners, keys, "seq", "row_kind"))
+    assert "SortMergeJoin" not in few and "hashpartitioning" not in few
+    assert few.count("BroadcastHashJoin") == 3
+
+    many = physical(merge_winners(base, winners, keys, "seq", "row_kind"))
+    assert many.count("FileScan") == 2 and many.count("Exchange hashpartitioning") == 2
+    assert "Broadcast" not in many
+
+
+def test_lookup_size_counts_keys_and_sequences(spark):
+    rows = spark.sql("SELECT * FROM VALUES ('abcd', 1), (NULL, 10) AS t(k, s)")
+    assert lookup_bytes(rows, ["k"], "s") == (64 + 4 + 1) + (64 + 2)
+    assert lookup_bytes(rows.limit(0), ["k"], "s") == 0
