@@ -62,6 +62,11 @@ _DETAILS = _detail(TRANSACTION_DETAILS, "txn")
 _PAYMENTS_FEED = _detail(PAYMENTS, "pay_feed")
 _DETAILS_FEED = _detail(TRANSACTION_DETAILS, "txn_feed", "_row_kind")
 
+_CURRENT_DETAILS = f"""SELECT * EXCLUDE (newest, _row_kind) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, pt_created_date ORDER BY payment_id DESC) AS newest
+  FROM ({_DETAILS_FEED}) details WHERE _row_kind <> '-U') ranked
+WHERE newest = 1 AND _row_kind <> '-D'"""
+
 
 def _unexpired(rows: str, as_of: str) -> str:
     return f"""SELECT * FROM ({rows}) payments
@@ -86,13 +91,11 @@ FROM ({_CURRENT}) current_rows GROUP BY id HAVING count(*) > 1""",
     "append_changes": _FEED,
     "table_payments": _PAYMENTS_FEED,
     "create_table_once": _NO_BETS,
-    "upsert_transaction_details": f"""SELECT * EXCLUDE (newest, _row_kind) FROM (
-  SELECT *, row_number() OVER (PARTITION BY id, pt_created_date ORDER BY payment_id DESC) AS newest
-  FROM ({_DETAILS_FEED}) details WHERE _row_kind <> '-U') ranked
-WHERE newest = 1 AND _row_kind <> '-D'""",
+    "upsert_transaction_details": _CURRENT_DETAILS,
     "stream_payments": _PAYMENTS_FEED,
     "stream_unpivot": _BETS,
     "stream_upsert": _CURRENT,
+    "stream_transaction_details": _CURRENT_DETAILS,
     "multi_sink_load": f"""SELECT 'payments' AS sink, CAST(id AS VARCHAR) AS id, amount, pt_created_date
 FROM ({_PAYMENTS_FEED}) payments
 UNION ALL

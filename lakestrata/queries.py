@@ -207,6 +207,21 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(target.read(spark), "row_kind")
 
 
+def stream_transaction_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole path of a detail table: raw stream, conformed, merged by key."""
+    folder = work_dir(spark, "stream-details")
+    target = keyed_target(TRANSACTION_DETAILS, f"{folder}/table", seq=("payment_id",))
+    load = Load(
+        name=f"details-{uuid.uuid4().hex[:8]}",
+        source=lambda session: view(session, sf_dir, "txn_feed", streaming=True),
+        transform=detail_changes,
+        checkpoint=f"{folder}/checkpoint",
+        upsert_into=target,
+    )
+    run_loads(spark, [load], bounded=True)
+    return read_current(target.read(spark))
+
+
 def kept_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expire_partitions(dwd_payments(spark, sf_dir), PAYMENTS.partition, as_of=EXPIRY_AS_OF)
 
@@ -293,6 +308,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_payments": stream_payments,
     "stream_unpivot": stream_unpivot,
     "stream_upsert": stream_upsert,
+    "stream_transaction_details": stream_transaction_details,
     "multi_sink_load": multi_sink_load,
     "resumed_load": resumed_load,
     "expire_partitions": kept_partitions,
