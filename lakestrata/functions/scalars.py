@@ -28,11 +28,11 @@ def to_millis(col: Column) -> Column:
     """Cut a zone-less timestamp to milliseconds.
 
     ``date_trunc`` goes through the session time zone, where a wall time inside
-    a daylight-saving gap would move; subtracting the rest stays zone-less.
+    a daylight-saving gap would move; taking off the microseconds stays zone-less.
     """
     ntz = col.cast("timestamp_ntz")
-    rest = F.extract(F.lit("SECOND"), ntz) % F.lit("0.001").cast("decimal(4,3)")
-    return ntz - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), rest)
+    micros = (F.extract(F.lit("SECOND"), ntz) * F.lit(1_000_000)).cast("bigint")
+    return ntz - (micros % F.lit(1000)) * F.expr("INTERVAL '0.000001' SECOND")
 
 
 def audit_clock(as_of: dt.datetime | None = None, tz: str = "UTC") -> Column:

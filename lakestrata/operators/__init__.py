@@ -10,7 +10,7 @@ from lakestrata.operators.maintain import (
     unparsable_partitions,
 )
 from lakestrata.operators.reshape import no_bet_rows, unpivot_pairs
-from lakestrata.operators.upsert import UpsertTarget, merge_into, upsert
+from lakestrata.operators.upsert import UpsertTarget, merge_into, purge_deletes, upsert
 from lakestrata.operators.versions import apply_changes, latest_by_key, read_current
 
 __all__ = [
@@ -27,6 +27,7 @@ __all__ = [
     "latest_by_key",
     "merge_into",
     "no_bet_rows",
+    "purge_deletes",
     "read_current",
     "unparsable_partitions",
     "unpivot_pairs",

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakestrata.sources.readers import read_if_present
@@ -43,7 +44,7 @@ def replace_partitions(
             .partitionBy(partition)
             .parquet(f"{stage}/rows")
         )
-        mark = spark.createDataFrame([(batch,)], _MARK_SCHEMA).coalesce(1)
+        mark = spark.range(1).coalesce(1).select(F.lit(batch).alias("batch"))
         mark.write.mode("overwrite").parquet(f"{stage}/mark")
     _swap(spark, path, schema, partition, stage)
 

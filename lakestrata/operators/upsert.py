@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakestrata.operators.staging import replace_partitions
 from lakestrata.operators.versions import (
+    DELETE,
     ROW_KIND,
     lookup_bytes,
     merge_few_winners,
@@ -76,6 +77,25 @@ def upsert(
     replace_partitions(spark, target.path, target.schema, target.partition, merged, stage, batch)
 
 
+def purge_deletes(
+    spark: SparkSession, target: UpsertTarget, settled: Column, stage: str, batch: str
+) -> None:
+    """Drop the ``-D`` rows for which ``settled`` holds: no older change can still arrive for them.
+
+    Only partitions that hold such rows are rewritten; ``stage`` and ``batch``
+    are as for ``upsert``. A partition left with nothing else keeps its deletes,
+    which no reader sees, until it expires.
+    """
+    gone = F.col(target.kind).eqNullSafe(DELETE) & F.coalesce(settled, F.lit(False))
+
+    def remaining() -> DataFrame | None:
+        touched = target.read(spark).filter(gone).select(target.partition).distinct()
+        rows = read_touched_partitions(spark, target.path, target.schema, target.partition, touched)
+        return None if rows is None else rows.filter(~gone).select(*target.schema.names)
+
+    replace_partitions(spark, target.path, target.schema, target.partition, remaining, stage, batch)
+
+
 def merge_into(
     table: str,
     changes: DataFrame,

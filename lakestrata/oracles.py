@@ -101,6 +101,10 @@ FROM ({_PAYMENTS_FEED}) payments
 UNION ALL
 SELECT 'transaction_details' AS sink, id, amount, pt_created_date FROM ({_DETAILS_FEED}) details""",
     "resumed_load": _FEED,
+    "purge_deletes": f"""SELECT id, pt_created_date, seq, row_kind, amount, status FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, pt_created_date ORDER BY seq DESC) AS newest
+  FROM ({_FEED}) feed WHERE row_kind <> '-U') ranked
+WHERE newest = 1 AND NOT (row_kind = '-D' AND pt_created_date <= 20240115)""",
     "expire_partitions": _unexpired(_PAYMENTS, "2005-10-01"),
     "drop_expired_partitions": _unexpired(_PAYMENTS_FEED, "2034-01-10"),
     "compact_partitions": _FEED,

@@ -20,6 +20,7 @@ from lakestrata.operators import (
     drop_expired_partitions,
     expire_partitions,
     latest_by_key,
+    purge_deletes,
     read_current,
     upsert,
 )
@@ -38,6 +39,7 @@ from lakestrata.streaming import Load, run_loads
 AS_OF = dt.datetime(2024, 1, 1)
 EXPIRY_AS_OF = dt.date(2005, 10, 1)
 FEED_EXPIRY_AS_OF = dt.date(2034, 1, 10)
+SETTLED_DAY = 20240115
 DATABASE = "lakestrata_dwd"
 FEED_KEYS = ("id", "pt_created_date")
 FEED_SCHEMA = (
@@ -222,6 +224,16 @@ def stream_transaction_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(target.read(spark))
 
 
+def purged_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored rows, deletes included, once those of the first half month are settled."""
+    folder = work_dir(spark, "purged")
+    target = feed_target(f"{folder}/table")
+    upsert(spark, target, view(spark, sf_dir, "feed"), f"{folder}/stage", "load")
+    settled = F.col("pt_created_date") <= SETTLED_DAY
+    purge_deletes(spark, target, settled, f"{folder}/stage", "purge")
+    return target.read(spark)
+
+
 def kept_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expire_partitions(dwd_payments(spark, sf_dir), PAYMENTS.partition, as_of=EXPIRY_AS_OF)
 
@@ -311,6 +323,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_transaction_details": stream_transaction_details,
     "multi_sink_load": multi_sink_load,
     "resumed_load": resumed_load,
+    "purge_deletes": purged_deletes,
     "expire_partitions": kept_partitions,
     "drop_expired_partitions": dropped_partitions,
     "compact_partitions": compacted,

@@ -36,10 +36,11 @@ def test_rows_without_partition_are_dropped_and_comments_kept(spark):
     assert result.schema["pos_reference"].metadata["comment"] == "ODS: POSReference"
 
 
-def test_milliseconds_are_cut_without_the_session_zone(spark):
+@pytest.mark.parametrize("zone", ["America/New_York", "UTC"])
+def test_milliseconds_are_cut_whatever_the_session_zone(spark, zone):
     # 02:30 on that night does not exist on New York clocks.
     texts = ["2024-03-10 02:30:00.123999", "1969-12-31 23:59:59.999999", "2024-01-01 00:00:00.000001"]
-    with session_conf(spark, {"spark.sql.session.timeZone": "America/New_York"}):
+    with session_conf(spark, {"spark.sql.session.timeZone": zone}):
         rows = spark.createDataFrame([(t,) for t in texts], "t string")
         cut = [r[0] for r in rows.select(to_millis(F.col("t").cast("timestamp_ntz")).cast("string")).collect()]
     assert cut == ["2024-03-10 02:30:00.123", "1969-12-31 23:59:59.999", "2024-01-01 00:00:00"]

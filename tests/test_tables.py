@@ -18,6 +18,7 @@ from lakestrata.operators import (
     file_stats,
     latest_by_key,
     merge_into,
+    purge_deletes,
     read_current,
     staging,
     unparsable_partitions,
@@ -90,6 +91,23 @@ def test_untouched_partitions_keep_their_files(spark, tmp_path, feed):
     assert gone and all("pt_created_date=20240105" in path for path in gone)
 
 
+def test_purge_rewrites_only_partitions_with_settled_deletes(spark, tmp_path):
+    rows = spark.sql(
+        "SELECT * FROM VALUES (1L, 1L, '+I', 20240101), (2L, 2L, '-D', 20240101), (3L, 3L, '-D', 20240102),"
+        " (4L, 4L, '+I', 20240103), (5L, 5L, '-D', 20240104), (6L, 6L, '+U', 20240104)"
+        " AS t(id, seq, row_kind, pt_created_date)"
+    ).selectExpr("id", "seq", "row_kind", "CAST(1 AS DECIMAL(38,10)) AS amount", "'s' AS status", "pt_created_date")
+    target = feed_target(str(tmp_path / "table"))
+    upsert(spark, target, rows, str(tmp_path / "stage"), "load")
+    untouched = glob.glob(f"{target.path}/pt_created_date=2024010[34]/*.parquet")
+    for batch in ("purge 1", "purge 2"):
+        purge_deletes(spark, target, F.col("seq") <= 3, str(tmp_path / "stage"), batch)
+        # A day of nothing but deletes keeps them, out of sight.
+        assert {r.id for r in target.read(spark).collect()} == {1, 3, 4, 5, 6}
+        assert {r.id for r in read_current(target.read(spark), "row_kind").collect()} == {1, 4, 6}
+    assert untouched == glob.glob(f"{target.path}/pt_created_date=2024010[34]/*.parquet")
+
+
 def test_file_tables_refuse_merge(spark, tmp_path, feed):
     create_database(spark, "ddl_checks", str(tmp_path / "db"))
     create_table_as(spark, "ddl_checks.file_table", feed, str(tmp_path / "file_table"))
