@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import exact_dedup, shards, warc
+from lakestrata.llm import decontaminate, exact_dedup, sentencepieces, shards, simhash, warc
 from lakestrata.session import work_dir
 
 
@@ -28,6 +30,31 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(_table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(
+    spark: SparkSession, sf_dir: str, model_path: str = public_tokenizers.path("piece_bpe_32k.model")
+) -> DataFrame:
+    """Every document encoded and decoded again."""
+    model = Path(model_path).read_bytes()
+    pieces = sentencepieces.encoded(_table(spark, sf_dir, "documents"), model)
+    return pieces.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.simhash_components(_table(spark, sf_dir, "documents"), words=3, radius=3)
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that contain a test item, in whatever order, with the items."""
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, items).drop("text_hash")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight contiguous shards of nearly equal bytes."""
     placed = shards.shard_by_bytes(_table(spark, sf_dir, "documents"), 8)
@@ -45,5 +72,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_exact_dedup": op3_exact_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op8_simhash": op8_simhash,
+    "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
 }

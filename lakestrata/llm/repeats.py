@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakestrata.llm.common import stored
+
 #: Bits of the filter. It is broadcast as 64-bit words, 2**20 of them at most.
 #: More keys than bits make it less selective, never wrong.
 FILTER_BITS = 1 << 26
@@ -17,14 +21,14 @@ def _slots(key: str, bits: int):
     return [F.pmod(F.xxhash64(F.col(key), F.lit(i)), F.lit(bits)) for i in range(2)]
 
 
-def repeat_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
-    """First pass: the filter's words (word, mask), with a bit for each slot that was hit twice.
+def repeat_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS, least: int = 2) -> DataFrame:
+    """First pass: the filter's words (word, mask), with a bit for each slot that was hit ``least`` times.
 
     Every key sets two slots; slots are counted on the map side before they are
     shuffled, eight bytes each. An empty table gives an empty filter.
     """
     slots = keys.select(F.explode(F.array(*_slots(key, bits))).alias("slot"))
-    twice = slots.groupBy("slot").agg(F.count("*").alias("hits")).filter("hits > 1")
+    twice = slots.groupBy("slot").agg(F.count("*").alias("hits")).filter(F.col("hits") >= least)
     bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
     return twice.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("mask"))
 
@@ -65,3 +69,25 @@ def join_hot(left: DataFrame, groups: DataFrame, key: str, size: str, rows: int)
     by_broadcast = left.join(F.broadcast(hot), key)
     by_shuffle = marked.filter(F.col("_hot").isNull()).drop("_hot").join(cold, key)
     return by_broadcast.unionByName(by_shuffle)
+
+
+def drop_rows(docs: DataFrame, keys: Mapping[str, Column], gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``keys`` are in ``gone``, all columns kept; nulls match nulls.
+
+    Rows that miss a Bloom filter of the keys that go are not shuffled.
+    """
+    names = docs.columns
+    marked = docs.select(
+        F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"),
+        *[column.alias(name) for name, column in keys.items()],
+    )
+    key = F.xxhash64(*[F.col(name) for name in keys])
+    gone = stored(gone.select(*keys).withColumn("_key", key), "gone")
+    words = stored(repeat_filter(gone, "_key", least=1), "gone-filter")
+    flagged = maybe_repeated(marked.withColumn("_key", key), "_key", words, "_maybe")
+    sure = flagged.filter(~F.col("_maybe")).select("row.*")
+    left, right = flagged.filter("_maybe").alias("l"), gone.alias("r")
+    same = F.col("l._key") == F.col("r._key")
+    for name in keys:
+        same = same & F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}"))
+    return sure.unionByName(left.join(right, same, "left_anti").select("row.*"))
