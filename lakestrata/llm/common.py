@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +26,8 @@ def stored(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     path = work_dir(spark, purpose)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def shipped(module: str) -> None:
+    """Send what ``module`` defines to the workers with the task, so they need not have the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

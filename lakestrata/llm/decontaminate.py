@@ -11,9 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import stored, whole
+from lakestrata.llm.common import shipped, stored, whole
 from lakestrata.llm.repeats import drop_rows
 
+shipped(__name__)
+
 #: Fewest tokens of a tile.
 MIN_TOKENS = 5
 #: Share of a test item's tokens that tiles must cover.

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import decontaminate, exact_dedup, sentencepieces, shards, simhash, warc
+from lakestrata.llm import decontaminate, exact_dedup, sentencepieces, shards, simhash, toxicity, warc
 from lakestrata.session import work_dir
 
 
@@ -30,6 +30,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_sentencepiece(
     spark: SparkSession, sf_dir: str, model_path: str = public_tokenizers.path("piece_bpe_32k.model")
 ) -> DataFrame:
@@ -72,6 +77,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,

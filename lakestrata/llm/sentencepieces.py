@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from lakestrata.llm.common import whole
+from lakestrata.llm.common import shipped, whole
+
+shipped(__name__)
 
 # Fixed by the model format: the sign for a space, and the kinds of pieces.
 SPACE = "▁"

@@ -10,10 +10,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import stored, whole
+from lakestrata.llm.common import shipped, stored, whole
 from lakestrata.llm.components import components
 from lakestrata.llm.repeats import drop_rows, join_hot
 
+shipped(__name__)
+
 BITS = 64
 #: Fingerprints of a bucket that one task compares with one another; a larger
 #: bucket is compared in pairs of blocks of this size.

@@ -11,9 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import stored, whole
+from lakestrata.llm.common import shipped, stored, whole
 from lakestrata.llm.repeats import join_hot, maybe_repeated, repeat_filter
 
+shipped(__name__)
+
 # Fixed by the WARC format: the version line that opens a record, and the blank
 # lines that end one. No header can hold the two together, a payload can.
 OPENING = "WARC/1."
