@@ -25,6 +25,41 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
+# The notices that the tables hold, by their canonical text.
+OP2 = r"""
+WITH known(licence, canon) AS (VALUES
+    ('Apache-2.0', 'licensed under the apache license version 2 0'),
+    ('Apache-2.0', 'released under the apache license version 2 0'),
+    ('CC-BY-4.0', 'licensed under cc by 4 0'),
+    ('CC-BY-NC-4.0', 'licensed under cc by nc 4 0'),
+    ('CC-BY-SA-4.0', 'licensed under cc by sa 4 0'),
+    ('GPL-2.0', 'this work is licensed under the gnu general public license version 2'),
+    ('GPL-3.0', 'this work is licensed under the gnu general public license version 3'),
+    ('MIT', 'licensed under the mit license'),
+    ('MIT', 'released under the mit license')
+), d AS (
+    SELECT doc_id, replace(coalesce(text, ''), chr(13) || chr(10), chr(10)) AS t FROM documents
+), units AS (
+    SELECT doc_id, 'whole' AS unit, t FROM d
+    UNION ALL
+    SELECT doc_id, 'line', unnest(string_split(t, chr(10))) FROM d
+    UNION ALL
+    SELECT * FROM (SELECT doc_id, 'paragraph', unnest(string_split_regex(t, '\n[\x20\x09]*\n\s*')) AS t FROM d)
+    WHERE contains(trim(t), chr(10))
+), hits AS (
+    SELECT doc_id, unit, licence FROM units JOIN known ON known.canon = trim(replace(regexp_replace(
+        lower(regexp_replace(t, '(?im)^[\x20\x09\r]*(copyright|\(c\)|©|all rights reserved)[^\n]*$', ' ', 'g')),
+        '[^\p{L}\p{N}]+', ' ', 'g'), 'licence', 'license'))
+), g AS (
+    SELECT doc_id, max(licence) FILTER (unit = 'whole') AS licence,
+        string_agg(DISTINCT licence, ',' ORDER BY licence) FILTER (unit <> 'whole') AS notices,
+        count(*) FILTER (unit <> 'whole') AS n_notices
+    FROM hits GROUP BY doc_id
+)
+SELECT doc_id, licence, coalesce(notices, '') AS notices, coalesce(n_notices, 0) AS n_notices
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
 # The checksum is the usual one over the reflected polynomial 0xEDB88320.
 OP10 = r"""
 WITH d AS (
@@ -55,4 +90,64 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
 FROM cut
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1, "op3_exact_dedup": OP3, "op10_sharding": OP10}
+# Patterns, known texts and spellings are written out here, not taken from the operators.
+_PATTERNS = (
+    (0, "assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    (1, "access", r"AKIA[A-Z0-9]+", 0, 20),
+    (2, "hex", r"[0-9a-f]+", 0, 24),
+    (3, "part_id", r"""(?i)(user|username|login|account|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]+)""", 2, 3),
+    (4, "part_secret", r"""(?i)(pwd|pass|pin|auth|credential|private_?key)["']?\x20*[:=]\x20*["']?([^\x20\x09-\x0D"'<>,;]+)""", 2, 4),
+    (5, "part_endpoint", r"""(?i)(https?|ftp|ssh|jdbc:[a-z]+|postgres|mysql|redis|amqp|mongodb)://([A-Za-z0-9._~:/?#@!$&()*+=%-]+)""", 2, 4),
+)
+
+
+def _matches(at: int, kind: str, pattern: str, group: int, least: int) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""
+    SELECT doc_id, {at} AS kind_at, '{kind}' AS kind, nth, gap, size, value >= {least} AS long FROM (
+        SELECT doc_id, unnest(range(1, len(m) + 1)) AS nth, unnest(list_transform(g[1:len(m)], lambda x: length(x))) AS gap,
+            unnest(list_transform(m, lambda x: length(x))) AS size, unnest(list_transform(v, lambda x: length(x))) AS value
+        FROM (SELECT doc_id, string_split_regex(t, '{quoted}') AS g, regexp_extract_all(t, '{quoted}', 0) AS m,
+            regexp_extract_all(t, '{quoted}', {group}) AS v FROM d))"""
+
+
+OP7 = (
+    "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), parts AS ("
+    + " UNION ALL ".join(_matches(*p) for p in _PATTERNS)
+    + """
+), placed AS (
+    SELECT doc_id, kind_at, kind, "end" - size AS start, "end" FROM (
+        SELECT *, sum(gap + size) OVER (PARTITION BY doc_id, kind_at ORDER BY nth) AS "end" FROM parts)
+    WHERE long
+), apart AS (
+    SELECT * FROM placed p WHERE kind_at < 3 OR NOT EXISTS (
+        SELECT 1 FROM placed b WHERE b.doc_id = p.doc_id AND b.kind_at < 3 AND b.start < p."end" AND b."end" > p.start)
+), linked AS (
+    SELECT *, bool_or(kind IN ('access', 'part_id')) OVER near AS named,
+        bool_or(kind IN ('assign', 'hex', 'part_secret')) OVER near AS secret
+    FROM apart WINDOW near AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN 200 PRECEDING AND 200 FOLLOWING)
+), kept AS (
+    SELECT *, kind || ':' || CAST(CAST(start AS BIGINT) AS VARCHAR) || ':' || CAST(CAST("end" AS BIGINT) AS VARCHAR) AS span
+    FROM linked
+    WHERE kind_at < 3 OR (kind = 'part_id' AND secret) OR (kind = 'part_secret' AND named)
+        OR (kind = 'part_endpoint' AND named AND secret)
+), g AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+        count(*) FILTER (kind = 'hex') AS n_hex,
+        string_agg(span, ',' ORDER BY start, kind_at) FILTER (kind_at < 3) AS base,
+        string_agg(span, ',' ORDER BY start, kind_at) AS spans
+    FROM kept GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)
+"""
+)
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": OP1,
+    "op2_licence_scan": OP2,
+    "op3_exact_dedup": OP3,
+    "op7_secret_scan": OP7,
+    "op10_sharding": OP10,
+}

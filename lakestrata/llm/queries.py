@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import decontaminate, exact_dedup, sentencepieces, shards, simhash, toxicity, warc
+from lakestrata.llm import decontaminate, exact_dedup, licences, secrets, sentencepieces, shards, simhash, toxicity, warc
 from lakestrata.session import work_dir
 
 
@@ -25,6 +25,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence that a document, or a line or paragraph of it, is."""
+    return licences.licence_scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of equal texts of every document, and which document stays."""
     return exact_dedup.exact_classes(_table(spark, sf_dir, "documents"))
@@ -49,6 +54,26 @@ def op6_sentencepiece(
     )
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, base patterns and linked parts."""
+    found = secrets.secret_spans(_table(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(text, ",")
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind_at"] < len(secrets.BASE))
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind, *_ in secrets.BASE],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.simhash_components(_table(spark, sf_dir, "documents"), words=3, radius=3)
@@ -76,9 +101,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_licence_scan": op2_licence_scan,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_secret_scan": op7_secret_scan,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
