@@ -153,7 +153,7 @@ class Codec:
             put(out.replace(b" ", sign), place)
         end = chunks[-1][1] + chunks[-1][2]
         whole_text = b"".join(made)
-        while self.squeeze and whole_text.endswith(sign) and len(whole_text) > len(sign):
+        while self.squeeze and whole_text.endswith(sign):
             whole_text = whole_text[: -len(sign)]
             end = places[len(whole_text)]
             del places[len(whole_text) :]
