@@ -21,6 +21,8 @@ PASSAGE = 200
 ANCHOR = 72
 #: Bytes of a text whose hashes are held at a time.
 _PIECE = 1 << 20
+#: Rows in a batch that goes back to Spark, about.
+_ROWS = 1 << 15
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -104,47 +106,81 @@ def _spot(first, last, place):
     return (first << 32) | ((last - first) << 16) | (place - first)
 
 
+def _collapsed(grams, digest, spot, passage: int):
+    """Rows to look up, and runs: spans that a text repeats itself stand once, and are runs already."""
+    order = np.lexsort((digest, grams))
+    same = (np.diff(grams[order].view(np.int64)) == 0) & (np.diff(digest[order].view(np.int64)) == 0)
+    again = np.r_[False, same]
+    own = spot[order[again | np.r_[same, False]]]
+    own = own[np.argsort(own >> 32, kind="stable")]
+    first, ends = own >> 32, (own >> 32) + (own >> 16 & 0xFFFF) + passage
+    reach = np.maximum.accumulate(ends)
+    opens = np.flatnonzero(np.r_[True, first[1:] > reach[:-1]][: len(first)])
+    closes = np.r_[opens[1:], len(first)][: len(opens)] - 1
+    return order[~again], first[opens], reach[closes]
+
+
 def _find_anchors(passage: int, width: int):
+    """Rows (h, c, t1, t2, spot, kind) of each text: its anchors, and the runs (c to spot, kind 2) that it repeats itself."""
+
+    def of_text(data: bytes, hasher: Hasher) -> np.ndarray:
+        t1, t2 = _text_key(data)
+        parts = []
+        for start in range(0, len(data) - passage + 1, _PIECE):
+            piece = data[start : start + _PIECE + passage - 1]
+            grams, place, first, last = anchors(np.frombuffer(piece, np.uint8), hasher, passage, width)
+            spans = zip(first.tolist(), (last + passage).tolist(), strict=True)
+            digest = np.array([xxhash.xxh3_64_intdigest(piece[a:b]) for a, b in spans], np.uint64)
+            # Equal spans are the same passages only around an anchor at the same offset.
+            digest ^= _mixed((place - first).astype(np.uint64) + np.uint64(1))
+            parts.append((grams, digest, _spot(first + start, last + start, place + start)))
+        grams, digest, spot = (np.concatenate(p) for p in zip(*parts, strict=True))
+        starts = ends = np.empty(0, np.int64)
+        if len(set(grams.tolist())) < len(grams):
+            keep, starts, ends = _collapsed(grams, digest, spot, passage)
+            grams, digest, spot = grams[keep], digest[keep], spot[keep]
+        out = np.zeros((6, len(grams) + len(starts)), np.int64)
+        out[0] = np.r_[grams.view(np.int64), np.full(len(starts), t1 ^ t2)]
+        out[1] = np.r_[digest.view(np.int64), starts]
+        out[2], out[3], out[4] = t1, t2, np.r_[spot, ends]
+        out[5, len(grams) :] = 2
+        return out
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(1 << 16)
         for batch in batches:
-            rows: list[list[np.ndarray]] = []
-            for text in batch.column(0):
+            rows, held = [], 0
+            for n, text in enumerate(batch.column(0)):
                 data = text.as_py()
-                if len(data) < passage:
-                    continue
-                t1, t2 = _text_key(data)
-                for start in range(0, len(data) - passage + 1, _PIECE):
-                    piece = data[start : start + _PIECE + passage - 1]
-                    grams, place, first, last = anchors(np.frombuffer(piece, np.uint8), hasher, passage, width)
-                    spans = zip(first.tolist(), (last + passage).tolist(), strict=True)
-                    digest = np.array([xxhash.xxh3_64_intdigest(piece[a:b]) for a, b in spans], np.uint64)
-                    # Equal spans are the same passages only around an anchor at the same offset.
-                    digest ^= _mixed((place - first).astype(np.uint64) + np.uint64(1))
-                    spot = _spot(first + start, last + start, place + start)
-                    n = len(place)
-                    rows.append([grams.view(np.int64), digest.view(np.int64), np.full(n, t1), np.full(n, t2), spot])
-            if rows:
-                columns = [pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["h", "c", "t1", "t2", "spot"])
+                if len(data) >= passage:
+                    rows.append(of_text(data, hasher))
+                    held += rows[-1].shape[1]
+                if held >= _ROWS or (rows and n + 1 == batch.num_rows):
+                    yield _record(np.concatenate(rows, axis=1), _ROW)
+                    rows, held = [], 0
 
     return find
 
 
+_ROW = ("h", "c", "t1", "t2", "spot", "kind")
+
+
+def _record(table: np.ndarray, names: tuple[str, ...]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in table], list(names))
+
+
 def _find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (h, c, t1, t2, spot): those whose anchor repeats, told apart by ``kind``.
 
     Kind 0: the whole span repeats, so all its passages do. Kind 1: one row for
     each span of an anchor that has several, to be compared closely; it may be
-    a row of kind 0 too. The rows of one anchor need not be held together: what
+    a row of kind 0 too. Runs, kind 2, pass through. The rows of one anchor need not be held together: what
     matters is the row before and after, and whether an anchor's first span,
     one held row, is followed by another span.
     """
 
     def rows_of(table: np.ndarray, kind: int) -> pa.RecordBatch:
-        columns = [pa.array(np.ascontiguousarray(c)) for c in table]
-        columns.append(pa.array(np.full(table.shape[1], kind, np.int32)))
-        return pa.RecordBatch.from_arrays(columns, ["h", "c", "t1", "t2", "spot", "kind"])
+        return _record(np.r_[table[:5], np.full((1, table.shape[1]), kind)], _ROW)
 
     held = np.empty((5, 0), np.int64)
     before: tuple[int, int] | None = None  # the span before the held row
@@ -188,26 +224,33 @@ def _find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     for batch in batches:
         if batch.num_rows:
-            new = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
-            yield from settle(np.concatenate([held, new], axis=1), False)
+            new = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)])
+            runs = new[5] == 2
+            if runs.any():
+                yield rows_of(new[:, runs], 2)
+            yield from settle(np.concatenate([held, new[:5, ~runs]], axis=1), False)
     if held.shape[1]:
         yield from settle(held, True)
 
 
 def _cut_contexts(passage: int):
     """The bytes of each span, from the text."""
+    names = ["h", "t1", "t2", "spot", "span"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            numbers, spans = [], []
             for n in range(batch.num_rows):
                 t1, t2, data = (batch.column(i)[n].as_py() for i in range(3))
-                spots = batch.column(3)[n].as_py()
-                h = [s["h"] for s in spots]
-                at = np.array([s["spot"] for s in spots], np.int64)
+                own = batch.column(3)[n].values
+                h, at = (own.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
                 first, more = at >> 32, at >> 16 & 0xFFFF
-                spans = [data[a:b] for a, b in zip(first.tolist(), (first + more + passage).tolist(), strict=True)]
-                columns = [pa.array(h, pa.int64()), pa.array([t1] * len(h)), pa.array([t2] * len(h)), pa.array(at), pa.array(spans, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["h", "t1", "t2", "spot", "span"])
+                spans += [data[a:b] for a, b in zip(first.tolist(), (first + more + passage).tolist(), strict=True)]
+                numbers.append(np.stack([h, np.full(len(h), t1), np.full(len(h), t2), at]))
+                if len(spans) >= _ROWS or n + 1 == batch.num_rows:
+                    columns = [pa.array(np.ascontiguousarray(c)) for c in np.concatenate(numbers, axis=1)]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, pa.binary())], names)
+                    numbers, spans = [], []
 
     return cut
 
@@ -362,13 +405,17 @@ def _single_passages(passage: int):
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            digests, numbers, held = [], [], 0
             for n in range(batch.num_rows):
                 t1, t2, spot, span = (batch.column(i)[n].as_py() for i in range(1, 5))
                 count = len(span) - passage + 1
-                digests = [xxhash.xxh3_128_digest(span[i : i + passage]) for i in range(count)]
-                starts = np.arange(count) + (spot >> 32)
-                columns = [pa.array(digests, pa.binary()), pa.array([t1] * count), pa.array([t2] * count), pa.array(starts)]
-                yield pa.RecordBatch.from_arrays(columns, ["digest", "t1", "t2", "start"])
+                digests += [xxhash.xxh3_128_digest(span[i : i + passage]) for i in range(count)]
+                numbers.append(np.stack([np.full(count, t1), np.full(count, t2), np.arange(count) + (spot >> 32)]))
+                held += count
+                if held >= _ROWS or n + 1 == batch.num_rows:
+                    columns = [pa.array(np.ascontiguousarray(c)) for c in np.concatenate(numbers, axis=1)]
+                    yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), *columns], ["digest", "t1", "t2", "start"])
+                    digests, numbers, held = [], [], 0
 
     return spread
 
@@ -415,8 +462,9 @@ def remove_repeats(
     rows and copies each counts as another place, so nothing is left of them.
     An empty table gives no rows. Other columns are not looked at.
 
-    Passages meet at anchors, one for about every 65 bytes. One shuffle brings
-    equal anchors together in sorted order; where the whole span around an
+    Passages meet at anchors, one for about every 65 bytes. What a text repeats
+    itself, such as a line said a hundred times, is settled in its own task, and
+    one anchor stands for it. One shuffle brings equal anchors together in sorted order; where the whole span around an
     anchor is repeated (told by 128 bits of hash), all its passages are. Only
     the spans at which repeats begin or end are fetched from their texts and
     sorted as suffixes, byte for byte checked. An anchor with more than
@@ -428,11 +476,11 @@ def remove_repeats(
     key = F.sha2(text, 256)
     half = lambda at: F.conv(F.substring(key, at, 16), 16, -10).cast("long")
     found = docs.select(text.alias("text")).mapInArrow(
-        _find_anchors(passage, width), "h long, c long, t1 long, t2 long, spot long"
+        _find_anchors(passage, width), "h long, c long, t1 long, t2 long, spot long, kind long"
     )
     found = found.repartition("h").sortWithinPartitions("h", "c", "t1", "t2", "spot")
     repeats = stored(
-        found.mapInArrow(_find_repeats, "h long, c long, t1 long, t2 long, spot long, kind int"), "suffix-repeats"
+        found.mapInArrow(_find_repeats, "h long, c long, t1 long, t2 long, spot long, kind long"), "suffix-repeats"
     )
     # The texts that have any, once each.
     touched = repeats.select("t1", "t2").distinct().withColumn("key", F.xxhash64("t1", "t2"))
@@ -458,7 +506,8 @@ def remove_repeats(
     all_spans = repeats.filter("kind = 0").select(
         "t1", "t2", first.alias("start"), (first + F.expr("(spot >> 16) & 65535") + passage).alias("end")
     )
-    runs = runs.unionByName(all_spans).groupBy("t1", "t2")
+    own_runs = repeats.filter("kind = 2").select("t1", "t2", F.col("c").alias("start"), F.col("spot").alias("end"))
+    runs = runs.unionByName(all_spans).unionByName(own_runs).groupBy("t1", "t2")
     runs = runs.agg(F.collect_list(F.struct("start", "end")).alias("runs"))
     cut = texts.join(runs, ["t1", "t2"], "left").select("t1", "t2", "text", "runs")
     cut = cut.mapInArrow(_cut_texts, f"t1 long, t2 long, n_bytes long, spans {_SPANS}, kept binary")
