@@ -23,6 +23,8 @@ ANCHOR = 72
 _PIECE = 1 << 20
 #: Rows in a batch that goes back to Spark, about.
 _ROWS = 1 << 15
+#: Spans that are sorted together.
+_AT_ONCE = 1 << 14
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -450,7 +452,7 @@ def remove_repeats(
     text_col: str = "text",
     passage: int = PASSAGE,
     width: int = ANCHOR,
-    largest_group: int = 1 << 14,
+    largest_group: int = 1 << 11,
 ) -> DataFrame:
     """One row per document: doc_id, n_bytes, spans, kept.
 
@@ -499,7 +501,7 @@ def remove_repeats(
     large = stored(sizes.filter(F.col("n") > largest_group).select("h"), "suffix-large")
     near = contexts.join(large, "h", "left_anti").repartition("h").sortWithinPartitions("h", "t1", "t2", "spot")
     near = near.select("h", "t1", "t2", "spot", "span")
-    runs = near.mapInArrow(_compare(passage, largest_group), "t1 long, t2 long, start long, end long")
+    runs = near.mapInArrow(_compare(passage, max(largest_group, _AT_ONCE)), "t1 long, t2 long, start long, end long")
     if not large.isEmpty():
         runs = runs.unionByName(_counted_runs(contexts.join(large, "h", "left_semi"), passage))
     first = F.shiftright("spot", 32)
