@@ -1,10 +1,12 @@
 from lakestrata.operators.changelog import append_changes
 from lakestrata.operators.conform import conform
+from lakestrata.operators.keyed import keyed_table, upkeep
 from lakestrata.operators.maintain import (
     backfill,
     compact_in_place,
     compact_partitions,
     drop_expired_partitions,
+    expire_folder,
     expire_partitions,
     file_stats,
     unparsable_partitions,
@@ -22,8 +24,10 @@ __all__ = [
     "compact_partitions",
     "conform",
     "drop_expired_partitions",
+    "expire_folder",
     "expire_partitions",
     "file_stats",
+    "keyed_table",
     "latest_by_key",
     "merge_into",
     "no_bet_rows",
@@ -31,5 +35,6 @@ __all__ = [
     "read_current",
     "unparsable_partitions",
     "unpivot_pairs",
+    "upkeep",
     "upsert",
 ]

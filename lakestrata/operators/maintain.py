@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from urllib.parse import unquote
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.operators.staging import replace_partitions
+from lakestrata.operators.staging import PartitionedTable, Replacement, is_stream_sink, replace_partitions
 from lakestrata.session import session_conf
-from lakestrata.sources.readers import read_touched_partitions
+from lakestrata.sources.readers import delete_folder, partition_filter, partition_values
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+#: Partitions that one ALTER TABLE drops.
+_DROPPED_AT_ONCE = 500
 
 
 def partition_date(col: str, fmt: str = "yyyyMMdd") -> Column:
@@ -20,6 +24,11 @@ def partition_date(col: str, fmt: str = "yyyyMMdd") -> Column:
     return F.to_date(F.try_to_timestamp(F.col(col).cast("string"), F.lit(fmt)))
 
 
+def today(tz: str = "UTC") -> dt.date:
+    """The day it is in a zone, whatever the driver's own."""
+    return dt.datetime.now(ZoneInfo(tz)).date()
+
+
 def _keeps(col: str, fmt: str, days: int, as_of: dt.date) -> Column:
     oldest = F.lit(as_of - dt.timedelta(days=days))
     day = partition_date(col, fmt)
@@ -27,14 +36,20 @@ def _keeps(col: str, fmt: str, days: int, as_of: dt.date) -> Column:
 
 
 def expire_partitions(
-    df: DataFrame, col: str, fmt: str = "yyyyMMdd", days: int = 3650, as_of: dt.date | None = None
+    df: DataFrame,
+    col: str,
+    fmt: str = "yyyyMMdd",
+    days: int = 3650,
+    as_of: dt.date | None = None,
+    tz: str = "UTC",
 ) -> DataFrame:
     """Rows of partitions dated ``as_of - days`` or later; unparsable ones are kept.
 
-    The predicate reads the partition column alone, so expired folders are
-    pruned before any file is opened.
+    ``as_of`` is today in the zone ``tz`` unless given. The predicate reads the
+    partition column alone, so expired folders are pruned before any file is
+    opened.
     """
-    return df.filter(_keeps(col, fmt, days, as_of or dt.date.today()))
+    return df.filter(_keeps(col, fmt, days, as_of or today(tz)))
 
 
 def unparsable_partitions(df: DataFrame, col: str, fmt: str = "yyyyMMdd") -> DataFrame:
@@ -49,19 +64,54 @@ def drop_expired_partitions(
     fmt: str = "yyyyMMdd",
     days: int = 3650,
     as_of: dt.date | None = None,
+    tz: str = "UTC",
 ) -> list[str]:
     """Drop a catalog table's expired partitions and return their values.
 
-    Only partition names, one per day, come to the driver; no data is read.
+    ``col`` may be one of several partition columns. Only partition names come
+    to the driver; no data is read.
     """
-    prefix = f"{col}="
-    listed = spark.sql(f"SHOW PARTITIONS {table}").filter(F.col("partition").startswith(prefix))
-    values = listed.select(F.substring("partition", len(prefix) + 1, 1 << 20).alias(col))
-    keep = _keeps(col, fmt, days, as_of or dt.date.today())
-    expired = sorted(row[0] for row in values.filter(~keep).collect())
-    if expired:
-        clauses = ", ".join(f"PARTITION (`{col}` = '{value}')" for value in expired)
+    listed = spark.sql(f"SHOW PARTITIONS {table}")
+    level = F.filter(F.split("partition", "/"), lambda part: part.startswith(f"{col}="))[0]
+    values = listed.select("partition", F.substring(level, len(col) + 2, 1 << 20).alias(col))
+    keep = _keeps(col, fmt, days, as_of or today(tz))
+    expired = sorted(values.filter(~keep).collect())
+    for at in range(0, len(expired), _DROPPED_AT_ONCE):
+        clauses = ", ".join(_clause(row["partition"]) for row in expired[at : at + _DROPPED_AT_ONCE])
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
+    return sorted({row[col] for row in expired})
+
+
+def _clause(partition: str) -> str:
+    """A partition as it is listed, as a clause that names it."""
+    levels = []
+    for level in partition.split("/"):
+        name, _, value = level.partition("=")
+        text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+        levels.append(f"`{name}` = " + ("NULL" if value == "__HIVE_DEFAULT_PARTITION__" else f"'{text}'"))
+    return f"PARTITION ({', '.join(levels)})"
+
+
+def expire_folder(
+    spark: SparkSession,
+    path: str,
+    col: str,
+    fmt: str = "yyyyMMdd",
+    days: int = 3650,
+    as_of: dt.date | None = None,
+    tz: str = "UTC",
+) -> list[str]:
+    """Delete the expired partition folders of a table without a catalog and return their values.
+
+    Folders that a streaming query writes are refused: its list of files would
+    name files that are gone.
+    """
+    _refuse_stream_sink(spark, path)
+    keep = _keeps(col, fmt, days, as_of or today(tz))
+    with session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+        expired = sorted(partition_values(file_stats(spark, path, col).filter(~keep).select(col)))
+    for value in expired:
+        delete_folder(spark, path, col, value)
     return expired
 
 
@@ -71,23 +121,33 @@ def file_stats(spark: SparkSession, path: str, col: str) -> DataFrame:
     return files.groupBy(col).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
-def _file_size(target_bytes: int) -> dict[str, str]:
+def _upkeep_conf(target_bytes: int) -> dict[str, str]:
+    """Even files of the target size, and partition values as they are written: 00 stays 00."""
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     }
 
 
+def _refuse_stream_sink(spark: SparkSession, path: str) -> None:
+    if is_stream_sink(spark, path):
+        raise ValueError(
+            f"{path} is kept by a streaming query, whose own list of files would name files that are gone;"
+            " keep the table by key and compact that"
+        )
+
+
 def compact_partitions(
     spark: SparkSession, src: str, dst: str, col: str, target_bytes: int = TARGET_FILE_BYTES
 ) -> None:
-    """Rewrite the table at ``src`` to ``dst`` with files near ``target_bytes``, rows unchanged.
+    """Rewrite the table at ``src`` to ``dst`` with files near ``target_bytes``, rows and folders unchanged.
 
     The rebalance gathers a partition's small files, and adaptive execution
     cuts a large partition into several writers of the advisory size.
     """
-    with session_conf(spark, _file_size(target_bytes)):
+    with session_conf(spark, _upkeep_conf(target_bytes)):
         rows = spark.read.parquet(src)
         rows.hint("rebalance", col).write.mode("overwrite").partitionBy(col).parquet(dst)
 
@@ -96,27 +156,33 @@ def compact_in_place(
     spark: SparkSession,
     path: str,
     col: str,
-    stage: str,
-    batch: str,
     target_bytes: int = TARGET_FILE_BYTES,
     min_files: int = 3,
+    table: PartitionedTable | None = None,
 ) -> None:
     """Compact only the partitions with ``min_files`` files and at least twice those they need.
 
-    The table has no other writer meanwhile. ``stage`` and ``batch`` are as for
-    ``replace_partitions``, so a run that was cut off is repeated safely.
+    The table has no other writer meanwhile; a run that was cut off is finished
+    by the next writer. ``table`` is given for a table of the catalog, whose
+    buckets need a file each. Folders that a streaming query writes are refused.
     """
-    schema = spark.read.parquet(path).schema
-    needed = F.ceil(F.col("bytes") / target_bytes)
-    fragmented = file_stats(spark, path, col).filter(
-        (F.col("files") >= min_files) & (F.col("files") >= 2 * needed)
-    )
-
-    def gathered() -> DataFrame | None:
-        return read_touched_partitions(spark, path, schema, col, fragmented.select(col))
-
-    with session_conf(spark, _file_size(target_bytes)):
-        replace_partitions(spark, path, schema, col, gathered, stage, batch)
+    _refuse_stream_sink(spark, path)
+    with session_conf(spark, _upkeep_conf(target_bytes)):
+        target = table or PartitionedTable(path, spark.read.parquet(path).schema, col)
+        least = max(target.buckets, 1)
+        needed = F.greatest(F.ceil(F.col("bytes") / target_bytes), F.lit(least))
+        fragmented = file_stats(spark, path, col).filter(
+            (F.col("files") >= min_files) & (F.col("files") >= 2 * needed)
+        )
+
+        def gathered() -> Replacement | None:
+            touched = partition_values(fragmented.select(col))
+            stored = target.read(spark)
+            if stored is None or not touched:
+                return None
+            return Replacement(stored.filter(partition_filter(col, touched)))
+
+        replace_partitions(spark, target, gathered)
 
 
 def backfill(df: DataFrame, col: str, tie_cols: Sequence[str] = ()) -> DataFrame:

@@ -1,64 +1,152 @@
 """Replace whole partitions of a parquet table, safe to repeat after a crash.
 
 Replacing partitions swaps folders one after the other, so a crash half way
-leaves some of them empty. The new rows are therefore complete in a staging
-folder, and marked, before the table is touched; a repeated batch finds the
-mark and finishes the swap from there instead of reading a torn table.
+leaves some of them empty. The new rows are therefore complete in a stage
+beside the table, and marked, before the table is touched. The mark lives only
+as long as the swap: whoever writes next finishes a swap that was cut off, and
+then starts from the table as it is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lakestrata.sources.readers import read_if_present
+from lakestrata.session import session_conf
+from lakestrata.sources.readers import (
+    delete_folder,
+    partition_values,
+    path_exists,
+    read_if_present,
+)
 
-_MARK_SCHEMA = StructType([StructField("batch", StringType())])
+_MARK_SCHEMA = StructType([StructField("emptied", StringType())])
+
+
+@dataclass(frozen=True)
+class Replacement:
+    """Rows of the partitions to replace.
+
+    ``touched`` are their values, as text, when rows may be missing for some:
+    those are dropped. ``lone`` rows belong to partitions the table does not
+    have, so nothing is lost when they are written without a stage.
+    """
+
+    rows: DataFrame
+    touched: list[str | None] = field(default_factory=list)
+    lone: bool = False
+
+
+@dataclass(frozen=True)
+class PartitionedTable:
+    """A parquet table by its folder, or by its name in the catalog (with its folder).
+
+    ``bucket_by`` and ``buckets`` say how the catalog table is bucketed.
+    """
+
+    path: str
+    schema: StructType
+    partition: str
+    name: str | None = None
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
+    file_bytes: int | None = None
+
+    @property
+    def stage(self) -> str:
+        """The one stage of the table, whoever writes to it."""
+        return self.path.rstrip("/") + ".stage"
+
+    def read(self, spark: SparkSession) -> DataFrame | None:
+        """The stored rows, or None when nothing was written yet."""
+        stored = spark.table(self.name) if self.name else read_if_present(spark, self.path, self.schema)
+        return None if stored is None else stored.select(*self.schema.names)
+
+    def spread(self, rows: DataFrame) -> DataFrame:
+        """Rows gathered by partition, and bucket, for writers of even size."""
+        if not self.buckets:
+            return rows.hint("rebalance", self.partition)
+        bucket = F.pmod(F.hash(*self.bucket_by), F.lit(self.buckets))
+        return rows.withColumn("_bucket", bucket).hint("rebalance", self.partition, "_bucket").drop("_bucket")
+
+    def overwrite(self, spark: SparkSession, rows: DataFrame) -> None:
+        """Replace the partitions that ``rows`` has."""
+        sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(self.file_bytes)} if self.file_bytes else {}
+        with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic", **sizes}):
+            if self.name:
+                ordered = rows.select(*spark.table(self.name).columns)
+                ordered.write.mode("overwrite").insertInto(self.name)
+            else:
+                rows.write.mode("overwrite").partitionBy(self.partition).parquet(self.path)
+
+    def drop(self, spark: SparkSession, values: list[str | None]) -> None:
+        """Drop partitions by their values as text."""
+        for value in values:
+            if self.name:
+                literal = "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+                spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (`{self.partition}` = {literal})")
+            delete_folder(spark, self.path, self.partition, value)
 
 
 def replace_partitions(
-    spark: SparkSession,
-    path: str,
-    schema: StructType,
-    partition: str,
-    build: Callable[[], DataFrame | None],
-    stage: str,
-    batch: str,
+    spark: SparkSession, table: PartitionedTable, build: Callable[[], Replacement | None]
 ) -> None:
-    """Replace the partitions that ``build()`` returns rows for; None leaves the table as it is.
+    """Replace partitions by what ``build()`` returns; None leaves the table as it is.
 
-    ``stage`` holds one batch at a time and belongs to one writer. A batch that
-    failed must be repeated, under its name, before the next one is run.
-    Readers may see a partition missing for the moment of its swap.
+    One writer at a time. Readers may see a partition missing for the moment of
+    its swap.
     """
-    if not _is_staged(spark, stage, batch):
-        rows = build()
-        if rows is None:
-            return
-        (
-            rows.hint("rebalance", partition)
-            .write.mode("overwrite")
-            .partitionBy(partition)
-            .parquet(f"{stage}/rows")
-        )
-        mark = spark.range(1).coalesce(1).select(F.lit(batch).alias("batch"))
-        mark.write.mode("overwrite").parquet(f"{stage}/mark")
-    _swap(spark, path, schema, partition, stage)
-
-
-def _swap(spark: SparkSession, path: str, schema: StructType, partition: str, stage: str) -> None:
-    staged = spark.read.schema(schema).parquet(f"{stage}/rows").select(*schema.names)
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-
-
-def _is_staged(spark: SparkSession, stage: str, batch: str) -> bool:
-    mark = read_if_present(spark, f"{stage}/mark", _MARK_SCHEMA)
-    return mark is not None and not mark.filter(mark["batch"] == batch).isEmpty()
+    finish_pending(spark, table)
+    new = build()
+    if new is None:
+        return
+    if new.lone:
+        table.overwrite(spark, table.spread(new.rows))
+        return
+    rows = table.spread(new.rows.select(*table.schema.names))
+    rows.write.mode("overwrite").partitionBy(table.partition).parquet(f"{table.stage}/rows")
+    emptied: list[str | None] = []
+    if new.touched:
+        staged = partition_values(_staged(spark, table).select(table.partition))
+        emptied = [value for value in new.touched if value not in staged]
+    _set_mark(spark, table, [("p" if v is None else f"v{v}",) for v in emptied] or [(None,)])
+    _swap(spark, table)
+    _set_mark(spark, table, [])
+    # The copy is not needed any more.
+    spark.createDataFrame([], _MARK_SCHEMA).write.mode("overwrite").parquet(f"{table.stage}/rows")
+
+
+def finish_pending(spark: SparkSession, table: PartitionedTable) -> None:
+    """Finish a swap that was cut off, if there is one."""
+    if _mark(spark, table):
+        _swap(spark, table)
+        _set_mark(spark, table, [])
+
+
+def _staged(spark: SparkSession, table: PartitionedTable) -> DataFrame:
+    return spark.read.schema(table.schema).parquet(f"{table.stage}/rows").select(*table.schema.names)
+
+
+def _swap(spark: SparkSession, table: PartitionedTable) -> None:
+    table.overwrite(spark, table.spread(_staged(spark, table)))
+    marks = [row["emptied"] for row in _mark(spark, table)]
+    table.drop(spark, [None if m == "p" else m[1:] for m in marks if m is not None])
+
+
+def _mark(spark: SparkSession, table: PartitionedTable) -> list:
+    mark = read_if_present(spark, f"{table.stage}/mark", _MARK_SCHEMA)
+    return [] if mark is None else mark.collect()
+
+
+def _set_mark(spark: SparkSession, table: PartitionedTable, rows: list[tuple]) -> None:
+    mark = spark.createDataFrame(rows, _MARK_SCHEMA).coalesce(1)
+    mark.write.mode("overwrite").parquet(f"{table.stage}/mark")
+
+
+def is_stream_sink(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming query keeps its own list of files in the folder."""
+    return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakestrata.operators.staging import replace_partitions
+from lakestrata.operators.staging import PartitionedTable, Replacement, replace_partitions
 from lakestrata.operators.versions import (
     DELETE,
     ROW_KIND,
@@ -18,17 +18,18 @@ from lakestrata.operators.versions import (
     merge_winners,
     winning_changes,
 )
-from lakestrata.sources.readers import read_if_present, read_touched_partitions
+from lakestrata.sources.readers import partition_filter, partition_values
 
 
 @dataclass(frozen=True)
 class UpsertTarget:
     """A keyed table stored with sequence and row kind, deletes included.
 
-    The partition column is part of the key: a change never moves a row between
-    partitions, which is what makes the rewrite of touched partitions exact.
-    Batches whose keys and sequences take at most ``broadcast_bytes`` are merged
-    without shuffling the table.
+    It is a folder, or, with ``name``, a table of the catalog in that folder,
+    then perhaps with buckets. The partition column is part of the key: a change
+    never moves a row between partitions, which is what makes the rewrite of
+    touched partitions exact. Batches whose keys and sequences take at most
+    ``broadcast_bytes`` are merged without shuffling the table.
     """
 
     path: str
@@ -39,61 +40,74 @@ class UpsertTarget:
     kind: str = ROW_KIND
     keep_first: tuple[str, ...] = ()
     broadcast_bytes: int = 64 * 1024 * 1024
+    name: str | None = None
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
+    file_bytes: int | None = None
 
     def __post_init__(self) -> None:
         if self.partition not in self.keys:
             raise ValueError("the partition column must be one of the keys")
 
+    @property
+    def table(self) -> PartitionedTable:
+        return PartitionedTable(
+            self.path, self.schema, self.partition, self.name, self.bucket_by, self.buckets, self.file_bytes
+        )
+
     def read(self, spark: SparkSession) -> DataFrame:
         """The stored rows, deletes included; empty when nothing was written yet."""
-        stored = read_if_present(spark, self.path, self.schema)
-        if stored is None:
-            return spark.createDataFrame([], self.schema)
-        return stored.select(*self.schema.names)
+        stored = self.table.read(spark)
+        return spark.createDataFrame([], self.schema) if stored is None else stored
 
 
-def upsert(
-    spark: SparkSession, target: UpsertTarget, changes: DataFrame, stage: str, batch: str
-) -> None:
-    """Merge ``changes`` into the table; running the same ``batch`` again changes nothing."""
+def upsert(spark: SparkSession, target: UpsertTarget, changes: DataFrame) -> None:
+    """Merge ``changes`` into the table.
 
-    def merged() -> DataFrame:
-        winners = winning_changes(
-            changes.select(*target.schema.names), target.keys, target.seq, target.kind
-        )
+    A batch that is run again changes nothing: a change with a sequence that the
+    table already has is not applied. A swap that a lost driver left half done,
+    by whichever job, is finished first.
+    """
+    rows = changes.select(*target.schema.names)
+
+    def merged() -> Replacement | None:
+        touched = partition_values(rows.select(target.partition))
+        if not touched:
+            return None
+        stored = target.table.read(spark)
+        base = None if stored is None else stored.filter(partition_filter(target.partition, touched))
+        winners = winning_changes(rows, target.keys, target.seq, target.kind)
+        if base is None or base.isEmpty():
+            return Replacement(winners, lone=True)
         # Written out, the winners have a known size for the join, and losing an
         # executor never recomputes the change batch.
-        winners.write.mode("overwrite").parquet(f"{stage}/winners")
-        winners = spark.read.schema(target.schema).parquet(f"{stage}/winners")
-        touched = winners.select(target.partition).distinct()
-        base = read_touched_partitions(spark, target.path, target.schema, target.partition, touched)
-        if base is None:
-            return winners
+        place = f"{target.table.stage}/winners"
+        winners.write.mode("overwrite").parquet(place)
+        winners = spark.read.schema(target.schema).parquet(place)
         few = lookup_bytes(winners, target.keys, target.seq) <= target.broadcast_bytes
         merge = merge_few_winners if few else merge_winners
-        base = base.select(*target.schema.names)
-        return merge(base, winners, target.keys, target.seq, target.kind, target.keep_first)
+        return Replacement(merge(base, winners, target.keys, target.seq, target.kind, target.keep_first))
 
-    replace_partitions(spark, target.path, target.schema, target.partition, merged, stage, batch)
+    replace_partitions(spark, target.table, merged)
 
 
-def purge_deletes(
-    spark: SparkSession, target: UpsertTarget, settled: Column, stage: str, batch: str
-) -> None:
+def purge_deletes(spark: SparkSession, target: UpsertTarget, settled: Column) -> None:
     """Drop the ``-D`` rows for which ``settled`` holds: no older change can still arrive for them.
 
-    Only partitions that hold such rows are rewritten; ``stage`` and ``batch``
-    are as for ``upsert``. A partition left with nothing else keeps its deletes,
-    which no reader sees, until it expires.
+    Only partitions that hold such rows are rewritten, and those that hold
+    nothing else are dropped.
     """
     gone = F.col(target.kind).eqNullSafe(DELETE) & F.coalesce(settled, F.lit(False))
 
-    def remaining() -> DataFrame | None:
-        touched = target.read(spark).filter(gone).select(target.partition).distinct()
-        rows = read_touched_partitions(spark, target.path, target.schema, target.partition, touched)
-        return None if rows is None else rows.filter(~gone).select(*target.schema.names)
+    def remaining() -> Replacement | None:
+        stored = target.read(spark)
+        touched = partition_values(stored.filter(gone).select(target.partition))
+        if not touched:
+            return None
+        rows = stored.filter(partition_filter(target.partition, touched)).filter(~gone)
+        return Replacement(rows, touched)
 
-    replace_partitions(spark, target.path, target.schema, target.partition, remaining, stage, batch)
+    replace_partitions(spark, target.table, remaining)
 
 
 def merge_into(

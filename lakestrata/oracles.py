@@ -2,34 +2,66 @@
 
 from __future__ import annotations
 
-from lakestrata.plans.ewallet import PAYMENTS, TRANSACTION_DETAILS
-from lakestrata.plans.ratings import BET_PAIRS, HAND_COLUMNS, TRIMMED
-from lakestrata.sources.tables import DetailTable
 from lakestrata.sources.testviews import duckdb_view
 
-STAMP = "TIMESTAMP '2024-01-01 00:00:00'"
-
-
-def _detail(table: DetailTable, raw: str, *carried: str) -> str:
-    columns = list(carried)
-    for field in table.schema:
-        name, dtype = field.name, field.dataType.simpleString()
-        if name in table.audit:
-            columns.append(f"{STAMP} AS {name}")
-        elif dtype == "timestamp_ntz":
-            columns.append(f"date_trunc('millisecond', {table.mapping[name]}) AS {name}")
-        else:
-            columns.append(f"{table.mapping[name]} AS {name}")
-    return (
-        f"SELECT {', '.join(columns)} FROM ({duckdb_view(raw)}) raw WHERE {table.partition} IS NOT NULL"
-    )
+# The column lists are written out here, and not taken from the jobs under test.
+_PAYMENT_COLUMNS = """Id AS id, PatronId AS patron_id, Amount AS amount, Status AS status, Outlet AS outlet,
+  POSReference AS pos_reference, Remark AS remark, TransactionType AS transaction_type, DeviceId AS device_id,
+  OutletCode AS outlet_code, CardTier AS card_tier, AdminFee AS admin_fee, OutletProperty AS outlet_property,
+  OutletShopNo AS outlet_shop_no, PaymentAmount AS payment_amount, PaymentMethod AS payment_method,
+  RemainingAmount AS remaining_amount, Rounding AS rounding,
+  date_trunc('millisecond', CreatedTime) AS created_time, CreatedBy AS created_by,
+  date_trunc('millisecond', ModifiedTime) AS modified_time, ModifiedBy AS modified_by,
+  TIMESTAMP '2024-01-01 00:00:00' AS dwd_create_at, TIMESTAMP '2024-01-01 00:00:00' AS dwd_update_at,
+  pt_created_date"""
+
+_DETAIL_COLUMNS = """Id AS id, BalanceDetailId AS balance_detail_id, BeforeDetailBalance AS before_detail_balance,
+  Amount AS amount, date_trunc('millisecond', ExpiryDate) AS expiry_date, ComporId AS compor_id,
+  TransactionType AS transaction_type, Channel AS channel, POSReference AS pos_reference, Outlet AS outlet,
+  Remark AS remark, PaymentDetailId AS payment_detail_id, PaymentId AS payment_id,
+  AfterDetailBalance AS after_detail_balance, SourceSystem AS source_system, DollarTypeId AS dollar_type_id,
+  ExceptionBalance AS exception_balance, PatronId AS patron_id, SourceKey AS source_key, DeviceId AS device_id,
+  AfterBalance AS after_balance, BeforeBalance AS before_balance, OutletCode AS outlet_code, Property AS property,
+  DisplaySourceKey AS display_source_key, SourceSystemExtraReference AS source_system_extra_reference,
+  SegmentCode AS segment_code, date_trunc('millisecond', CreatedTime) AS created_time, CreatedBy AS created_by,
+  TIMESTAMP '2024-01-01 00:00:00' AS dwd_create_at, TIMESTAMP '2024-01-01 00:00:00' AS dwd_update_at,
+  pt_created_date"""
+
+_HANDS = """uid AS hand_by_hand_uid, rating_id, game_info_uid, property, dt, trim(game_id) AS game_id,
+  seated_patron_exists, game_start_datetime, game_finish_datetime, trim(hardware_id) AS table_device_id,
+  operation_id, bet_chip_sum, pay_off_sum, box_number, chip_set_name AS chipset_type, create_datetime"""
+
+_BRANCHES = (
+    ("PlayerWin", "bet_chip_player_win_average", "pay_off_player_win_average"),
+    ("BankerWin", "bet_chip_banker_win_average", "pay_off_banker_win_average"),
+    ("Tie", "bet_chip_tie_average", "pay_off_tie_average"),
+    ("PlayerPair", "bet_chip_player_pair_average", "pay_off_player_pair_average"),
+    ("BankerPair", "bet_chip_banker_pair_average", "pay_off_banker_pair_average"),
+    ("Lucky6", "bet_chip_lucky6_average", "pay_off_lucky6_average"),
+    ("Lucky6Small", "bet_chip_lucky6_small_average", "pay_off_lucky6_small_average"),
+    ("Lucky6Big", "bet_chip_lucky6_big_average", "pay_off_lucky6_big_average"),
+    ("Fortune6", "bet_chip_fortune6_average", "pay_off_fortune6_average"),
+    ("Tiger", "bet_chip_tiger_average", "pay_off_tiger_average"),
+    ("SmallTiger", "bet_chip_small_tiger_average", "pay_off_small_tiger_average"),
+    ("BigTiger", "bet_chip_big_tiger_average", "pay_off_big_tiger_average"),
+    ("TigerTie", "bet_chip_tiger_tie_average", "pay_off_tiger_tie_average"),
+    ("TigerPair", "bet_chip_tiger_pair_average", "pay_off_tiger_pair_average"),
+    ("BankerIns1", "bet_chip_banker_ins1_average", "pay_off_banker_ins1_average"),
+    ("PlayerIns1", "bet_chip_player_ins1_average", "pay_off_player_ins1_average"),
+    ("BankerIns2", "bet_chip_banker_ins2_average", "pay_off_banker_ins2_average"),
+    ("PlayerIns2", "bet_chip_player_ins2_average", "pay_off_player_ins2_average"),
+    ("Super7", "bet_chip_super7_average", "pay_off_super7_average"),
+    ("SuperLucky", "bet_chip_super_lucky_average", "pay_off_super_lucky_average"),
+    ("Lucky72", "bet_chip_lucky72_average", "pay_off_lucky72_average"),
+    ("Lucky73", "bet_chip_lucky73_average", "pay_off_lucky73_average"),
+)
 
+STAMP = "TIMESTAMP '2024-01-01 00:00:00'"
 
-def _hand(column: str) -> str:
-    return f"trim({column})" if column in TRIMMED else column
 
+def _conformed(columns: str, raw: str) -> str:
+    return f"SELECT {columns} FROM ({duckdb_view(raw)}) raw WHERE pt_created_date IS NOT NULL"
 
-_HANDS = ", ".join(f"{_hand(column)} AS {name}" for column, name in HAND_COLUMNS)
 
 _BETS = "WITH wide AS ({wide}) {branches}".format(
     wide=duckdb_view("wide"),
@@ -38,7 +70,7 @@ _BETS = "WITH wide AS ({wide}) {branches}".format(
         f" '{label}' AS bet_option, {bet} AS bet_amount,"
         f" CAST(COALESCE({payoff}, 0) AS DECIMAL(18,2)) AS payoff_amount"
         f" FROM wide WHERE bet_chip_sum > 0 AND {bet} > 0"
-        for label, (bet, payoff) in BET_PAIRS.items()
+        for label, bet, payoff in _BRANCHES
     ),
 )
 
@@ -56,16 +88,22 @@ _CURRENT = f"""SELECT id, pt_created_date, seq, amount, status FROM (
   SELECT *, row_number() OVER (PARTITION BY id, pt_created_date ORDER BY seq DESC) AS newest
   FROM ({_FEED}) feed WHERE row_kind <> '-U') ranked WHERE newest = 1 AND row_kind <> '-D'"""
 
-_PAYMENTS = _detail(PAYMENTS, "pay")
-_DETAILS = _detail(TRANSACTION_DETAILS, "txn")
+_PAYMENTS = _conformed(_PAYMENT_COLUMNS, "pay")
+_DETAILS = _conformed(_DETAIL_COLUMNS, "txn")
+_PAYMENTS_FEED = _conformed(_PAYMENT_COLUMNS, "pay_feed")
+
+
+def _newest(columns: str, raw: str, sequence: str, carried: str) -> str:
+    """The newest row of each key that is no before-image, deletes included."""
+    return f"""SELECT * EXCLUDE (newest) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, pt_created_date ORDER BY {sequence} DESC) AS newest
+  FROM ({_conformed(f"{columns}, {carried}", raw)}) rows WHERE _row_kind <> '-U') ranked WHERE newest = 1"""
 
-_PAYMENTS_FEED = _detail(PAYMENTS, "pay_feed")
-_DETAILS_FEED = _detail(TRANSACTION_DETAILS, "txn_feed", "_row_kind")
 
-_CURRENT_DETAILS = f"""SELECT * EXCLUDE (newest, _row_kind) FROM (
-  SELECT *, row_number() OVER (PARTITION BY id, pt_created_date ORDER BY payment_id DESC) AS newest
-  FROM ({_DETAILS_FEED}) details WHERE _row_kind <> '-U') ranked
-WHERE newest = 1 AND _row_kind <> '-D'"""
+_STORED_PAYMENTS = _newest(_PAYMENT_COLUMNS, "pay_feed", "_seq", "_seq, _row_kind")
+_CURRENT_PAYMENTS = f"SELECT * EXCLUDE (_seq, _row_kind) FROM ({_STORED_PAYMENTS}) stored WHERE _row_kind <> '-D'"
+_STORED_DETAILS = _newest(_DETAIL_COLUMNS, "txn_feed", "payment_id", "_row_kind")
+_CURRENT_DETAILS = f"SELECT * EXCLUDE (_row_kind) FROM ({_STORED_DETAILS}) stored WHERE _row_kind <> '-D'"
 
 
 def _unexpired(rows: str, as_of: str) -> str:
@@ -97,13 +135,19 @@ FROM ({_CURRENT}) current_rows GROUP BY id HAVING count(*) > 1""",
     "stream_upsert": _CURRENT,
     "stream_transaction_details": _CURRENT_DETAILS,
     "multi_sink_load": f"""SELECT 'payments' AS sink, CAST(id AS VARCHAR) AS id, amount, pt_created_date
-FROM ({_PAYMENTS_FEED}) payments
+FROM ({_CURRENT_PAYMENTS}) payments
 UNION ALL
-SELECT 'transaction_details' AS sink, id, amount, pt_created_date FROM ({_DETAILS_FEED}) details""",
+SELECT 'transaction_details' AS sink, id, amount, pt_created_date FROM ({_CURRENT_DETAILS}) details""",
+    "stream_payments_keyed": _CURRENT_PAYMENTS,
+    "upsert_twice_same_name": _CURRENT,
+    "late_file_load": _FEED,
+    "keyed_table_life": f"""SELECT * FROM ({_STORED_PAYMENTS}) stored
+WHERE strptime(CAST(pt_created_date AS VARCHAR), '%Y%m%d') >= TIMESTAMP '2034-01-10 00:00:00' - INTERVAL 3650 DAY
+  AND NOT (_row_kind = '-D' AND pt_created_date <= 20240115)""",
     "resumed_load": _FEED,
     "purge_deletes": f"""SELECT id, pt_created_date, seq, row_kind, amount, status FROM (
   SELECT *, row_number() OVER (PARTITION BY id, pt_created_date ORDER BY seq DESC) AS newest
-  FROM ({_FEED}) feed WHERE row_kind <> '-U') ranked
+  FROM ({_FEED}) feed WHERE row_kind = '-D' OR (row_kind <> '-U' AND pt_created_date <> 20240107)) ranked
 WHERE newest = 1 AND NOT (row_kind = '-D' AND pt_created_date <= 20240115)""",
     "expire_partitions": _unexpired(_PAYMENTS, "2005-10-01"),
     "drop_expired_partitions": _unexpired(_PAYMENTS_FEED, "2034-01-10"),

@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import DecimalType, IntegerType, LongType, StringType, StructField, StructType
 
 from lakestrata.operators import (
     UpsertTarget,
@@ -19,9 +20,11 @@ from lakestrata.operators import (
     compact_partitions,
     drop_expired_partitions,
     expire_partitions,
+    keyed_table,
     latest_by_key,
     purge_deletes,
     read_current,
+    upkeep,
     upsert,
 )
 from lakestrata.operators.versions import ROW_KIND
@@ -30,9 +33,9 @@ from lakestrata.plans.models import run_model, success_transactions
 from lakestrata.plans.ratings import bets, no_bets
 from lakestrata.plans.views import page_views_per_minute as views_per_minute
 from lakestrata.session import work_dir
-from lakestrata.sources.readers import Sources
-from lakestrata.sources.tables import create_database, create_table, create_table_as, insert_into
-from lakestrata.sources.testviews import table_rows, view
+from lakestrata.sources.readers import Sources, scan, set_modified
+from lakestrata.sources.tables import Keyed, create_database, create_table, create_table_as, insert_into
+from lakestrata.sources.testviews import table_rows, table_schema, view, view_of
 from lakestrata.streaming import Load, run_loads
 
 # Fixed so that a query and its check stamp the same time.
@@ -40,6 +43,7 @@ AS_OF = dt.datetime(2024, 1, 1)
 EXPIRY_AS_OF = dt.date(2005, 10, 1)
 FEED_EXPIRY_AS_OF = dt.date(2034, 1, 10)
 SETTLED_DAY = 20240115
+DELETED_DAY = 20240107
 DATABASE = "lakestrata_dwd"
 FEED_KEYS = ("id", "pt_created_date")
 FEED_SCHEMA = (
@@ -55,6 +59,11 @@ FEED_SCHEMA = (
 payments = to_detail(PAYMENTS, AS_OF)
 transaction_details = to_detail(TRANSACTION_DETAILS, AS_OF)
 detail_changes = to_detail(TRANSACTION_DETAILS, AS_OF, carry=(ROW_KIND,))
+SEQ = "_seq"
+PAYMENT_KEYED = Keyed(seq=(SEQ,), fields=(StructField(SEQ, LongType()),))
+payment_changes = to_detail(PAYMENTS, AS_OF, carry=(SEQ, ROW_KIND))
+# Batches of the events out of order: the newest row of a key may be in any of them.
+BATCHES = (2, 0, 3, 1)
 
 
 def dwd_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,16 +136,31 @@ def create_table_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def _batch(rows: DataFrame, seq: str, i: int) -> DataFrame:
+    return rows.filter(F.col(seq) % len(BATCHES) == i)
+
+
 def upsert_transaction_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The detail table kept as one row per key; the batch is run, and then repeated."""
-    folder = work_dir(spark, "details")
-    target = keyed_target(TRANSACTION_DETAILS, f"{folder}/table", seq=("payment_id",))
+    """The detail table kept as one row per key: batches out of order, by either merge, the first one again."""
+    target = keyed_target(TRANSACTION_DETAILS, f"{work_dir(spark, 'details')}/table", seq=("payment_id",))
     changes = detail_changes(view(spark, sf_dir, "txn_feed"))
-    for _ in range(2):
-        upsert(spark, target, changes, f"{folder}/stage", "backfill")
+    for n, i in enumerate((*BATCHES, BATCHES[0])):
+        by_join = replace(target, broadcast_bytes=0)
+        upsert(spark, by_join if n % 2 else target, _batch(changes, "payment_id", i))
     return read_current(target.read(spark))
 
 
+def upsert_twice_same_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two different batches by jobs of one name, compactions of one name between them, the first batch replayed."""
+    target = feed_target(f"{work_dir(spark, 'feed')}/table")
+    feed = view(spark, sf_dir, "feed")
+    halves = [feed.filter(F.col("seq") % 2 == i) for i in (1, 0)]
+    for rows in (*halves, halves[0]):
+        upsert(spark, target, rows)
+        compact_in_place(spark, target.path, target.partition, min_files=2, table=target.table)
+    return read_current(target.read(spark), "row_kind")
+
+
 def _append_load(spark: SparkSession, sf_dir: str, raw: str, transform, folder: str, partition=None) -> Load:
     return Load(
         name=f"{raw}-{uuid.uuid4().hex[:8]}",
@@ -169,26 +193,94 @@ def stream_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(load.append_to)
 
 
+def _event_files(spark: SparkSession, sf_dir: str, folder: str, batches) -> None:
+    """The events as files that arrived one after the other, each batch in a folder of its own."""
+    events = table_rows(spark, sf_dir, "events")
+    for i in batches:
+        _batch(events, "event_id", i).write.parquet(f"{folder}/batch-{i}")
+
+
+def _event_stream(spark: SparkSession, folder: str, name: str, files: int | None = 1) -> DataFrame:
+    rows = scan(spark, f"{folder}/batch-*", table_schema("events"), streaming=True, max_files_per_batch=files)
+    return view_of(rows, name)
+
+
+def late_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load over several files; one that arrives after the first start has a time stamp 30 days old."""
+    folder = work_dir(spark, "late")
+    load = Load(
+        name=f"late-{uuid.uuid4().hex[:8]}",
+        source=lambda session: _event_stream(session, f"{folder}/raw", "feed"),
+        transform=lambda feed: feed,
+        checkpoint=f"{folder}/checkpoint",
+        append_to=f"{folder}/rows",
+    )
+    _event_files(spark, sf_dir, f"{folder}/raw", BATCHES[:-1])
+    run_loads(spark, [load], bounded=True)
+    _event_files(spark, sf_dir, f"{folder}/raw", BATCHES[-1:])
+    set_modified(spark, f"{folder}/raw/batch-{BATCHES[-1]}", "*.parquet", 30)
+    run_loads(spark, [load], bounded=True)
+    return spark.read.parquet(load.append_to)
+
+
+def _keyed_load(folder: str, raw: str, transform, target: UpsertTarget) -> Load:
+    """A load of the event files in ``folder``, one at a time, merged by key."""
+    return Load(
+        name=f"{raw}-{uuid.uuid4().hex[:8]}",
+        source=lambda session: _event_stream(session, f"{folder}/raw", raw),
+        transform=transform,
+        checkpoint=f"{folder}/checkpoint-{raw}",
+        upsert_into=target,
+    )
+
+
+def _payments_target(spark: SparkSession) -> UpsertTarget:
+    """The payments table in the catalog, with its key, buckets and options."""
+    name, location = _fresh_table(spark, "payments")
+    create_table(spark, PAYMENTS, name, location, bucketed=True, keyed=PAYMENT_KEYED)
+    return keyed_table(spark, name)
+
+
+def stream_payments_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "payments-keyed")
+    _event_files(spark, sf_dir, f"{folder}/raw", BATCHES)
+    target = _payments_target(spark)
+    run_loads(spark, [_keyed_load(folder, "pay_feed", payment_changes, target)], bounded=True)
+    return read_current(target.read(spark), hide=(SEQ,))
+
+
 def multi_sink_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both detail tables loaded side by side."""
-    plans = {
-        "payments": ("pay_feed", payments),
-        "transaction_details": ("txn_feed", transaction_details),
-    }
-    loads = {
-        sink: _append_load(
-            spark, sf_dir, raw, transform, work_dir(spark, f"multi-{sink}"), PAYMENTS.partition
-        )
-        for sink, (raw, transform) in plans.items()
-    }
-    run_loads(spark, list(loads.values()), bounded=True)
-    paid, detailed = (
-        spark.read.parquet(load.append_to).select(
+    """Both detail tables loaded side by side, each merged by its key."""
+    folder = work_dir(spark, "multi")
+    _event_files(spark, sf_dir, f"{folder}/raw", BATCHES)
+    paid = _payments_target(spark)
+    detailed = keyed_target(TRANSACTION_DETAILS, f"{folder}/details", seq=("payment_id",))
+    loads = [
+        _keyed_load(folder, "pay_feed", payment_changes, paid),
+        _keyed_load(folder, "txn_feed", detail_changes, detailed),
+    ]
+    run_loads(spark, loads, bounded=True)
+    sinks = {"payments": paid, "transaction_details": detailed}
+    rows = [
+        read_current(target.read(spark)).select(
             F.lit(sink).alias("sink"), F.col("id").cast("string").alias("id"), "amount", "pt_created_date"
         )
-        for sink, load in loads.items()
-    )
-    return paid.unionByName(detailed)
+        for sink, target in sinks.items()
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+def keyed_table_life(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyed table of the catalog through upserts, a purge of settled deletes, expiry and compaction."""
+    target = _payments_target(spark)
+    changes = payment_changes(view(spark, sf_dir, "pay_feed"))
+    for n, i in enumerate(BATCHES):
+        upsert(spark, target, _batch(changes, SEQ, i))
+        if n == 1:
+            upkeep(spark, target.name, FEED_EXPIRY_AS_OF)
+    purge_deletes(spark, target, F.col("pt_created_date") <= SETTLED_DAY)
+    upkeep(spark, target.name, FEED_EXPIRY_AS_OF)
+    return target.read(spark)
 
 
 def feed_target(path: str) -> UpsertTarget:
@@ -197,40 +289,30 @@ def feed_target(path: str) -> UpsertTarget:
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "stream-upsert")
+    _event_files(spark, sf_dir, f"{folder}/raw", BATCHES)
     target = feed_target(f"{folder}/table")
-    load = Load(
-        name=f"upsert-{uuid.uuid4().hex[:8]}",
-        source=lambda session: view(session, sf_dir, "feed", streaming=True),
-        transform=lambda feed: feed,
-        checkpoint=f"{folder}/checkpoint",
-        upsert_into=target,
-    )
-    run_loads(spark, [load], bounded=True)
+    run_loads(spark, [_keyed_load(folder, "feed", lambda feed: feed, target)], bounded=True)
     return read_current(target.read(spark), "row_kind")
 
 
 def stream_transaction_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole path of a detail table: raw stream, conformed, merged by key."""
     folder = work_dir(spark, "stream-details")
+    _event_files(spark, sf_dir, f"{folder}/raw", BATCHES)
     target = keyed_target(TRANSACTION_DETAILS, f"{folder}/table", seq=("payment_id",))
-    load = Load(
-        name=f"details-{uuid.uuid4().hex[:8]}",
-        source=lambda session: view(session, sf_dir, "txn_feed", streaming=True),
-        transform=detail_changes,
-        checkpoint=f"{folder}/checkpoint",
-        upsert_into=target,
-    )
-    run_loads(spark, [load], bounded=True)
+    run_loads(spark, [_keyed_load(folder, "txn_feed", detail_changes, target)], bounded=True)
     return read_current(target.read(spark))
 
 
 def purged_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored rows, deletes included, once those of the first half month are settled."""
-    folder = work_dir(spark, "purged")
-    target = feed_target(f"{folder}/table")
-    upsert(spark, target, view(spark, sf_dir, "feed"), f"{folder}/stage", "load")
-    settled = F.col("pt_created_date") <= SETTLED_DAY
-    purge_deletes(spark, target, settled, f"{folder}/stage", "purge")
+    """The stored rows, deletes included, once those of the first half month are settled.
+
+    One day has nothing but deletes, and is dropped.
+    """
+    target = feed_target(f"{work_dir(spark, 'purged')}/table")
+    feed = view(spark, sf_dir, "feed")
+    upsert(spark, target, feed.filter((F.col("row_kind") == "-D") | (F.col("pt_created_date") != DELETED_DAY)))
+    purge_deletes(spark, target, F.col("pt_created_date") <= SETTLED_DAY)
     return target.read(spark)
 
 
@@ -268,7 +350,7 @@ def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compacted_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "compacted-in-place")
     log = _fragmented_log(spark, sf_dir, folder)
-    compact_in_place(spark, log, "pt_created_date", f"{folder}/stage", "first", min_files=2)
+    compact_in_place(spark, log, "pt_created_date", min_files=2)
     return spark.read.parquet(log)
 
 
@@ -319,6 +401,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_transaction_details": upsert_transaction_details,
     "stream_payments": stream_payments,
     "stream_unpivot": stream_unpivot,
+    "stream_payments_keyed": stream_payments_keyed,
+    "late_file_load": late_file_load,
+    "upsert_twice_same_name": upsert_twice_same_name,
+    "keyed_table_life": keyed_table_life,
     "stream_upsert": stream_upsert,
     "stream_transaction_details": stream_transaction_details,
     "multi_sink_load": multi_sink_load,

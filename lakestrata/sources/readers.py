@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-_PLAIN_VALUE = re.compile(r"[A-Za-z0-9_\-]+")
+#: How far behind the newest file a stream still takes a file, by its time stamp.
+#: Files that were copied with their times, or replicated late, are older than they arrive.
+MAX_FILE_AGE = "36500d"
+#: What a stream takes at a time, the first batch included.
+MAX_BATCH_BYTES = 16 * 1024 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -35,19 +38,26 @@ def scan(
     path: str,
     schema: StructType | None = None,
     streaming: bool = False,
-    max_bytes_per_batch: int | None = None,
+    max_bytes_per_batch: int | None = MAX_BATCH_BYTES,
+    max_files_per_batch: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
     """Read a parquet table, as a bounded scan or as a stream of its present and later files.
 
     A stream keeps its position in the checkpoint of the query that reads it.
+    It takes at most ``max_bytes_per_batch`` at a time (a larger file by itself),
+    or ``max_files_per_batch`` files instead, and every file whose time stamp is
+    no more than ``max_file_age`` behind the newest one.
     """
     if not streaming:
         reader = spark.read
         return (reader.schema(schema) if schema else reader).parquet(path)
     if schema is None:
         raise ValueError("a streaming scan needs a schema")
-    stream = spark.readStream.schema(schema)
-    if max_bytes_per_batch:
+    stream = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
+    if max_files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", max_files_per_batch)
+    elif max_bytes_per_batch:
         stream = stream.option("maxBytesPerTrigger", max_bytes_per_batch)
     return stream.parquet(path)
 
@@ -64,29 +74,42 @@ def read_if_present(
         raise
 
 
-def read_touched_partitions(
-    spark: SparkSession,
-    path: str,
-    schema: StructType,
-    partition: str,
-    touched: DataFrame,
-    max_listed: int = 4000,
-) -> DataFrame | None:
-    """Rows of the partitions named in ``touched`` (one distinct column), or None if there are none.
+def partition_values(partitions: DataFrame) -> list[str | None]:
+    """The distinct values of the one column of ``partitions``, as Spark writes them in a folder's name.
 
-    Up to ``max_listed`` partition values go into the path itself, so only their
-    folders are listed and read, however large the table is. With more values
-    (or values that need escaping in a path) the whole table is semi-joined.
+    One value per partition comes to the driver.
     """
-    names = [row[0] for row in touched.limit(max_listed + 1).collect()]
-    folders = [NULL_PARTITION if name is None else str(name) for name in names]
-    if len(folders) <= max_listed and all(_PLAIN_VALUE.fullmatch(f) for f in folders):
-        if not folders:
-            return None
-        glob = f"{path}/{partition}={{{','.join(folders)}}}"
-        return read_if_present(spark, glob, schema, base_path=path)
-    table = read_if_present(spark, path, schema)
-    if table is None:
-        return None
-    wanted = touched.toDF("_touched")
-    return table.join(wanted, table[partition].eqNullSafe(wanted["_touched"]), "left_semi")
+    column = F.col(f"`{partitions.columns[0]}`").cast("string").alias("value")
+    return [row["value"] for row in partitions.select(column).distinct().collect()]
+
+
+def partition_filter(partition: str, values: Sequence[str | None]) -> Column:
+    """A predicate on the partition column alone, so the scan lists no other partition's files."""
+    as_text = F.col(f"`{partition}`").cast("string")
+    named = [value for value in values if value is not None]
+    wanted = as_text.isin(named) if named else F.lit(False)
+    return wanted | as_text.isNull() if None in values else wanted
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, where = _file_system(spark, path)
+    return system.exists(where)
+
+
+def delete_folder(spark: SparkSession, table: str, partition: str, value: str | None) -> None:
+    """Delete one partition's folder, if it is there."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    system, where = _file_system(spark, f"{table}/{utils.getPartitionPathString(partition, value)}")
+    system.delete(where, True)
+
+
+def set_modified(spark: SparkSession, path: str, pattern: str, days_ago: int) -> None:
+    """Give the files that match ``pattern`` in a folder an older time stamp, as a copy that keeps times does."""
+    system, where = _file_system(spark, f"{path}/{pattern}")
+    for status in system.globStatus(where):
+        system.setTimes(status.getPath(), status.getModificationTime() - days_ago * 86_400_000, -1)

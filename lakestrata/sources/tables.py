@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DataType, IntegerType, StructField, StructType, TimestampNTZType
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegerType, StringType, StructField, StructType, TimestampNTZType
 
 
 @dataclass(frozen=True)
@@ -40,15 +41,13 @@ class DetailTable:
     @property
     def schema(self) -> StructType:
         fields = [
+            # The form of the comments on mapped columns.
             StructField(column, dtype, True, {"comment": f"ODS: {source}"})
             for source, column, dtype in self.columns
         ]
-        stamps = ((self.create_at, "creation"), (self.update_at, "update"))
-        fields += [
-            StructField(column, TimestampNTZType(), True, {"comment": f"DWD record {event} timestamp"})
-            for column, event in stamps
-        ]
-        note = {"comment": f"ODS: {self.partition}, partition key by creation date"}
+        stamps = ((self.create_at, "when this row was first loaded"), (self.update_at, "when it was last loaded"))
+        fields += [StructField(column, TimestampNTZType(), True, {"comment": text}) for column, text in stamps]
+        note = {"comment": "the day the record was created, by which the table is partitioned"}
         return StructType([*fields, StructField(self.partition, IntegerType(), True, note)])
 
     @property
@@ -66,32 +65,55 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
+@dataclass(frozen=True)
+class Keyed:
+    """What a table needs to hold one row per key: its sequence columns and the row kind.
+
+    ``seq`` names the columns that order the versions of a key, ``fields`` those
+    of them that the table does not have already.
+    """
+
+    seq: tuple[str, ...]
+    fields: tuple[StructField, ...] = ()
+    kind: str = "_row_kind"
+    keep_first_create: bool = False
+
+
 def create_table(
     spark: SparkSession,
     table: DetailTable,
     name: str | None = None,
     location: str | None = None,
     bucketed: bool = False,
+    keyed: Keyed | None = None,
 ) -> None:
     """Create the table if it is missing: comments, partitions, key and layout options.
 
-    File tables take no key clause, so the key is kept as a table property, and
-    the upsert job enforces it.
+    File tables take no key clause, so key, buckets and options are kept as table
+    properties, from which ``operators.keyed`` reads them. A table with a key is
+    written by ``upsert`` alone; ``insert_into`` refuses it.
     """
+    fields = list(table.schema)
+    if keyed:
+        fields += [*keyed.fields, StructField(keyed.kind, StringType())]
     columns = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()} COMMENT {_text(f.metadata['comment'])}"
-        for f in table.schema
+        f"`{f.name}` {f.dataType.simpleString()} COMMENT {_text(f.metadata.get('comment', 'bookkeeping'))}"
+        for f in fields
     )
-    clustered = ""
-    if bucketed:
-        by = ", ".join(f"`{k}`" for k in table.keys if k != table.partition)
-        clustered = f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {table.buckets} BUCKETS"
     options = {
-        "primary-key": ",".join(table.keys),
         "target-file-bytes": table.target_file_bytes,
         "partition-expire-days": table.expire_days,
         "partition-format": table.partition_format,
     }
+    if keyed:
+        options |= {"primary-key": ",".join(table.keys), "sequence": ",".join(keyed.seq), "row-kind": keyed.kind}
+        options["keep-first"] = table.create_at if keyed.keep_first_create else ""
+    clustered = ""
+    if bucketed:
+        key = [k for k in table.keys if k != table.partition]
+        by = ", ".join(f"`{k}`" for k in key)
+        clustered = f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {table.buckets} BUCKETS"
+        options |= {"bucket-count": table.buckets, "bucket-key": ",".join(key)}
     properties = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in options.items())
     place = f" LOCATION {_text(location)}" if location else ""
     spark.sql(
@@ -100,14 +122,27 @@ def create_table(
     )
 
 
+def table_options(spark: SparkSession, name: str) -> dict[str, str]:
+    """The options a table was created with."""
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
 def insert_into(df: DataFrame, name: str, partition: str) -> None:
-    """Append to a partitioned table, by column name.
+    """Append to a partitioned table without a key, by column name.
 
-    The rebalance gathers each partition's rows into few, evenly sized writers;
-    adaptive execution splits a hot partition over several of them.
+    The rebalance gathers the rows of each partition, and of each bucket, into
+    few, evenly sized writers; adaptive execution splits a hot one over several.
     """
+    options = table_options(df.sparkSession, name)
+    if options.get("primary-key"):
+        raise ValueError(f"{name} has a key: an insert would repeat it, use upsert")
     ordered = df.select(*df.sparkSession.table(name).columns)
-    ordered.hint("rebalance", partition).write.insertInto(name)
+    if not options.get("bucket-count"):
+        ordered.hint("rebalance", partition).write.insertInto(name)
+        return
+    bucket = F.pmod(F.hash(*options["bucket-key"].split(",")), F.lit(int(options["bucket-count"])))
+    gathered = ordered.withColumn("_bucket", bucket).hint("rebalance", partition, "_bucket").drop("_bucket")
+    gathered.write.insertInto(name)
 
 
 def create_table_as(

@@ -1,15 +1,18 @@
 """The pipelines' raw tables as views over the generated test tables.
 
 Each view is one SELECT that Spark and DuckDB both run, so a query and its
-check start from the same rows. Columns without a counterpart are typed NULLs.
+check start from the same rows. Columns without a counterpart get values of
+their own, made from a number of the row, so that no two columns are alike.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from lakestrata.plans.ewallet import PAYMENTS, TRANSACTION_DETAILS
 from lakestrata.plans.ratings import BET_PAIRS
+from lakestrata.sources.readers import scan
 from lakestrata.sources.tables import DetailTable
 
 
@@ -21,10 +24,24 @@ def _money(col: str) -> str:
     return f"CAST(CAST({col} AS DECIMAL(18,2)) AS DECIMAL(38,10))"
 
 
-def _raw_columns(table: DetailTable, given: dict[str, str]) -> str:
+def _own_value(name: str, dtype: str, at: int, number: str) -> str:
+    """A value that no other column of the row has; some are missing."""
+    if dtype == "string":
+        value = f"'{name}-'||CAST({number} AS STRING)"
+    elif dtype.startswith("timestamp"):
+        value = f"CAST('2024-01-01 00:00:00' AS TIMESTAMP_NTZ) + INTERVAL {at} HOUR"
+    elif dtype == "boolean":
+        value = f"({number}) % 2 = {at % 2}"
+    else:
+        value = f"CAST(CAST(({number}) % 1000 AS DECIMAL(18,2)) + {at}.25 AS {dtype})"
+    return f"CASE WHEN ({number}) % 11 = {at % 11} THEN NULL ELSE {value} END"
+
+
+def _raw_columns(table: DetailTable, given: dict[str, str], number: str) -> str:
     types = {f.name: f.dataType.simpleString() for f in table.source_schema}
     return ", ".join(
-        f"{given.get(name, f'CAST(NULL AS {dtype})')} AS {name}" for name, dtype in types.items()
+        f"{given.get(name) or _own_value(name, dtype, at, number)} AS {name}"
+        for at, (name, dtype) in enumerate(types.items())
     )
 
 
@@ -39,6 +56,7 @@ _PAY = _raw_columns(
         "CreatedTime": "o_orderdate",
         "pt_created_date": f"CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE {_day('o_orderdate')} END",
     },
+    "o_orderkey",
 )
 
 _LINE_ID = "CAST(l_orderkey AS STRING)||'-'||CAST(l_linenumber AS STRING)"
@@ -53,6 +71,7 @@ _TXN = _raw_columns(
         "Channel": "l_returnflag",
         "pt_created_date": f"CASE WHEN l_partkey % 10 = 0 THEN NULL ELSE {_day('l_shipdate')} END",
     },
+    "l_orderkey * 10 + l_linenumber",
 )
 
 # The two contracts once more, fed by events: a month of busy days instead of
@@ -62,16 +81,20 @@ _EVENT_DAY = f"CASE WHEN event_id % 10 = 0 THEN NULL ELSE {_day('ts')} END"
 _ROW_KIND = """CASE WHEN event_type = 'error' THEN '-D' WHEN event_type = 'click' THEN '-U'
        WHEN event_type = 'signup' THEN '+I' ELSE '+U' END"""
 
-_PAY_FEED = _raw_columns(
-    PAYMENTS,
-    {
-        "Id": "event_id",
-        "PatronId": "CAST(user_id AS STRING)",
-        "Amount": _money("value"),
-        "Status": "event_type",
-        "CreatedTime": "ts",
-        "pt_created_date": _EVENT_DAY,
-    },
+_PAY_FEED = (
+    _raw_columns(
+        PAYMENTS,
+        {
+            "Id": "user_id",
+            "PatronId": "'P'||CAST(user_id AS STRING)",
+            "Amount": _money("value"),
+            "Status": "event_type",
+            "CreatedTime": "ts",
+            "pt_created_date": _EVENT_DAY,
+        },
+        "event_id",
+    )
+    + f", event_id AS _seq, {_ROW_KIND} AS _row_kind"
 )
 
 _TXN_FEED = (
@@ -85,6 +108,7 @@ _TXN_FEED = (
             "CreatedTime": "ts",
             "pt_created_date": _EVENT_DAY,
         },
+        "event_id",
     )
     + f", {_ROW_KIND} AS _row_kind"
 )
@@ -102,18 +126,18 @@ def _hand_columns() -> str:
         "game_id": "'  '||CAST(l_orderkey AS STRING)||' '",
         "property": "CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_linestatus END",
         "box_number": "l_linenumber",
-        "rating_id": "CAST(NULL AS STRING)",
+        "rating_id": "'R'||CAST(l_orderkey % 97 AS STRING)",
         "game_info_uid": "CAST(l_partkey AS STRING)",
-        "dt": "CAST(NULL AS STRING)",
-        "game_start_datetime": "CAST(NULL AS TIMESTAMP_NTZ)",
-        "game_finish_datetime": "CAST(NULL AS TIMESTAMP_NTZ)",
-        "hardware_id": "CAST(NULL AS STRING)",
-        "operation_id": "CAST(NULL AS STRING)",
-        "patron_id": "CAST(NULL AS STRING)",
-        "create_datetime": "CAST(NULL AS TIMESTAMP_NTZ)",
-        "seated_patron_exists": "CAST(NULL AS BOOLEAN)",
+        "dt": "CAST(year(l_shipdate) AS STRING)",
+        "game_start_datetime": "l_shipdate + INTERVAL 1 HOUR",
+        "game_finish_datetime": "l_shipdate + INTERVAL 2 HOUR",
+        "hardware_id": "' H'||CAST(l_suppkey AS STRING)||'   '",
+        "operation_id": "CASE WHEN l_linenumber = 3 THEN NULL ELSE 'O'||CAST(l_linenumber AS STRING) END",
+        "patron_id": "'P'||CAST(l_partkey AS STRING)",
+        "create_datetime": "l_shipdate + INTERVAL 3 HOUR",
+        "seated_patron_exists": "l_partkey % 2 = 0",
         "bet_chip_sum": "CAST(CASE WHEN l_linenumber % 5 = 0 THEN 0 ELSE quantity END AS DECIMAL(18,2))",
-        "pay_off_sum": "CAST(NULL AS DECIMAL(18,2))",
+        "pay_off_sum": "CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE CAST(price + 0.5 AS DECIMAL(18,2)) END",
         "chip_set_name": "CASE WHEN l_returnflag = 'A' THEN 'TOTAL' ELSE l_returnflag END",
     }
     for i, (bet, payoff) in enumerate(BET_PAIRS.values()):
@@ -123,7 +147,7 @@ def _hand_columns() -> str:
             f"CAST(CASE WHEN part_turn = {-i % 4} THEN NULL WHEN part_turn = {(1 - i) % 4} THEN 0"
             f" ELSE quantity + {i} END AS DECIMAL(18,2))"
         )
-        given[payoff] = f"CASE WHEN supp_turn = {-i % 3} THEN NULL ELSE price END"
+        given[payoff] = f"CASE WHEN supp_turn = {-i % 3} THEN NULL ELSE CAST(price + {i} AS DECIMAL(18,2)) END"
     return ", ".join(f"{expression} AS {name}" for name, expression in given.items())
 
 
@@ -169,15 +193,24 @@ def duckdb_view(name: str) -> str:
     )
 
 
+def view_of(rows: DataFrame, name: str) -> DataFrame:
+    """The view over rows of its test table, wherever they are read from."""
+    _, columns, origin = VIEWS[name]
+    return rows.sparkSession.sql(f"SELECT {columns} FROM {origin}", rows=rows)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
     """The view over the tables in ``sf_dir``, bounded or as a stream."""
-    table, columns, origin = VIEWS[name]
-    return spark.sql(f"SELECT {columns} FROM {origin}", rows=table_rows(spark, sf_dir, table, streaming))
+    return view_of(table_rows(spark, sf_dir, VIEWS[name][0], streaming), name)
 
 
 def table_rows(spark: SparkSession, sf_dir: str, table: str, streaming: bool = False) -> DataFrame:
     if not streaming:
-        return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        return scan(spark, f"{sf_dir}/{table}.parquet")
     # A stream takes a folder or a glob, and the table may be either one file or
     # a folder of files.
-    return spark.readStream.schema(TABLE_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parque[t]")
+    return scan(spark, f"{sf_dir}/{table}.parque[t]", table_schema(table), streaming=True)
+
+
+def table_schema(table: str) -> StructType:
+    return StructType.fromDDL(TABLE_SCHEMAS[table])

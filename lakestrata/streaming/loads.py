@@ -18,8 +18,7 @@ class Load:
 
     The sink is a folder to append to (``append_to``, exactly once) or a keyed
     table (``upsert_into``, repeated batches change nothing). The checkpoint is
-    the load's identity: it holds the source position, and, for an upsert, the
-    staged batch.
+    the load's identity: it holds the source position.
     """
 
     name: str
@@ -36,7 +35,12 @@ def start_load(spark: SparkSession, load: Load, bounded: bool = False) -> Stream
     """Start the load; ``bounded`` works off what is there now and then stops."""
     if (load.append_to is None) == (load.upsert_into is None):
         raise ValueError(f"load {load.name} needs exactly one sink")
-    rows = load.transform(load.source(spark))
+    source = load.source(spark)
+    if load.append_to and not load.partition:
+        # Files follow the size of the data and not the input's files or row
+        # groups; before the transform, which may make many rows of one.
+        source = source.hint("rebalance")
+    rows = load.transform(source)
     if load.append_to and load.partition:
         # Without this every task would write a file into every partition it
         # meets; adaptive execution still splits a hot partition.
@@ -49,7 +53,7 @@ def start_load(spark: SparkSession, load: Load, bounded: bool = False) -> Stream
         return writer.format("parquet").outputMode("append").start(load.append_to)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert(spark, load.upsert_into, batch, f"{load.checkpoint}/stage", str(batch_id))
+        upsert(spark, load.upsert_into, batch)
 
     return writer.foreachBatch(merge).start()
 

@@ -7,9 +7,8 @@ from compare import assert_same_rows, duck
 from conftest import SF
 
 import __spark_entry__ as entry_point
-
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+from lakestrata.oracles import ORACLE_SQL as SQL
+from lakestrata.queries import QUERIES
 
 # Rows at this scale that both engines were seen to agree on before this code was written.
 CONTROL_ROWS = {
@@ -21,6 +20,8 @@ CONTROL_ROWS = {
     "apply_changes": 2826,
     "stream_upsert": 2826,
     "append_changes": 10000,
+    "late_file_load": 10000,
+    "upsert_twice_same_name": 2826,
     "expire_partitions": 11935,
     "model_success_transactions": 1981,
     "page_views_per_minute": 1938,
@@ -32,8 +33,11 @@ def connection():
     return duck(SF)
 
 
-def test_every_query_has_a_check():
+def test_every_query_has_a_check_and_is_registered():
     assert set(QUERIES) == set(SQL)
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert SQL.items() <= entry_point.oracle_sql().items()
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

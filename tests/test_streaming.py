@@ -1,18 +1,19 @@
 from __future__ import annotations
 
+import glob
 import time
 
 import pytest
 from conftest import SF
 from plans import same_rows
 
-from lakestrata.operators import latest_by_key, read_current
+from lakestrata.operators import latest_by_key, read_current, upsert
 from lakestrata.operators.versions import ROW_KIND
 from lakestrata.plans.ewallet import PAYMENTS, TRANSACTION_DETAILS, keyed_target, to_detail
 from lakestrata.plans.ratings import bets
 from lakestrata.plans.views import page_views_per_minute
 from lakestrata.queries import AS_OF, FEED_KEYS, FEED_SCHEMA, feed_target
-from lakestrata.sources.readers import scan
+from lakestrata.sources.readers import scan, set_modified
 from lakestrata.sources.testviews import table_rows, view
 from lakestrata.streaming import Load, run_loads, start_load
 from pyspark.errors import StreamingQueryException
@@ -75,6 +76,35 @@ def test_unpivot_stream_equals_batch(spark, tmp_path):
     assert same_rows(spark.read.parquet(load.append_to), bets(view(spark, "/root/testdata/sf0.001", "wide")))
 
 
+def test_unpivot_stream_is_written_by_several_tasks(spark, tmp_path):
+    load = append("spread", tmp_path, lambda s: view(s, SF, "wide", streaming=True), bets)
+    run_loads(spark, [load], bounded=True)
+    assert len(glob.glob(f"{load.append_to}/*.parquet")) > 1
+
+
+@pytest.mark.parametrize("age", [1, 30, 3000])
+def test_files_with_old_time_stamps_are_taken(spark, tmp_path, age):
+    source = str(tmp_path / "in")
+    load = append("late", tmp_path, lambda s: scan(s, f"{source}/*", _schema(spark, "id long"), streaming=True))
+    spark.range(5).write.parquet(f"{source}/first")
+    run_loads(spark, [load], bounded=True)
+    spark.range(5, 10).write.parquet(f"{source}/second")
+    set_modified(spark, f"{source}/second", "*.parquet", age)
+    run_loads(spark, [load], bounded=True)
+    assert sorted(r.id for r in spark.read.parquet(load.append_to).collect()) == list(range(10))
+
+
+def test_a_batch_replayed_after_a_backfill_undoes_nothing(spark, tmp_path):
+    """The stream merged a batch but was lost before its commit; a backfill runs before it starts again."""
+    feed = view(spark, SF, "feed").select(*FEED_SCHEMA.names)
+    target = feed_target(str(tmp_path / "table"))
+    first, second = feed.filter("seq % 2 = 0"), feed.filter("seq % 2 = 1")
+    for rows in (first, second, first):
+        upsert(spark, target, rows)
+    expected = read_current(latest_by_key(feed.filter("row_kind <> '-U'"), FEED_KEYS, "seq"), "row_kind")
+    assert same_rows(read_current(target.read(spark), "row_kind").select(*expected.columns), expected)
+
+
 def test_one_failing_load_stops_the_others(spark, tmp_path):
     good = append("good", tmp_path / "good", lambda s: s.readStream.format("rate").load())
     bad = append(

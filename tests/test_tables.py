@@ -14,21 +14,26 @@ from lakestrata.operators import (
     compact_in_place,
     compact_partitions,
     drop_expired_partitions,
+    expire_folder,
     expire_partitions,
     file_stats,
+    keyed_table,
     latest_by_key,
     merge_into,
     purge_deletes,
     read_current,
     staging,
     unparsable_partitions,
+    upkeep,
     upsert,
 )
-from lakestrata.plans.ewallet import PAYMENTS
+from lakestrata.operators.maintain import today
+from lakestrata.operators.upsert import UpsertTarget
+from lakestrata.plans.ewallet import PAYMENTS, to_detail
 from lakestrata.plans.models import LAYER_DEFAULTS, run_model, save_table, success_transactions
-from lakestrata.queries import FEED_KEYS, FEED_SCHEMA, feed_target
+from lakestrata.queries import FEED_KEYS, FEED_SCHEMA, PAYMENT_KEYED, feed_target
 from lakestrata.session import session_conf
-from lakestrata.sources.readers import Sources, read_touched_partitions
+from lakestrata.sources.readers import Sources, partition_filter, partition_values
 from lakestrata.sources.tables import create_database, create_table, create_table_as, insert_into
 from lakestrata.sources.testviews import view
 from pyspark.sql import functions as F
@@ -49,65 +54,133 @@ def expected(feed):
 def test_batches_in_any_order_and_repeated(spark, tmp_path, feed, expected, broadcast_bytes):
     target = replace(feed_target(str(tmp_path / "table")), broadcast_bytes=broadcast_bytes)
     batches = [feed.filter(F.expr(f"seq % 3 = {i}")) for i in range(3)]
-    for i in (2, 0, 1):
-        upsert(spark, target, batches[i], str(tmp_path / "stage"), f"batch {i}")
+    for i in (2, 0, 2, 1, 0):
+        upsert(spark, target, batches[i])
     assert same_rows(read_current(target.read(spark), "row_kind"), expected)
     assert target.read(spark).count() == 3771
 
 
-def test_crash_during_the_swap_is_finished_by_the_repeat(spark, tmp_path, feed, expected, monkeypatch):
+def test_different_batches_of_one_job_and_a_replay_between_compactions(spark, tmp_path, feed, expected):
     target = feed_target(str(tmp_path / "table"))
-    stage = str(tmp_path / "stage")
-    upsert(spark, target, feed.filter("seq % 2 = 0"), stage, "1")
+    halves = [feed.filter(f"seq % 2 = {i}") for i in (0, 1)]
+    sizes = []
+    for rows in (*halves, halves[0]):
+        upsert(spark, target, rows)
+        compact_in_place(spark, target.path, target.partition, min_files=2, table=target.table)
+        sizes.append(target.read(spark).count())
+    assert sizes[1] == sizes[2] == 3771
+    assert same_rows(read_current(target.read(spark), "row_kind"), expected)
+
+
+def test_nightly_compaction_keeps_what_came_in_between(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.range(160).selectExpr("id", "cast(id % 3 as int) as p")
+    rows.filter("id < 100").repartition(6).write.partitionBy("p").parquet(path)
+    compact_in_place(spark, path, "p", min_files=2)
+    rows.filter("id >= 100").repartition(6).write.mode("append").partitionBy("p").parquet(path)
+    compact_in_place(spark, path, "p", min_files=2)
+    assert same_rows(spark.read.parquet(path), rows)
+    assert file_stats(spark, path, "p").filter("files > 1").isEmpty()
+
+
+STEPS = ("_swap", "_set_mark", "overwrite", "drop", "partition_values")
 
-    rest = feed.filter("seq % 2 = 1")
-    day = 20240105
-    assert not target.read(spark).filter(F.col("pt_created_date") == day).isEmpty()
+
+@pytest.mark.parametrize("kind", ["folder", "catalog"])
+@pytest.mark.parametrize("step", STEPS)
+def test_a_driver_lost_at_any_step_loses_nothing(spark, tmp_path, feed, expected, monkeypatch, step, kind):
+    target = feed_target(str(tmp_path / "table"))
+    if kind == "catalog":
+        create_database(spark, "crashes", str(tmp_path / "db"))
+        name = f"crashes.feed_{step.strip('_')}"
+        spark.createDataFrame([], FEED_SCHEMA).write.partitionBy("pt_created_date").option(
+            "path", target.path
+        ).saveAsTable(name)
+        target = replace(target, name=name)
+    upsert(spark, target, feed.filter("seq % 2 = 0"))
+    rest, other = feed.filter("seq % 2 = 1 AND seq % 3 > 0"), feed.filter("seq % 2 = 1 AND seq % 3 = 0")
 
     def crash(*_):
         raise RuntimeError("driver lost")
 
-    with monkeypatch.context() as patch:
-        patch.setattr(staging, "_swap", crash)
-        with pytest.raises(RuntimeError, match="driver lost"):
-            upsert(spark, target, rest, stage, "2")
-    # The swap had emptied one day by then.
-    torn = f"{target.path}/pt_created_date={day}"
-    empty = spark.createDataFrame([], FEED_SCHEMA).drop("pt_created_date")
-    empty.write.mode("overwrite").parquet(torn)
-    assert target.read(spark).filter(F.col("pt_created_date") == day).isEmpty()
-
-    upsert(spark, target, rest, stage, "2")
+    owner = staging.PartitionedTable if step in ("overwrite", "drop") else staging
+    calls = {"_set_mark": 2}.get(step, 1)
+    whole = getattr(owner, step)
+    for survive in range(calls):
+        count = iter(range(100))
+        with monkeypatch.context() as patch:
+            patch.setattr(owner, step, lambda *a, c=count, n=survive: crash() if next(c) >= n else whole(*a))
+            if step == "partition_values":
+                # Asked for by purges only.
+                with pytest.raises(RuntimeError, match="driver lost"):
+                    staging.replace_partitions(
+                        spark, target.table, lambda: staging.Replacement(target.read(spark), ["20240105"])
+                    )
+            else:
+                with pytest.raises(RuntimeError, match="driver lost"):
+                    upsert(spark, target, rest)
+        if step in ("_swap", "overwrite") and survive == 0 and kind == "folder":
+            # The swap had emptied one day by then.
+            empty = spark.createDataFrame([], FEED_SCHEMA).drop("pt_created_date")
+            empty.write.mode("overwrite").parquet(f"{target.path}/pt_created_date=20240105")
+    # Another job comes first, then the batch again.
+    upsert(spark, target, other)
+    upsert(spark, target, rest)
     assert same_rows(read_current(target.read(spark), "row_kind"), expected)
 
 
 def test_untouched_partitions_keep_their_files(spark, tmp_path, feed):
     target = feed_target(str(tmp_path / "table"))
-    upsert(spark, target, feed, str(tmp_path / "stage"), "1")
+    upsert(spark, target, feed)
     before = set(glob.glob(f"{target.path}/*/*.parquet"))
     one_day = feed.filter("pt_created_date = 20240105").withColumn("seq", F.col("seq") + 1_000_000)
-    upsert(spark, target, one_day, str(tmp_path / "stage"), "2")
+    upsert(spark, target, one_day)
     gone = {path for path in before if path not in set(glob.glob(f"{target.path}/*/*.parquet"))}
     assert gone and all("pt_created_date=20240105" in path for path in gone)
 
 
+def test_the_first_batch_is_written_once_and_the_stage_is_emptied(spark, tmp_path, feed):
+    target = feed_target(str(tmp_path / "table"))
+    upsert(spark, target, feed.filter("seq % 2 = 0"))
+    assert not glob.glob(f"{target.table.stage}/**/*.parquet", recursive=True)
+    upsert(spark, target, feed)
+    assert not glob.glob(f"{target.table.stage}/rows/**/pt_created_date=*", recursive=True)
+
+
 def test_purge_rewrites_only_partitions_with_settled_deletes(spark, tmp_path):
     rows = spark.sql(
         "SELECT * FROM VALUES (1L, 1L, '+I', 20240101), (2L, 2L, '-D', 20240101), (3L, 3L, '-D', 20240102),"
-        " (4L, 4L, '+I', 20240103), (5L, 5L, '-D', 20240104), (6L, 6L, '+U', 20240104)"
+        " (4L, 4L, '+I', 20240103), (5L, 5L, '-D', 20240104), (6L, 6L, '+U', 20240104), (7L, 3L, '-D', NULL)"
         " AS t(id, seq, row_kind, pt_created_date)"
     ).selectExpr("id", "seq", "row_kind", "CAST(1 AS DECIMAL(38,10)) AS amount", "'s' AS status", "pt_created_date")
     target = feed_target(str(tmp_path / "table"))
-    upsert(spark, target, rows, str(tmp_path / "stage"), "load")
+    upsert(spark, target, rows)
     untouched = glob.glob(f"{target.path}/pt_created_date=2024010[34]/*.parquet")
-    for batch in ("purge 1", "purge 2"):
-        purge_deletes(spark, target, F.col("seq") <= 3, str(tmp_path / "stage"), batch)
-        # A day of nothing but deletes keeps them, out of sight.
-        assert {r.id for r in target.read(spark).collect()} == {1, 3, 4, 5, 6}
+    for _ in range(2):
+        purge_deletes(spark, target, F.col("seq") <= 3)
+        # Days of nothing but deletes are dropped.
+        assert {r.id for r in target.read(spark).collect()} == {1, 4, 5, 6}
         assert {r.id for r in read_current(target.read(spark), "row_kind").collect()} == {1, 4, 6}
+    assert not glob.glob(f"{target.path}/pt_created_date=20240102") + glob.glob(f"{target.path}/*HIVE*")
     assert untouched == glob.glob(f"{target.path}/pt_created_date=2024010[34]/*.parquet")
 
 
+@pytest.mark.parametrize("values", [[True, False], ["a.b", "c d", "00", "x=y/z", "é"], [dt.date(2024, 1, 2), None]])
+def test_partitions_of_any_type_are_merged_and_not_replaced(spark, tmp_path, values):
+    kind = {bool: "boolean", str: "string", dt.date: "date"}[type(values[0])]
+    schema = _struct(spark, f"id long, seq long, _row_kind string, p {kind}")
+    target = UpsertTarget(str(tmp_path / "t"), schema, ("id", "p"), ("seq",), "p")
+    for start in (0, 10):
+        rows = [(start + n, 1, "+I", v) for v in values for n in range(3)]
+        upsert(spark, target, spark.createDataFrame(rows, schema))
+    assert target.read(spark).count() == 6 * len(values)
+    purge_deletes(spark, target, F.lit(True))
+    upsert(spark, target, spark.createDataFrame([(n + s, 2, "-D", values[0]) for n in range(3) for s in (0, 10)], schema))
+    purge_deletes(spark, target, F.lit(True))
+    left = {r.p for r in target.read(spark).collect()}
+    assert left == set(values[1:])
+
+
 def test_file_tables_refuse_merge(spark, tmp_path, feed):
     create_database(spark, "ddl_checks", str(tmp_path / "db"))
     create_table_as(spark, "ddl_checks.file_table", feed, str(tmp_path / "file_table"))
@@ -120,17 +193,18 @@ def test_partition_must_be_in_the_key():
         type(feed_target("x"))("x", FEED_SCHEMA, ("id",), ("seq",), "pt_created_date")
 
 
-@pytest.mark.parametrize("listed", [2, 4000])
-def test_touched_partitions_by_path_and_by_join(spark, tmp_path, listed):
+def test_touched_partitions_are_pruned_however_many(spark, tmp_path):
     path = str(tmp_path / "t")
-    schema = "v long, p int"
     rows = spark.range(20).selectExpr("id AS v", "IF(id % 5 = 4, NULL, CAST(id % 5 AS INT)) AS p")
     rows.write.partitionBy("p").parquet(path)
+    stored = spark.read.schema(_struct(spark, "v long, p int")).parquet(path)
     wanted = spark.createDataFrame([(0,), (3,), (None,), (77,)], "p int")
-    found = read_touched_partitions(spark, path, _struct(spark, schema), "p", wanted, listed)
+    found = stored.filter(partition_filter("p", partition_values(wanted)))
     assert same_rows(found.select("v", "p"), rows.filter("p IN (0, 3) OR p IS NULL"))
-    none = read_touched_partitions(spark, str(tmp_path / "nothing"), _struct(spark, schema), "p", wanted, listed)
-    assert none is None
+    assert stored.filter(partition_filter("p", [])).isEmpty()
+    many = partition_values(spark.range(5000).select(F.col("id").cast("int").alias("p")))
+    plan = physical(stored.filter(partition_filter("p", many)))
+    assert len(many) == 5000 and "PartitionFilters: []" not in plan and "Join" not in plan
 
 
 def _struct(spark, ddl):
@@ -148,7 +222,9 @@ def test_ddl_is_idempotent_and_keeps_comments_and_options(spark, tmp_path):
     create_database(spark, "ddl_checks", str(tmp_path / "db"))
     create_database(spark, "ddl_checks", str(tmp_path / "db"))
     for _ in range(2):
-        create_table(spark, PAYMENTS, "ddl_checks.payments", str(tmp_path / "payments"), bucketed=True)
+        create_table(
+            spark, PAYMENTS, "ddl_checks.payments", str(tmp_path / "payments"), bucketed=True, keyed=PAYMENT_KEYED
+        )
     table = spark.table("ddl_checks.payments")
     assert table.schema["card_tier"].metadata["comment"] == "ODS: CardTier"
     assert [c.name for c in spark.catalog.listColumns("ddl_checks.payments") if c.isPartition] == [
@@ -157,6 +233,36 @@ def test_ddl_is_idempotent_and_keeps_comments_and_options(spark, tmp_path):
     described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED ddl_checks.payments").collect()}
     assert described["Num Buckets"] == "4"
     assert "primary-key=id,pt_created_date" in described["Table Properties"]
+    target = keyed_table(spark, "ddl_checks.payments")
+    assert (target.keys, target.seq, target.kind) == (("id", "pt_created_date"), ("_seq",), "_row_kind")
+    assert (target.bucket_by, target.buckets, target.file_bytes) == (("id",), 4, 128 << 20)
+    with pytest.raises(ValueError, match="use upsert"):
+        insert_into(target.read(spark), "ddl_checks.payments", "pt_created_date")
+
+
+def test_keyed_table_in_the_catalog_holds_one_row_per_key(spark, tmp_path):
+    create_database(spark, "ddl_checks", str(tmp_path / "db"))
+    create_table(spark, PAYMENTS, "ddl_checks.keyed", str(tmp_path / "keyed"), bucketed=True, keyed=PAYMENT_KEYED)
+    target = keyed_table(spark, "ddl_checks.keyed")
+    changes = to_detail(PAYMENTS, dt.datetime(2024, 1, 1), carry=("_seq", "_row_kind"))(view(spark, SF, "pay_feed"))
+    for _ in range(2):
+        upsert(spark, target, changes)
+        upsert(spark, target, changes.filter("_seq % 2 = 0"))
+    stored = spark.table("ddl_checks.keyed")
+    assert stored.count() == stored.select("id", "pt_created_date").distinct().count()
+    buckets = {path.rsplit("_", 1)[1].split(".")[0] for path in glob.glob(f"{tmp_path}/keyed/*/*.parquet")}
+    assert buckets == {"00000", "00001", "00002", "00003"}
+    assert upkeep(spark, "ddl_checks.keyed", dt.date(2034, 1, 10))[:1] == ["20240101"]
+    assert spark.table("ddl_checks.keyed").filter("pt_created_date = 20240101").isEmpty()
+
+
+def test_bucketed_insert_writes_one_file_per_bucket_of_a_small_day(spark, tmp_path):
+    create_database(spark, "ddl_checks", str(tmp_path / "db"))
+    create_table(spark, PAYMENTS, "ddl_checks.buckets", str(tmp_path / "b"), bucketed=True)
+    rows = to_detail(PAYMENTS, dt.datetime(2024, 1, 1))(view(spark, SF, "pay_feed")).repartition(8)
+    insert_into(rows, "ddl_checks.buckets", "pt_created_date")
+    per_day = file_stats(spark, str(tmp_path / "b"), "pt_created_date")
+    assert per_day.filter("files > 4").isEmpty() and same_rows(spark.table("ddl_checks.buckets"), rows.select(*spark.table("ddl_checks.buckets").columns))
 
 
 def test_ctas_leaves_an_existing_table(spark, tmp_path):
@@ -212,6 +318,55 @@ def test_dropping_expired_partitions(spark, tmp_path):
     assert {r.id for r in spark.table("ddl_checks.dated").collect()} == {1, 2, 5, 6}
 
 
+def test_expiry_of_a_second_partition_level_and_of_many(spark, tmp_path):
+    create_database(spark, "ddl_checks", str(tmp_path / "db"))
+    spark.sql(
+        "CREATE TABLE ddl_checks.hourly (id INT, pt INT, h STRING) USING parquet PARTITIONED BY (pt, h)"
+        f" LOCATION '{tmp_path}/hourly'"
+    )
+    day = "CAST(date_format(date_add(DATE'2000-01-01', CAST(id % 3 AS INT)), 'yyyyMMdd') AS INT) AS pt"
+    spark.range(12).selectExpr("CAST(id AS INT) AS id", day, "concat('0', id % 2) AS h").write.insertInto("ddl_checks.hourly")
+    dropped = drop_expired_partitions(spark, "ddl_checks.hourly", "pt", days=1, as_of=dt.date(2000, 1, 3))
+    assert dropped == ["20000101"]
+    assert {r.pt for r in spark.table("ddl_checks.hourly").collect()} == {20000102, 20000103}
+
+
+def test_expiry_of_folders(spark, tmp_path):
+    path = str(tmp_path / "folders")
+    dated(spark).write.partitionBy("pt").parquet(path)
+    assert expire_folder(spark, path, "pt", as_of=dt.date(2024, 1, 2)) == ["20140102", "20140103"]
+    assert {r.id for r in spark.read.parquet(path).collect()} == {1, 2, 5, 6}
+
+
+def test_today_is_that_of_the_zone():
+    assert today("Pacific/Kiritimati") > today("Pacific/Pago_Pago")
+
+
+def test_compaction_keeps_the_names_of_folders(spark, tmp_path):
+    rows = spark.range(40).selectExpr("id", "concat('0', id % 4) AS hour")
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    rows.repartition(5).write.partitionBy("hour").parquet(src)
+    names = [f"hour=0{i}" for i in range(4)]
+    compact_partitions(spark, src, dst, "hour")
+    assert sorted(p.rsplit("/", 1)[1] for p in glob.glob(f"{dst}/hour=*")) == names
+    compact_in_place(spark, src, "hour", min_files=2)
+    assert sorted(p.rsplit("/", 1)[1] for p in glob.glob(f"{src}/hour=*")) == names
+    assert len(glob.glob(f"{src}/*/*.parquet")) == 4
+    kept = spark.read.schema("id long, hour string").parquet(src)
+    assert same_rows(kept, rows)
+
+
+def test_folders_of_a_stream_are_refused(spark, tmp_path):
+    source, rows = str(tmp_path / "in"), str(tmp_path / "rows")
+    spark.range(20).selectExpr("id", "20240101 AS pt").write.parquet(source)
+    stream = spark.readStream.schema("id long, pt int").parquet(source).writeStream.partitionBy("pt")
+    stream.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(rows).awaitTermination()
+    for job in (compact_in_place, expire_folder):
+        with pytest.raises(ValueError, match="streaming query"):
+            job(spark, rows, "pt")
+    assert spark.read.parquet(rows).count() == 20
+
+
 def test_compaction_keeps_the_rows_and_cuts_a_hot_partition(spark, tmp_path, feed):
     src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
     hot = F.when(F.col("seq") % 3 == 0, 20240101).otherwise(F.col("pt_created_date"))
@@ -235,8 +390,8 @@ def test_compaction_in_place_takes_only_fragmented_partitions(spark, tmp_path, f
     later = feed.filter("pt_created_date >= 20240110").repartition(6)
     later.write.mode("append").partitionBy("pt_created_date").parquet(path)
     whole = set(glob.glob(f"{path}/pt_created_date=2024010*/*.parquet"))
-    for batch in ("1", "2"):
-        compact_in_place(spark, path, "pt_created_date", str(tmp_path / "stage"), batch)
+    for _ in range(2):
+        compact_in_place(spark, path, "pt_created_date")
     assert whole == set(glob.glob(f"{path}/pt_created_date=2024010*/*.parquet"))
     assert file_stats(spark, path, "pt_created_date").filter("files > 1").isEmpty()
     assert same_rows(spark.read.parquet(path).select(*feed.columns), feed)
