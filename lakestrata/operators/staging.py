@@ -54,7 +54,6 @@ class PartitionedTable:
     name: str | None = None
     bucket_by: tuple[str, ...] = ()
     buckets: int = 0
-    file_bytes: int | None = None
 
     @property
     def stage(self) -> str:
@@ -74,14 +73,18 @@ class PartitionedTable:
         return rows.withColumn("_bucket", bucket).hint("rebalance", self.partition, "_bucket").drop("_bucket")
 
     def overwrite(self, spark: SparkSession, rows: DataFrame) -> None:
-        """Replace the partitions that ``rows`` has."""
-        sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(self.file_bytes)} if self.file_bytes else {}
-        with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic", **sizes}):
-            if self.name:
-                ordered = rows.select(*spark.table(self.name).columns)
-                ordered.write.mode("overwrite").insertInto(self.name)
-            else:
-                rows.write.mode("overwrite").partitionBy(self.partition).parquet(self.path)
+        """Replace the partitions that ``rows`` has, and no others.
+
+        A writer into the catalog ignores options of its own. ``create_table``
+        gives keyed tables theirs; for others the session's is set, which no
+        other thread of that session may set meanwhile.
+        """
+        if not self.name:
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(self.partition).parquet(self.path)
+            return
+        with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            rows.select(*spark.table(self.name).columns).write.mode("overwrite").insertInto(self.name)
 
     def drop(self, spark: SparkSession, values: list[str | None]) -> None:
         """Drop partitions by their values as text."""
@@ -113,18 +116,18 @@ def replace_partitions(
     if new.touched:
         staged = partition_values(_staged(spark, table).select(table.partition))
         emptied = [value for value in new.touched if value not in staged]
-    _set_mark(spark, table, [("p" if v is None else f"v{v}",) for v in emptied] or [(None,)])
+    _set_mark(spark, table, emptied)
     _swap(spark, table)
-    _set_mark(spark, table, [])
+    _set_mark(spark, table, None)
     # The copy is not needed any more.
-    spark.createDataFrame([], _MARK_SCHEMA).write.mode("overwrite").parquet(f"{table.stage}/rows")
+    spark.range(0).write.mode("overwrite").parquet(f"{table.stage}/rows")
 
 
 def finish_pending(spark: SparkSession, table: PartitionedTable) -> None:
     """Finish a swap that was cut off, if there is one."""
     if _mark(spark, table):
         _swap(spark, table)
-        _set_mark(spark, table, [])
+        _set_mark(spark, table, None)
 
 
 def _staged(spark: SparkSession, table: PartitionedTable) -> DataFrame:
@@ -132,9 +135,10 @@ def _staged(spark: SparkSession, table: PartitionedTable) -> DataFrame:
 
 
 def _swap(spark: SparkSession, table: PartitionedTable) -> None:
-    table.overwrite(spark, table.spread(_staged(spark, table)))
+    # The staged files are gathered already, and are copied as they are.
+    table.overwrite(spark, _staged(spark, table))
     marks = [row["emptied"] for row in _mark(spark, table)]
-    table.drop(spark, [None if m == "p" else m[1:] for m in marks if m is not None])
+    table.drop(spark, [None if m == "null" else m[1:] for m in marks if m is not None])
 
 
 def _mark(spark: SparkSession, table: PartitionedTable) -> list:
@@ -142,9 +146,12 @@ def _mark(spark: SparkSession, table: PartitionedTable) -> list:
     return [] if mark is None else mark.collect()
 
 
-def _set_mark(spark: SparkSession, table: PartitionedTable, rows: list[tuple]) -> None:
-    mark = spark.createDataFrame(rows, _MARK_SCHEMA).coalesce(1)
-    mark.write.mode("overwrite").parquet(f"{table.stage}/mark")
+def _set_mark(spark: SparkSession, table: PartitionedTable, emptied: list[str | None] | None) -> None:
+    """Mark the stage as complete, naming the partitions to drop; None takes the mark off."""
+    texts = [None] if emptied == [] else [f"v{v}" if v is not None else "null" for v in emptied or []]
+    values = F.array(*[F.lit(t) for t in texts]).cast("array<string>")
+    mark = spark.range(1 if texts else 0).select(F.explode(values).alias("emptied"))
+    mark.coalesce(1).write.mode("overwrite").parquet(f"{table.stage}/mark")
 
 
 def is_stream_sink(spark: SparkSession, path: str) -> bool:

@@ -51,9 +51,7 @@ class UpsertTarget:
 
     @property
     def table(self) -> PartitionedTable:
-        return PartitionedTable(
-            self.path, self.schema, self.partition, self.name, self.bucket_by, self.buckets, self.file_bytes
-        )
+        return PartitionedTable(self.path, self.schema, self.partition, self.name, self.bucket_by, self.buckets)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The stored rows, deletes included; empty when nothing was written yet."""
@@ -68,22 +66,22 @@ def upsert(spark: SparkSession, target: UpsertTarget, changes: DataFrame) -> Non
     table already has is not applied. A swap that a lost driver left half done,
     by whichever job, is finished first.
     """
-    rows = changes.select(*target.schema.names)
 
     def merged() -> Replacement | None:
-        touched = partition_values(rows.select(target.partition))
-        if not touched:
-            return None
-        stored = target.table.read(spark)
-        base = None if stored is None else stored.filter(partition_filter(target.partition, touched))
+        rows = changes.select(*target.schema.names)
         winners = winning_changes(rows, target.keys, target.seq, target.kind)
-        if base is None or base.isEmpty():
+        stored = target.table.read(spark)
+        if stored is None or stored.isEmpty():
             return Replacement(winners, lone=True)
         # Written out, the winners have a known size for the join, and losing an
         # executor never recomputes the change batch.
         place = f"{target.table.stage}/winners"
         winners.write.mode("overwrite").parquet(place)
         winners = spark.read.schema(target.schema).parquet(place)
+        touched = partition_values(winners.select(target.partition))
+        if not touched:
+            return None
+        base = stored.filter(partition_filter(target.partition, touched))
         few = lookup_bytes(winners, target.keys, target.seq) <= target.broadcast_bytes
         merge = merge_few_winners if few else merge_winners
         return Replacement(merge(base, winners, target.keys, target.seq, target.kind, target.keep_first))

@@ -105,9 +105,12 @@ def create_table(
         "partition-expire-days": table.expire_days,
         "partition-format": table.partition_format,
     }
+    layout = ""
     if keyed:
         options |= {"primary-key": ",".join(table.keys), "sequence": ",".join(keyed.seq), "row-kind": keyed.kind}
         options["keep-first"] = table.create_at if keyed.keep_first_create else ""
+        # Fixed by Spark: what makes an overwrite replace only partitions it has rows for.
+        layout = " OPTIONS ('partitionOverwriteMode' = 'dynamic')"
     clustered = ""
     if bucketed:
         key = [k for k in table.keys if k != table.partition]
@@ -117,7 +120,7 @@ def create_table(
     properties = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in options.items())
     place = f" LOCATION {_text(location)}" if location else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name or table.name} ({columns}) USING parquet"
+        f"CREATE TABLE IF NOT EXISTS {name or table.name} ({columns}) USING parquet{layout}"
         f" PARTITIONED BY (`{table.partition}`){clustered}{place} TBLPROPERTIES ({properties})"
     )
 

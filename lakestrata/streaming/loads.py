@@ -53,7 +53,8 @@ def start_load(spark: SparkSession, load: Load, bounded: bool = False) -> Stream
         return writer.format("parquet").outputMode("append").start(load.append_to)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert(spark, load.upsert_into, batch)
+        # The stream's own session: what a write sets there no other load sees.
+        upsert(batch.sparkSession, load.upsert_into, batch)
 
     return writer.foreachBatch(merge).start()
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import time
+from dataclasses import replace
 
 import pytest
 from conftest import SF
@@ -113,8 +114,9 @@ def test_one_failing_load_stops_the_others(spark, tmp_path):
         lambda s: s.readStream.format("rate").load(),
         lambda rows: rows.select(F.raise_error(F.lit("broken")).cast("string").alias("x")),
     )
+    often = [replace(load, interval="1 second") for load in (good, bad)]
     with pytest.raises(StreamingQueryException, match="broken"):
-        run_loads(spark, [good, bad])
+        run_loads(spark, often)
     assert not [q for q in spark.streams.active if q.name in ("good", "bad")]
 
 
