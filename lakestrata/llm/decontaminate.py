@@ -187,6 +187,10 @@ def contaminated(
         some = [(row["item_id"], row["text"]) for row in part.collect()]
         shared = docs.sparkSession.sparkContext.broadcast(some)
         one = rows.mapInArrow(_finder(shared, min_tokens, coverage), schema)
+        if blocks > 1:
+            # One block is held at a time.
+            one = stored(one, "contaminated-block")
+            shared.destroy()
         found = one if found is None else found.unionByName(one)
     return found.select(
         "doc_id",
