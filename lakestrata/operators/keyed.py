@@ -13,7 +13,7 @@ from lakestrata.operators.maintain import (
 )
 from lakestrata.operators.staging import finish_pending
 from lakestrata.operators.upsert import UpsertTarget
-from lakestrata.sources.tables import table_options
+from lakestrata.sources.readers import table_location, table_options
 
 
 def keyed_table(spark: SparkSession, name: str) -> UpsertTarget:
@@ -21,10 +21,9 @@ def keyed_table(spark: SparkSession, name: str) -> UpsertTarget:
     options = table_options(spark, name)
     if not options.get("primary-key"):
         raise ValueError(f"{name} has no key")
-    described = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
     partition = next(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
     return UpsertTarget(
-        path=described["Location"],
+        path=table_location(spark, name),
         schema=spark.table(name).schema,
         keys=tuple(options["primary-key"].split(",")),
         seq=tuple(options["sequence"].split(",")),

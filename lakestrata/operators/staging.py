@@ -130,6 +130,15 @@ def finish_pending(spark: SparkSession, table: PartitionedTable) -> None:
         _set_mark(spark, table, None)
 
 
+def finish_pending_folder(spark: SparkSession, path: str, partition: str) -> None:
+    """The same for a job that knows a folder only: what is appended before the swap ends, the swap would undo."""
+    stage = PartitionedTable(path, _MARK_SCHEMA, partition)
+    if _mark(spark, stage):
+        with session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+            schema = spark.read.parquet(f"{stage.stage}/rows").schema
+            finish_pending(spark, PartitionedTable(path, schema, partition))
+
+
 def _staged(spark: SparkSession, table: PartitionedTable) -> DataFrame:
     return spark.read.schema(table.schema).parquet(f"{table.stage}/rows").select(*table.schema.names)
 

@@ -113,3 +113,14 @@ def set_modified(spark: SparkSession, path: str, pattern: str, days_ago: int) ->
     system, where = _file_system(spark, f"{path}/{pattern}")
     for status in system.globStatus(where):
         system.setTimes(status.getPath(), status.getModificationTime() - days_ago * 86_400_000, -1)
+
+
+def table_options(spark: SparkSession, name: str) -> dict[str, str]:
+    """The options a catalog table was created with."""
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    """The folder of a catalog table."""
+    described = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Location'")
+    return described.first()["data_type"]

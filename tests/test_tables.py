@@ -218,6 +218,24 @@ def test_change_log_keeps_every_row_as_it_came(spark, tmp_path, feed):
     assert same_rows(spark.read.parquet(log).select(*feed.columns), feed)
 
 
+def test_rows_appended_after_a_lost_compaction_stay(spark, tmp_path, monkeypatch):
+    log = str(tmp_path / "log")
+    rows = spark.range(60).selectExpr("id", "concat('0', id % 2) AS hour")
+    rows.repartition(6).write.partitionBy("hour").parquet(log)
+
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(staging, "_swap", crash)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            compact_in_place(spark, log, "hour", min_files=2)
+    more = spark.range(60, 80).selectExpr("id", "concat('0', id % 2) AS hour")
+    append_changes(more, log, "hour")
+    compact_in_place(spark, log, "hour", min_files=2)
+    assert same_rows(spark.read.schema("id long, hour string").parquet(log), rows.unionByName(more))
+
+
 def test_ddl_is_idempotent_and_keeps_comments_and_options(spark, tmp_path):
     create_database(spark, "ddl_checks", str(tmp_path / "db"))
     create_database(spark, "ddl_checks", str(tmp_path / "db"))
