@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import stored, whole
+from lakestrata.llm.known_licences import full_texts, notices
 
 # Fixed texts of public licences and of the notices that stand for them.
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
@@ -38,6 +41,8 @@ KNOWN: tuple[tuple[str, str], ...] = (
     ("MIT", "MIT License " + _MIT),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "Released under the MIT License."),
+    *notices(),
+    *full_texts(),
 )
 # Fixed: spellings that licence texts use for the same word.
 SPELLINGS: tuple[tuple[str, str], ...] = (
@@ -59,26 +64,68 @@ SPELLINGS: tuple[tuple[str, str], ...] = (
     ("whilst", "while"),
     ("wilful", "willful"),
 )
-# Every known text holds one of these words, also before its spelling is put right.
-ANCHOR = r"(?i)licen[cs]e|permission"
-COPYRIGHT_LINE = r"(?im)^[\x20\x09\r]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# Lines that name whose the text is. Wrapped prose can begin with the same words.
+COPYRIGHT_LINE = (
+    r"(?im)^[\x20\x09\r]*(copyright(?![a-z,;.)-]|[\x20\x09]+(?:notices?|holders?|owners?|ownership|laws?|licen[cs]es?|and|or|on|in|to|for|of"
+    r"|is|has|are|under|interests?|permissions?|statements?|treat(?:y|ies)|disclaimers?|rights?|patents?|protection|control|status|claims?)\b)"
+    r"|\(c\)(?![\x20\x09]+(?:you|under|the|if|any|all|no|each|this|such|when|where|representations)\b)|©|all rights reserved)[^\n]*$"
+)
+# How a canonical line begins that names its licence.
+_VERBS = ("released", "distributed", "published", "available")
+NOTICE = (
+    r"^(?:spdx license identifier |license (?!version)|(?:(?:this|the) (?:work|software|program|project|file|document|content|text|article|page|code"
+    r"|source code|library|package) is |code )?(?:licensed|" + "|".join(_VERBS[:-1]) + r"|(?:made )?available) under )"
+    r"(?:the terms of )?(?:the |an? )?"
+)
 
 
 def canonical(text: Column) -> Column:
-    """The text without copyright lines, in lower case, words by single spaces, spellings made equal."""
+    """The text without copyright lines, in lower case, words by single spaces, spellings and openings of notices made equal."""
     words = F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT_LINE, " ")), r"[^\p{L}\p{N}]+", " ")
     for spelled, usual in SPELLINGS:
         words = F.replace(words, F.lit(spelled), F.lit(usual))
-    return F.trim(words)
+    return F.regexp_replace(F.trim(words), NOTICE, "licensed under ")
+
+
+def anchor_words(known) -> str:
+    """A pattern that is found in every text with the canonical text of a known one; the empty pattern when no words tell.
+
+    Words that a spelling could have changed are no anchors, except licence in
+    its two spellings. A text that opens as a notice has one of the verbs of
+    notices. The others get long words, those that most of them share first.
+    """
+    changed = {part for pair in SPELLINGS for part in pair[1].split()}
+    anchors, left = ["licen[cs]e", "permission"], []
+    for _, text in known:
+        kept = " ".join(re.findall(r"[^\W_]+", re.sub(COPYRIGHT_LINE, " ", text).lower()))
+        for spelled, usual in SPELLINGS:
+            kept = kept.replace(spelled, usual)
+        if re.match(NOTICE, kept):
+            anchors += [verb for verb in _VERBS if verb not in anchors]
+        elif not re.search("|".join(anchors[:2]), kept):
+            left.append({w for w in re.findall(r"[a-z]+", kept) if not any(part in w for part in changed)})
+    left = [words for words in left if words.isdisjoint(anchors)]
+    while left:
+        counts = Counter(w for words in left for w in words)
+        if not all(left):
+            return ""
+        best = max(counts, key=lambda w: (min(len(w), 8), counts[w], w))
+        anchors.append(best)
+        left = [words for words in left if best not in words]
+    return "(?iu)" + "|".join(anchors)
+
+
+#: What every text with the canonical text of one of ``KNOWN`` holds.
+ANCHOR = anchor_words(KNOWN)
 
 
-def known_digests(spark, known=KNOWN) -> DataFrame:
-    """digest, licence of the known texts. Every text must hold an anchor word."""
+def known_digests(spark, known=KNOWN, anchor: str = ANCHOR) -> DataFrame:
+    """digest, licence of the known texts. Every text must hold an anchor; those of ``anchor_words(known)`` are in all."""
     rows = spark.createDataFrame(list(known), "licence string, text string")
-    if not rows.filter(~F.col("text").rlike(ANCHOR)).isEmpty():
+    if not rows.filter(~F.col("text").rlike(anchor)).isEmpty():
         raise ValueError("a known text has none of the anchor words")
-    digest = F.sha2(canonical(F.col("text")).cast("binary"), 256)
-    return rows.groupBy(digest.alias("digest")).agg(F.min("licence").alias("licence"))
+    words = rows.select("licence", canonical(F.col("text")).alias("words")).filter("words <> ''")
+    return words.groupBy(F.sha2(F.col("words").cast("binary"), 256).alias("digest")).agg(F.min("licence").alias("licence"))
 
 
 def licence_scan(
@@ -95,9 +142,11 @@ def licence_scan(
 
     The digests of entire texts are joined by hash to the known ones, which are
     a fixed list and broadcast. A text without an anchor word of the known texts
-    cannot equal one, so its digest is not made.
+    cannot equal one, so its digest is not made; the words are taken from the
+    list, so any text may be in it.
     """
-    digests = known_digests(docs.sparkSession, known)
+    anchor = ANCHOR if known is KNOWN else anchor_words(known)
+    digests = known_digests(docs.sparkSession, known, anchor)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), whole(text_col).alias("text")
     )
@@ -106,13 +155,13 @@ def licence_scan(
     paragraphs = F.filter(F.split(text, r"\n[\x20\x09]*\n\s*"), lambda t: F.contains(F.trim(t), F.lit("\n")))
     paragraphs = F.transform(paragraphs, lambda t: F.struct(F.lit("paragraph").alias("unit"), t.alias("text")))
     entire = F.array(F.struct(F.lit("whole").alias("unit"), text.alias("text")))
-    units = F.filter(F.concat(entire, paragraphs, lines), lambda u: u["text"].rlike(ANCHOR))
+    units = F.filter(F.concat(entire, paragraphs, lines), lambda u: u["text"].rlike(anchor))
     units = F.transform(
         units, lambda u: F.struct(u["unit"].alias("unit"), F.sha2(canonical(u["text"]).cast("binary"), 256).alias("digest"))
     )
     # Digests are kept, not texts, so finding the units again costs nothing.
     marked = stored(
-        rows.select("row", "doc_id", F.when(F.col("text").rlike(ANCHOR), units).alias("units")), "licence-digests"
+        rows.select("row", "doc_id", F.when(F.col("text").rlike(anchor), units).alias("units")), "licence-digests"
     )
     parts = marked.filter("units is not null").select("row", F.inline("units"))
     hits = parts.join(F.broadcast(digests), "digest")
