@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -10,7 +11,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import shipped, stored, whole
@@ -91,11 +92,15 @@ def without_copies(sample: DataFrame) -> DataFrame:
 def mine_lexicon(sample: DataFrame, size: int = LEXICON) -> list[str]:
     """The stems and words that mark toxic texts of the sample, strongest first.
 
-    A feature needs at least eight times its rate in clean texts, a support of
-    1 % of the toxic texts, and a count that chance would give to less than
-    one feature in 150,000 (a Poisson bound on the clean rate). Of a stem and a
-    longer one the one that tells the classes apart better is kept. At most
-    ``size`` come to the driver, times a fixed factor for the stems to choose from.
+    A feature needs at least eight times its rate in clean texts and a count that
+    chance would give to less than one feature in 150,000 (a Poisson bound on
+    the clean rate). One in less than 1 % of the toxic texts needs as much again
+    given how often it occurs at all (a Chernoff bound on the toxic share of its
+    texts), since the clean rate of a rare feature is hardly known; its number
+    of texts decides, not their share. Of a stem and a longer one the one that
+    tells the classes apart better is kept. When more than ``size`` are left,
+    those go that are not needed to cover toxic texts. To the driver come four
+    times ``size`` features, and four of each toxic text.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,10 +120,67 @@ def mine_lexicon(sample: DataFrame, size: int = LEXICON) -> list[str]:
     counted = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     expected = (F.col("clean") + 0.5) / (clean + 1) * (toxic + 1)
     strength = F.col("toxic") * F.log(F.col("toxic") / expected) - F.col("toxic")
-    marked = counted.filter((F.col("toxic") >= 0.01 * toxic) & (F.col("toxic") >= 8 * expected))
-    best = marked.withColumn("strength", strength).filter("strength > 12")
-    best = best.orderBy(F.col("strength").desc(), "feature").limit(4 * size)
-    return _best_stems({row["feature"]: (row["toxic"], row["clean"]) for row in best.collect()})[:size]
+    both, share = F.col("clean") + F.col("toxic"), toxic / max(toxic + clean, 1)
+    rest = F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (both * (1 - share)))).otherwise(0.0)
+    surprise = F.col("toxic") * F.log(F.col("toxic") / (both * share)) + rest
+    marked = counted.filter((F.col("toxic") >= 8 * expected) & ((F.col("toxic") >= 0.01 * toxic) | (surprise > 12)))
+    marked = stored(marked.withColumn("strength", strength).filter("strength > 12"), "toxicity-marked")
+    order = [F.col("strength").desc(), F.col("feature")]
+    candidates = marked.orderBy(*order).limit(4 * size)
+    hits = _marks(binary, marked)
+    if marked.count() > 4 * size:
+        hits = stored(hits, "toxicity-marks")
+        nth = F.row_number().over(Window.partitionBy("text").orderBy(*order))
+        own = hits.withColumn("nth", nth).filter("nth <= 4").select(*marked.columns)
+        candidates = candidates.unionByName(own).distinct()
+    best = candidates.orderBy(*order).collect()
+    best = _best_stems({row["feature"]: (row["toxic"], row["clean"]) for row in best})
+    if len(best) <= size:
+        return best
+    names = sample.sparkSession.createDataFrame([(name,) for name in best], "feature string")
+    found = hits.join(F.broadcast(names), "feature").groupBy("feature").agg(F.collect_set("text").alias("texts"))
+    return _covering(best, {row["feature"]: set(row["texts"]) for row in found.collect()}, size)
+
+
+def _marks(sample: DataFrame, marked: DataFrame) -> DataFrame:
+    """One row for each marked feature of each toxic text. The features, fewer than those of the sample, are broadcast."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                names = list(features(set(_WORD.findall(text.lower()))))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number] * len(names), pa.int64()), pa.array(names, pa.string())], ["text", "feature"]
+                )
+
+    toxic = sample.filter("toxic = 1").select(F.xxhash64("text").alias("number"), "text")
+    return toxic.mapInArrow(spread, "text long, feature string").join(F.broadcast(marked), "feature")
+
+
+def _covering(names: list[str], texts: dict[str, set[int]], size: int) -> list[str]:
+    """``size`` of the names in their given order: first those that cover most texts not yet covered, over and over.
+
+    Once all texts are covered, they are covered again with the names that are left.
+    """
+    chosen: set[str] = set()
+    while len(chosen) < size:
+        left = [name for name in names if name not in chosen]
+        missing = set().union(*(texts.get(name, set()) for name in left))
+        if not missing:
+            chosen.update(left[: size - len(chosen)])
+            break
+        # What a name adds never grows, so an old count is an upper bound.
+        heap = [(-len(texts.get(name, ())), at, name) for at, name in enumerate(left)]
+        heapq.heapify(heap)
+        while missing and len(chosen) < size:
+            _, at, name = heapq.heappop(heap)
+            adds = len(texts.get(name, set()) & missing)
+            if heap and (-adds, at) > heap[0][:2]:
+                heapq.heappush(heap, (-adds, at, name))
+                continue
+            chosen.add(name)
+            missing -= texts[name]
+    return [name for name in names if name in chosen]
 
 
 def _best_stems(counts: dict[str, tuple[int, int]]) -> list[str]:
