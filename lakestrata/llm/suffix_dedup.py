@@ -108,10 +108,10 @@ def _spot(first, last, place):
     return (first << 32) | ((last - first) << 16) | (place - first)
 
 
-def _collapsed(grams, digest, spot, passage: int):
+def _collapsed(grams, digest, more, spot, passage: int):
     """Rows to look up, and runs: spans that a text repeats itself stand once, and are runs already."""
-    order = np.lexsort((digest, grams))
-    same = (np.diff(grams[order].view(np.int64)) == 0) & (np.diff(digest[order].view(np.int64)) == 0)
+    order = np.lexsort((more, digest, grams))
+    same = np.all([np.diff(part[order].view(np.int64)) == 0 for part in (grams, digest, more)], axis=0)
     again = np.r_[False, same]
     own = spot[order[again | np.r_[same, False]]]
     own = own[np.argsort(own >> 32, kind="stable")]
@@ -123,7 +123,11 @@ def _collapsed(grams, digest, spot, passage: int):
 
 
 def _find_anchors(passage: int, width: int):
-    """Rows (h, c, t1, t2, spot, kind) of each text: its anchors, and the runs (c to spot, kind 2) that it repeats itself."""
+    """Rows (h, c, d, t1, t2, spot, kind) of each text: its anchors, and the runs (c to spot, kind 2) that it repeats itself.
+
+    c and d are the 128-bit digest of the span around the anchor. Spans of one
+    anchor share h, so the digest alone tells them apart.
+    """
 
     def of_text(data: bytes, hasher: Hasher) -> np.ndarray:
         t1, t2 = _text_key(data)
@@ -132,20 +136,22 @@ def _find_anchors(passage: int, width: int):
             piece = data[start : start + _PIECE + passage - 1]
             grams, place, first, last = anchors(np.frombuffer(piece, np.uint8), hasher, passage, width)
             spans = zip(first.tolist(), (last + passage).tolist(), strict=True)
-            digest = np.array([xxhash.xxh3_64_intdigest(piece[a:b]) for a, b in spans], np.uint64)
+            digest = np.frombuffer(b"".join([xxhash.xxh3_128_digest(piece[a:b]) for a, b in spans]), ">u8")
+            digest, more = digest.astype(np.uint64).reshape(-1, 2).T
             # Equal spans are the same passages only around an anchor at the same offset.
-            digest ^= _mixed((place - first).astype(np.uint64) + np.uint64(1))
-            parts.append((grams, digest, _spot(first + start, last + start, place + start)))
-        grams, digest, spot = (np.concatenate(p) for p in zip(*parts, strict=True))
+            digest = digest ^ _mixed((place - first).astype(np.uint64) + np.uint64(1))
+            parts.append((grams, digest, more, _spot(first + start, last + start, place + start)))
+        grams, digest, more, spot = (np.concatenate(p) for p in zip(*parts, strict=True))
         starts = ends = np.empty(0, np.int64)
         if len(set(grams.tolist())) < len(grams):
-            keep, starts, ends = _collapsed(grams, digest, spot, passage)
-            grams, digest, spot = grams[keep], digest[keep], spot[keep]
-        out = np.zeros((6, len(grams) + len(starts)), np.int64)
+            keep, starts, ends = _collapsed(grams, digest, more, spot, passage)
+            grams, digest, more, spot = grams[keep], digest[keep], more[keep], spot[keep]
+        out = np.zeros((7, len(grams) + len(starts)), np.int64)
         out[0] = np.r_[grams.view(np.int64), np.full(len(starts), t1 ^ t2)]
         out[1] = np.r_[digest.view(np.int64), starts]
-        out[2], out[3], out[4] = t1, t2, np.r_[spot, ends]
-        out[5, len(grams) :] = 2
+        out[2, : len(grams)] = more.view(np.int64)
+        out[3], out[4], out[5] = t1, t2, np.r_[spot, ends]
+        out[6, len(grams) :] = 2
         return out
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +170,8 @@ def _find_anchors(passage: int, width: int):
     return find
 
 
-_ROW = ("h", "c", "t1", "t2", "spot", "kind")
+_ROW = ("h", "c", "d", "t1", "t2", "spot", "kind")
+_ROW_SCHEMA = ", ".join(f"{name} long" for name in _ROW)
 
 
 def _record(table: np.ndarray, names: tuple[str, ...]) -> pa.RecordBatch:
@@ -172,7 +179,7 @@ def _record(table: np.ndarray, names: tuple[str, ...]) -> pa.RecordBatch:
 
 
 def _find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (h, c, t1, t2, spot): those whose anchor repeats, told apart by ``kind``.
+    """Of rows sorted by (h, c, d, t1, t2, spot): those whose anchor repeats, told apart by ``kind``.
 
     Kind 0: the whole span repeats, so all its passages do. Kind 1: one row for
     each span of an anchor that has several, to be compared closely; it may be
@@ -182,10 +189,10 @@ def _find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """
 
     def rows_of(table: np.ndarray, kind: int) -> pa.RecordBatch:
-        return _record(np.r_[table[:5], np.full((1, table.shape[1]), kind)], _ROW)
+        return _record(np.r_[table[:6], np.full((1, table.shape[1]), kind)], _ROW)
 
-    held = np.empty((5, 0), np.int64)
-    before: tuple[int, int] | None = None  # the span before the held row
+    held = np.empty((6, 0), np.int64)
+    before: tuple[int, int, int] | None = None  # the span before the held row
     first_of: np.ndarray | None = None  # the first row of the held row's anchor, until a second span comes
 
     def settle(table: np.ndarray, final: bool) -> Iterator[pa.RecordBatch]:
@@ -194,14 +201,14 @@ def _find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if n <= 0:
             held = table
             return
-        h, c = table[0], table[1]
-        same_h, same_c = h[1:] == h[:-1], (h[1:] == h[:-1]) & (c[1:] == c[:-1])
+        h = table[0]
+        same_h, same_c = h[1:] == h[:-1], np.all(table[:3, 1:] == table[:3, :-1], axis=0)
         prev_h = before is not None and before[0] == h[0]
-        prev_c = prev_h and before[1] == c[0]
+        prev_c = prev_h and before == tuple(table[:3, 0].tolist())
         as_prev_h, as_prev_c = np.r_[prev_h, same_h][:n], np.r_[prev_c, same_c][:n]
         as_next_c = np.r_[same_c, False][:n]
         # The same span of the same text, from a copy of the text, is needed once.
-        same_row = np.r_[False, same_c & np.all(table[2:, 1:] == table[2:, :-1], axis=0)][:n]
+        same_row = np.r_[False, same_c & np.all(table[3:, 1:] == table[3:, :-1], axis=0)][:n]
         whole_span = (as_prev_c | as_next_c) & ~same_row
         if whole_span.any():
             yield rows_of(table[:, :n][:, whole_span], 0)
@@ -221,16 +228,16 @@ def _find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if len(firsts):
             tail = firsts[-1]
             first_of = None if np.isin(anchor[tail], need) else table[:, tail : tail + 1]
-        before = int(h[n - 1]), int(c[n - 1])
+        before = tuple(table[:3, n - 1].tolist())
         held = table[:, n:]
 
     for batch in batches:
         if batch.num_rows:
-            new = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)])
-            runs = new[5] == 2
+            new = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)])
+            runs = new[6] == 2
             if runs.any():
                 yield rows_of(new[:, runs], 2)
-            yield from settle(np.concatenate([held, new[:5, ~runs]], axis=1), False)
+            yield from settle(np.concatenate([held, new[:6, ~runs]], axis=1), False)
     if held.shape[1]:
         yield from settle(held, True)
 
@@ -467,7 +474,7 @@ def remove_repeats(
     Passages meet at anchors, one for about every 65 bytes. What a text repeats
     itself, such as a line said a hundred times, is settled in its own task, and
     one anchor stands for it. One shuffle brings equal anchors together in sorted order; where the whole span around an
-    anchor is repeated (told by 128 bits of hash), all its passages are. Only
+    anchor is repeated (told by a 128-bit digest), all its passages are. Only
     the spans at which repeats begin or end are fetched from their texts and
     sorted as suffixes, byte for byte checked. An anchor with more than
     ``largest_group`` different spans is not sorted by one task: its passages
@@ -477,13 +484,9 @@ def remove_repeats(
     text = whole(text_col).cast("binary")
     key = F.sha2(text, 256)
     half = lambda at: F.conv(F.substring(key, at, 16), 16, -10).cast("long")
-    found = docs.select(text.alias("text")).mapInArrow(
-        _find_anchors(passage, width), "h long, c long, t1 long, t2 long, spot long, kind long"
-    )
-    found = found.repartition("h").sortWithinPartitions("h", "c", "t1", "t2", "spot")
-    repeats = stored(
-        found.mapInArrow(_find_repeats, "h long, c long, t1 long, t2 long, spot long, kind long"), "suffix-repeats"
-    )
+    found = docs.select(text.alias("text")).mapInArrow(_find_anchors(passage, width), _ROW_SCHEMA)
+    found = found.repartition("h").sortWithinPartitions("h", "c", "d", "t1", "t2", "spot")
+    repeats = stored(found.mapInArrow(_find_repeats, _ROW_SCHEMA), "suffix-repeats")
     # The texts that have any, once each.
     touched = repeats.select("t1", "t2").distinct().withColumn("key", F.xxhash64("t1", "t2"))
     words = stored(repeat_filter(touched, "key", least=1), "suffix-filter")
