@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import shipped, stored, whole
-from lakestrata.llm.repeats import join_hot, maybe_repeated, repeat_filter
+from lakestrata.llm.repeats import HOT_SHARE, join_hot, maybe_repeated, repeat_filter
 
 shipped(__name__)
 
@@ -242,6 +242,40 @@ def _find_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from settle(held, True)
 
 
+def _repeats(found: DataFrame, share: int = HOT_SHARE) -> DataFrame:
+    """What ``_find_repeats`` finds, however many rows one anchor has.
+
+    Anchors are counted before rows are shuffled. Those with more than
+    1/``share`` of the rows, ``share`` of them at most, are not sorted by one
+    task: their spans are counted, with one row for each span and task in the
+    shuffle, and members of spans found twice are marked where they are. Only
+    one row of each different span is sorted by anchor.
+    """
+    counts = found.filter("kind = 0").groupBy("h").agg(F.count("*").alias("n"))
+    hot = stored(counts.filter(F.col("n") * share > F.lit(found.count())).select("h"), "suffix-hot")
+
+    def sorted_repeats(rows: DataFrame) -> DataFrame:
+        rows = rows.repartition("h").sortWithinPartitions("h", "c", "d", "t1", "t2", "spot")
+        return rows.mapInArrow(_find_repeats, _ROW_SCHEMA)
+
+    if hot.isEmpty():
+        return sorted_repeats(found)
+    marked = found.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), "h", "left")
+    is_hot = F.col("_hot").isNotNull() & (F.col("kind") == 0)
+    members = marked.filter(is_hot).select(*_ROW[:-1])
+    span = F.struct("h", "c", "d")
+    classes = members.groupBy("h", "c", "d").agg(F.count("*").alias("n"), F.min(F.struct("t1", "t2", "spot")).alias("first"))
+    classes = stored(classes, "suffix-spans")
+    twice = classes.filter("n > 1").select(span.alias("span"), "n")
+    whole_spans = join_hot(members.withColumn("span", span), twice, "span", "n", members.count())
+    # Copies of a text have the same rows; one of each is needed.
+    whole_spans = whole_spans.select(*_ROW[:-1]).distinct().withColumn("kind", F.lit(0).cast("long"))
+    once = classes.select("h", "c", "d", "first.*", F.lit(0).cast("long").alias("kind"))
+    # Sorted by anchor, one row a span: nothing repeats, so what comes back is to be compared closely.
+    close = sorted_repeats(once)
+    return sorted_repeats(marked.filter(~is_hot).select(*_ROW)).unionByName(whole_spans).unionByName(close)
+
+
 def _cut_contexts(passage: int):
     """The bytes of each span, from the text."""
     names = ["h", "t1", "t2", "spot", "span"]
@@ -473,7 +507,8 @@ def remove_repeats(
 
     Passages meet at anchors, one for about every 65 bytes. What a text repeats
     itself, such as a line said a hundred times, is settled in its own task, and
-    one anchor stands for it. One shuffle brings equal anchors together in sorted order; where the whole span around an
+    one anchor stands for it. One shuffle brings equal anchors together in sorted
+    order, except those with more than 1/1000 of all rows, whose spans are counted; where the whole span around an
     anchor is repeated (told by a 128-bit digest), all its passages are. Only
     the spans at which repeats begin or end are fetched from their texts and
     sorted as suffixes, byte for byte checked. An anchor with more than
@@ -485,8 +520,7 @@ def remove_repeats(
     key = F.sha2(text, 256)
     half = lambda at: F.conv(F.substring(key, at, 16), 16, -10).cast("long")
     found = docs.select(text.alias("text")).mapInArrow(_find_anchors(passage, width), _ROW_SCHEMA)
-    found = found.repartition("h").sortWithinPartitions("h", "c", "d", "t1", "t2", "spot")
-    repeats = stored(found.mapInArrow(_find_repeats, _ROW_SCHEMA), "suffix-repeats")
+    repeats = stored(_repeats(stored(found, "suffix-anchors")), "suffix-repeats")
     # The texts that have any, once each.
     touched = repeats.select("t1", "t2").distinct().withColumn("key", F.xxhash64("t1", "t2"))
     words = stored(repeat_filter(touched, "key", least=1), "suffix-filter")
