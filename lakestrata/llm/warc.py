@@ -239,16 +239,26 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     entries = _entries(edges)
     chained = edges.join(entries, ["file", "block"]).groupBy("file", "block")
     on = chained.applyInPandas(_marks, "file string, block long, at long, on boolean").filter("on")
-    in_file = Window.partitionBy("file").orderBy("at")
-    owner = F.last(F.when(F.col("on"), F.col("at")), ignorenulls=True)
-    places = edges.join(on, ["file", "block", "at"], "left").select(
+    marked = stored(edges.join(on, ["file", "block", "at"], "left"), "warc-marked")
+    # What a split needs of the others: the owner it begins with, and the place after its last. One row per split.
+    own = F.when(F.col("on"), F.col("at"))
+    carried = marked.groupBy("file", "block").agg(F.min("at").alias("first"), F.max(own).alias("last_owner"))
+    carried = carried.select(
+        "file",
+        "block",
+        F.last("last_owner", ignorenulls=True).over(past).alias("owner_before"),
+        F.lead("first").over(order).alias("first_after"),
+    )
+    in_split = Window.partitionBy("file", "block").orderBy("at")
+    owner = F.last(own, ignorenulls=True)
+    places = marked.join(stored(carried, "warc-carried"), ["file", "block"]).select(
         "file",
         "block",
         (F.col("at") - F.col("base")).alias("at"),
         F.col("at").alias("offset"),
         F.col("on").isNotNull().alias("on"),
-        owner.over(in_file).alias("owner"),
-        F.coalesce(F.lead("at").over(in_file), F.col("to")).alias("next"),
+        F.coalesce(owner.over(in_split), F.col("owner_before")).alias("owner"),
+        F.coalesce(F.lead("at").over(in_split), F.col("first_after"), F.col("to")).alias("next"),
         "to",
     )
     # A record in one piece needs nothing but its piece. What is left are pieces
