@@ -144,10 +144,62 @@ FROM d LEFT JOIN g USING (doc_id)
 """
 )
 
+# Windows over words instead of passes over arrays; the same checksum as above, of each word.
+OP11 = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t FROM documents
+), n AS (
+    SELECT doc_id, t, length(t) // 2 AS half,
+        coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS next
+    FROM d
+), e AS (
+    SELECT doc_id, t, next, substr(t, 1, length(t) - half) || substr(next, 1, half) AS edited FROM n
+), texts AS (
+    SELECT t, row_number() OVER () AS k FROM (SELECT t FROM e UNION SELECT edited FROM e)
+), words AS (
+    SELECT k, unnest(m) AS word, generate_subscripts(m, 1) - 1 AS i, len(m) AS n FROM (
+        SELECT k, regexp_extract_all(t, '[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]|[^\x20\x09-\x0D\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]+') AS m
+        FROM texts)
+), turns AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(i AS BIGINT))) AS t
+), sums AS (
+    SELECT word, xor(4294967295, list_reduce(
+        list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda h: CAST('0x' || h AS BIGINT)),
+        lambda c, b: xor(c >> 8, turns.t[CAST(xor(c, b) & 255 AS INTEGER) + 1]), 4294967295)) AS c
+    FROM (SELECT DISTINCT word FROM words), turns
+), runs AS (
+    SELECT k, i, n, ((((c * 1000003
+        + coalesce(lead(c, 1) OVER w, 0)) % 137438953447 * 1000003
+        + coalesce(lead(c, 2) OVER w, 0)) % 137438953447 * 1000003
+        + coalesce(lead(c, 3) OVER w, 0)) % 137438953447 * 1000003
+        + coalesce(lead(c, 4) OVER w, 0)) % 137438953447 AS h
+    FROM words JOIN sums USING (word) WINDOW w AS (PARTITION BY k ORDER BY i)
+), places AS (
+    SELECT k, i, greatest(n - 4, 1) AS n,
+        arg_min(i, (h, -i)) OVER near AS place, min(h) OVER near AS h
+    FROM runs WHERE i < greatest(n - 4, 1)
+    WINDOW near AS (PARTITION BY k ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+), prints AS (
+    SELECT k, sha256(string_agg(h || ':' || place, ',' ORDER BY place)) AS print, list(DISTINCT h) AS hs
+    FROM (SELECT DISTINCT k, h, place FROM places WHERE i < greatest(n - 7, 1)) GROUP BY k
+), every AS (
+    SELECT t, coalesce(print, sha256('')) AS print, coalesce(hs, []) AS hs FROM texts LEFT JOIN prints USING (k)
+)
+SELECT doc_id, length(e.t) AS n_chars, sha256(e.edited) AS edited_sha256,
+    own.print AS fingerprint, edit.print AS edited_fingerprint,
+    CASE WHEN len(own.hs) + len(edit.hs) = 0 THEN 1
+        ELSE len(list_intersect(own.hs, edit.hs)) / len(list_distinct(list_concat(own.hs, edit.hs))) END AS near_edited,
+    CASE WHEN len(own.hs) + len(after.hs) = 0 THEN 1
+        ELSE len(list_intersect(own.hs, after.hs)) / len(list_distinct(list_concat(own.hs, after.hs))) END AS near_next
+FROM e JOIN every own ON own.t = e.t JOIN every edit ON edit.t = e.edited JOIN every after ON after.t = e.next
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": OP1,
     "op2_licence_scan": OP2,
     "op3_exact_dedup": OP3,
     "op7_secret_scan": OP7,
     "op10_sharding": OP10,
+    "op11_winnowing": OP11,
 }

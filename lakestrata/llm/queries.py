@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import decontaminate, exact_dedup, licences, secrets, sentencepieces, shards, simhash, suffix_dedup, toxicity, warc
+from lakestrata.llm import decontaminate, exact_dedup, licences, secrets, sentencepieces, shards, simhash, suffix_dedup, toxicity, warc, winnowing
 from lakestrata.session import work_dir
 
 
@@ -111,6 +111,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winnowed fingerprint of every document and of its edited text, and how like they are."""
+
+    def digest(prints):
+        listed = F.transform(prints, lambda p: F.concat_ws(":", p["hash"].cast("string"), p["position"].cast("string")))
+        return F.sha2(F.array_join(listed, ",").cast("binary"), 256)
+
+    near = winnowing.edited_likeness(_table(spark, sf_dir, "documents"), shown=digest)
+    return near.select(
+        "doc_id",
+        F.col("text.chars").alias("n_chars"),
+        F.col("edited_text.sha256").alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_licence_scan": op2_licence_scan,
@@ -122,4 +141,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
+    "op11_winnowing": op11_winnowing,
 }
