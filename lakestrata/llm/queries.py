@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import decontaminate, exact_dedup, licences, secrets, sentencepieces, shards, simhash, suffix_dedup, toxicity, warc, winnowing
+from lakestrata.llm import conversations, decontaminate, exact_dedup, licences, secrets, sentencepieces, shards, simhash, suffix_dedup, toxicity, warc, winnowing
 from lakestrata.session import work_dir
 
 
@@ -130,6 +130,12 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged, with its faults and the cheapest edits that mend it."""
+    damaged = conversations.damaged(_table(spark, sf_dir, "conversations"))
+    return conversations.repair(damaged, present=F.col("present"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_licence_scan": op2_licence_scan,
@@ -142,4 +148,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
     "op11_winnowing": op11_winnowing,
+    "op12_conversation_repair": op12_conversation_repair,
 }
