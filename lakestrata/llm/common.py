@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.session import work_dir
@@ -28,6 +28,18 @@ def stored(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_at(df: DataFrame, path: str) -> DataFrame:
+    """``stored`` in a folder that is known, so that ``forget`` can delete it."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``work_dir`` gave and nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def shipped(module: str) -> None:
     """Send what ``module`` defines to the workers with the task, so they need not have the package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -195,6 +195,53 @@ SELECT doc_id, length(e.t) AS n_chars, sha256(e.edited) AS edited_sha256,
 FROM e JOIN every own ON own.t = e.t JOIN every edit ON edit.t = e.edited JOIN every after ON after.t = e.next
 """
 
+# All distances in every round; the numbers are small enough for doubles to be exact.
+def _coding_round(n: int) -> str:
+    return f"""
+near{n} AS MATERIALIZED (
+    SELECT vec_id, part, arg_min(entry, (far, entry)) AS entry, min(far) AS far FROM (
+        SELECT vec_id, part, entry,
+            list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c) AS far
+        FROM parts JOIN books{n} USING (part))
+    GROUP BY vec_id, part
+), means{n} AS MATERIALIZED (
+    SELECT part, entry, list(mean ORDER BY place) AS c FROM (
+        SELECT part, entry, place, floor(sum(x[place]) / count(*)) AS mean
+        FROM near{n} JOIN parts USING (vec_id, part), (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS place)
+        GROUP BY part, entry, place)
+    GROUP BY part, entry
+), books{n + 1} AS MATERIALIZED (
+    SELECT part, entry, coalesce(means{n}.c, books{n}.c) AS c FROM books{n} LEFT JOIN means{n} USING (part, entry)
+),"""
+
+
+OP13 = (
+    """
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda v: floor(CAST(v AS DOUBLE) * 1024)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), parts AS MATERIALIZED (
+    SELECT vec_id, part, v[part * len(v) // 4 + 1:(part + 1) * len(v) // 4] AS x
+    FROM kept, (SELECT unnest(range(4)) AS part)
+), books0 AS MATERIALIZED (
+    SELECT part, entry, x AS c FROM parts JOIN (
+        SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 256) USING (vec_id)
+),"""
+    + "".join(_coding_round(n) for n in range(4))
+    + _coding_round(4).split("), means4")[0]
+    + """), coded AS (
+    SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error
+    FROM near4 GROUP BY vec_id
+), book AS (
+    SELECT sha256(string_agg(array_to_string(list_transform(c, lambda v: CAST(CAST(v AS BIGINT) AS VARCHAR)), ','), ','
+        ORDER BY part, entry)) AS codebooks_sha256
+    FROM books4
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), book
+"""
+)
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": OP1,
     "op2_licence_scan": OP2,
@@ -202,4 +249,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_secret_scan": OP7,
     "op10_sharding": OP10,
     "op11_winnowing": OP11,
+    "op13_vector_codes": OP13,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import conversations, decontaminate, exact_dedup, licences, secrets, sentencepieces, shards, simhash, suffix_dedup, toxicity, warc, winnowing
+from lakestrata.llm import conversations, decontaminate, exact_dedup, licences, secrets, sentencepieces, shards, simhash, suffix_dedup, toxicity, vector_codes, warc, winnowing
 from lakestrata.session import work_dir
 
 
@@ -136,6 +136,18 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(damaged, present=F.col("present"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every embedding, and how far it is from it."""
+    codes, books = vector_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_errors(codes).select(
+        "vec_id",
+        vector_codes.hex_code(F.col("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_licence_scan": op2_licence_scan,
@@ -149,4 +161,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
     "op11_winnowing": op11_winnowing,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_vector_codes": op13_vector_codes,
 }
