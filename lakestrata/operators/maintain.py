@@ -4,19 +4,28 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from urllib.parse import unquote
+from dataclasses import replace
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.operators.staging import PartitionedTable, Replacement, is_stream_sink, replace_partitions
+from lakestrata.operators.staging import (
+    PartitionedTable,
+    Replacement,
+    as_text,
+    claimed,
+    drop_folders,
+    finish_swap,
+    folder_table,
+    is_stream_sink,
+    replace_files,
+)
 from lakestrata.session import session_conf
-from lakestrata.sources.readers import delete_folder, partition_filter, partition_values
+from lakestrata.sources import files as fs
+from lakestrata.sources.readers import table_location
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
-#: Partitions that one ALTER TABLE drops.
-_DROPPED_AT_ONCE = 500
 
 
 def partition_date(col: str, fmt: str = "yyyyMMdd") -> Column:
@@ -66,32 +75,25 @@ def drop_expired_partitions(
     as_of: dt.date | None = None,
     tz: str = "UTC",
 ) -> list[str]:
-    """Drop a catalog table's expired partitions and return their values.
+    """Drop a catalog table's expired partitions, their files too, and return their values.
 
     ``col`` may be one of several partition columns. Only partition names come
-    to the driver; no data is read.
+    to the driver; no data is read. A swap that was cut off is finished first,
+    or it would bring back what is dropped.
     """
-    listed = spark.sql(f"SHOW PARTITIONS {table}")
-    level = F.filter(F.split("partition", "/"), lambda part: part.startswith(f"{col}="))[0]
-    values = listed.select("partition", F.substring(level, len(col) + 2, 1 << 20).alias(col))
+    levels = tuple(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
+    stored = PartitionedTable(table_location(spark, table), None, levels, table)
     keep = _keeps(col, fmt, days, as_of or today(tz))
-    expired = sorted(values.filter(~keep).collect())
-    for at in range(0, len(expired), _DROPPED_AT_ONCE):
-        clauses = ", ".join(_clause(row["partition"]) for row in expired[at : at + _DROPPED_AT_ONCE])
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
+    level = F.filter(F.split("partition", "/"), lambda part: part.startswith(f"{col}="))[0]
+    value = F.substring(level, len(col) + 2, 1 << 20).alias(col)
+    with claimed(spark, stored):
+        finish_swap(spark, stored)
+        listed = spark.sql(f"SHOW PARTITIONS {table}").select("partition", value)
+        expired = sorted(listed.filter(~keep).collect())
+        drop_folders(spark, stored, [row["partition"] for row in expired])
     return sorted({row[col] for row in expired})
 
 
-def _clause(partition: str) -> str:
-    """A partition as it is listed, as a clause that names it."""
-    levels = []
-    for level in partition.split("/"):
-        name, _, value = level.partition("=")
-        text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
-        levels.append(f"`{name}` = " + ("NULL" if value == "__HIVE_DEFAULT_PARTITION__" else f"'{text}'"))
-    return f"PARTITION ({', '.join(levels)})"
-
-
 def expire_folder(
     spark: SparkSession,
     path: str,
@@ -103,16 +105,41 @@ def expire_folder(
 ) -> list[str]:
     """Delete the expired partition folders of a table without a catalog and return their values.
 
-    Folders that a streaming query writes are refused: its list of files would
-    name files that are gone.
+    ``col`` may be one of several partition levels. A swap that was cut off is
+    finished first. Folders that a streaming query writes are refused: its list
+    of files would name files that are gone.
     """
     _refuse_stream_sink(spark, path)
+    table = folder_table(spark, path)
     keep = _keeps(col, fmt, days, as_of or today(tz))
-    with session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
-        expired = sorted(partition_values(file_stats(spark, path, col).filter(~keep).select(col)))
-    for value in expired:
-        delete_folder(spark, path, col, value)
-    return expired
+    with claimed(spark, table):
+        finish_swap(spark, table)
+        if not fs.exists(spark, path):
+            return []
+        level = F.filter(F.split("folder", "/"), lambda part: part.startswith(f"{col}="))[0]
+        value = F.substring(level, len(col) + 2, 1 << 20).alias(col)
+        expired = _files(spark, path).select("folder").distinct().select("folder", value).filter(~keep).collect()
+        drop_folders(spark, table, sorted(row["folder"] for row in expired))
+    return sorted({row[col] for row in expired})
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """The data files of a folder: folder, name, bytes, bucket. Only the listing is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    plain = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    inner = F.substr(plain, F.lit(len(fs.place_of(spark, path)) + 2))
+    listed = files.load(path).select(inner.alias("file"), F.col("length").alias("bytes"))
+    return listed.select(
+        F.regexp_extract("file", "^(?:(.*)/)?[^/]*$", 1).alias("folder"),
+        F.regexp_extract("file", "[^/]*$", 0).alias("name"),
+        "bytes",
+    ).withColumn("bucket", _stated_bucket(F.col("name")))
+
+
+def _stated_bucket(name: Column) -> Column:
+    """The bucket that a file's name states, or null."""
+    stated = F.regexp_extract(name, r"_([0-9]{5})(?:\.[^/]*)?$", 1)
+    return F.when(stated != "", stated.cast("int"))
 
 
 def file_stats(spark: SparkSession, path: str, col: str) -> DataFrame:
@@ -144,12 +171,22 @@ def compact_partitions(
 ) -> None:
     """Rewrite the table at ``src`` to ``dst`` with files near ``target_bytes``, rows and folders unchanged.
 
-    The rebalance gathers a partition's small files, and adaptive execution
-    cuts a large partition into several writers of the advisory size.
+    ``col`` is its first partition level; further ones are kept as they are. The
+    rebalance gathers a partition's small files, and adaptive execution cuts a
+    large partition into several writers of the advisory size.
     """
+    levels = _levels(spark, src, col)
     with session_conf(spark, _upkeep_conf(target_bytes)):
         rows = spark.read.parquet(src)
-        rows.hint("rebalance", col).write.mode("overwrite").partitionBy(col).parquet(dst)
+        rows.hint("rebalance", *levels).write.mode("overwrite").partitionBy(*levels).parquet(dst)
+
+
+def _levels(spark: SparkSession, path: str, col: str) -> tuple[str, ...]:
+    """All partition levels of a folder, of which ``col`` must be the first."""
+    levels = tuple(fs.partition_columns(spark, path))
+    if levels[:1] != (col,):
+        raise ValueError(f"{path} is partitioned by {levels}, not by {col!r}")
+    return levels
 
 
 def compact_in_place(
@@ -159,30 +196,39 @@ def compact_in_place(
     target_bytes: int = TARGET_FILE_BYTES,
     min_files: int = 3,
     table: PartitionedTable | None = None,
-) -> None:
+) -> list[str]:
     """Compact only the partitions with ``min_files`` files and at least twice those they need.
 
-    The table has no other writer meanwhile; a run that was cut off is finished
-    by the next writer. ``table`` is given for a table of the catalog, whose
-    buckets need a file each. Folders that a streaming query writes are refused.
+    ``col`` is the first of the table's partition levels, all of which are kept;
+    buckets are compacted each by itself. Loads may append meanwhile: only the
+    files that were read are replaced, and a partition of which one is gone by
+    then is left for the next run and returned. Other jobs that replace files
+    wait for their turn; a swap that was cut off is finished by the next of them.
+    ``table`` is given for a table of the catalog. Folders that a streaming query
+    writes are refused.
     """
     _refuse_stream_sink(spark, path)
-    with session_conf(spark, _upkeep_conf(target_bytes)):
-        target = table or PartitionedTable(path, spark.read.parquet(path).schema, col)
-        least = max(target.buckets, 1)
-        needed = F.greatest(F.ceil(F.col("bytes") / target_bytes), F.lit(least))
-        fragmented = file_stats(spark, path, col).filter(
-            (F.col("files") >= min_files) & (F.col("files") >= 2 * needed)
+    if not fs.exists(spark, path):
+        return []
+    target = as_text(replace(table or PartitionedTable(path, None, ()), partitions=_levels(spark, path, col)))
+
+    def gathered() -> Replacement | None:
+        needed = F.greatest(F.ceil(F.col("bytes") / target_bytes), F.lit(1))
+        per_unit = _files(spark, path).groupBy("folder", "bucket").agg(
+            F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.collect_list("name").alias("names")
         )
+        fragmented = per_unit.filter((F.col("files") >= min_files) & (F.col("files") >= 2 * needed)).collect()
+        if not fragmented:
+            return None
+        old = sorted(f"{row['folder']}/{name}" for row in fragmented for name in row["names"])
+        rows = target.read_files(spark, old)
+        if target.buckets:
+            bucket = F.coalesce(_stated_bucket(F.col("_metadata.file_name")), target.bucket())
+            rows = rows.withColumn("_bucket", bucket)
+        return Replacement(rows, old)
 
-        def gathered() -> Replacement | None:
-            touched = partition_values(fragmented.select(col))
-            stored = target.read(spark)
-            if stored is None or not touched:
-                return None
-            return Replacement(stored.filter(partition_filter(col, touched)))
-
-        replace_partitions(spark, target, gathered)
+    with session_conf(spark, _upkeep_conf(target_bytes)):
+        return replace_files(spark, target, gathered)
 
 
 def backfill(df: DataFrame, col: str, tie_cols: Sequence[str] = ()) -> DataFrame:

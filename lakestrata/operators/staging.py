@@ -1,56 +1,63 @@
-"""Replace whole partitions of a parquet table, safe to repeat after a crash.
-
-Replacing partitions swaps folders one after the other, so a crash half way
-leaves some of them empty. The new rows are therefore complete in a stage
-beside the table, and marked, before the table is touched. The mark lives only
-as long as the swap: whoever writes next finishes a swap that was cut off, and
-then starts from the table as it is.
+"""Replace files of a partitioned parquet table, safe to repeat after a crash.
+
+New files are complete in a stage beside the table, and marked, before the table
+is touched. The swap then moves them in and deletes the files they replace; both
+can be done again, so whoever writes next finishes a swap that was cut off. Files
+that came in meanwhile are not in the list of replaced ones and stay. One writer
+at a time replaces files: it holds a claim on the stage, which is created by an
+operation of which only one can succeed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
-
-from pyspark.sql import DataFrame, SparkSession
+import json
+import re
+import threading
+import time
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lakestrata.session import session_conf
-from lakestrata.sources.readers import (
-    delete_folder,
-    partition_values,
-    path_exists,
-    read_if_present,
-)
+from lakestrata.sources import files as fs
+from lakestrata.sources.readers import read_if_present
 
-_MARK_SCHEMA = StructType([StructField("emptied", StringType())])
+#: A claim whose holder has not renewed it for so long is that of a lost driver.
+CLAIM_SECONDS = 600
+#: How long a writer waits for the one before it.
+CLAIM_WAIT_SECONDS = 3600
+# Fixed by Spark: how the name of a bucketed file ends, and the folder of a null.
+_BUCKET_NAME = re.compile(r"_(\d{5})(?:\.[^/]*)?$")
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+_BUCKET = "_bucket"
+_PARTITIONS_AT_ONCE = 500
 
 
 @dataclass(frozen=True)
 class Replacement:
-    """Rows of the partitions to replace.
-
-    ``touched`` are their values, as text, when rows may be missing for some:
-    those are dropped. ``lone`` rows belong to partitions the table does not
-    have, so nothing is lost when they are written without a stage.
-    """
+    """Rows, with all columns of the table, and the files (paths within the table) that they replace."""
 
     rows: DataFrame
-    touched: list[str | None] = field(default_factory=list)
-    lone: bool = False
+    old: list[str]
 
 
 @dataclass(frozen=True)
 class PartitionedTable:
     """A parquet table by its folder, or by its name in the catalog (with its folder).
 
-    ``bucket_by`` and ``buckets`` say how the catalog table is bucketed.
+    ``partitions`` are all its partition levels. ``bucket_by`` and ``buckets`` say
+    how each partition is cut further; a file then carries its bucket in its name,
+    as Spark's own bucketed tables have it.
     """
 
     path: str
-    schema: StructType
-    partition: str
+    schema: StructType | None
+    partitions: tuple[str, ...]
     name: str | None = None
     bucket_by: tuple[str, ...] = ()
     buckets: int = 0
@@ -65,104 +72,225 @@ class PartitionedTable:
         stored = spark.table(self.name) if self.name else read_if_present(spark, self.path, self.schema)
         return None if stored is None else stored.select(*self.schema.names)
 
-    def spread(self, rows: DataFrame) -> DataFrame:
-        """Rows gathered by partition, and bucket, for writers of even size."""
-        if not self.buckets:
-            return rows.hint("rebalance", self.partition)
-        bucket = F.pmod(F.hash(*self.bucket_by), F.lit(self.buckets))
-        return rows.withColumn("_bucket", bucket).hint("rebalance", self.partition, "_bucket").drop("_bucket")
-
-    def overwrite(self, spark: SparkSession, rows: DataFrame) -> None:
-        """Replace the partitions that ``rows`` has, and no others.
-
-        A writer into the catalog ignores options of its own. ``create_table``
-        gives keyed tables theirs; for others the session's is set, which no
-        other thread of that session may set meanwhile.
-        """
-        if not self.name:
-            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(self.partition).parquet(self.path)
-            return
-        with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-            rows.select(*spark.table(self.name).columns).write.mode("overwrite").insertInto(self.name)
-
-    def drop(self, spark: SparkSession, values: list[str | None]) -> None:
-        """Drop partitions by their values as text."""
-        for value in values:
-            if self.name:
-                literal = "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-                spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (`{self.partition}` = {literal})")
-            delete_folder(spark, self.path, self.partition, value)
-
-
-def replace_partitions(
+    def read_files(self, spark: SparkSession, names: Iterable[str]) -> DataFrame:
+        """The rows of some of its files, and of no others."""
+        places = [f"{self.path.rstrip('/')}/{name}" for name in names]
+        if not places:
+            return spark.createDataFrame([], self.schema)
+        reader = spark.read.option("basePath", self.path)
+        reader = reader.schema(self.schema) if self.schema else reader.option("mergeSchema", "true")
+        return reader.parquet(*places)
+
+    def bucket(self) -> Column:
+        """The bucket of a row, as Spark computes it; null in a table without buckets."""
+        return F.pmod(F.hash(*self.bucket_by), F.lit(self.buckets)) if self.buckets else F.lit(None).cast("int")
+
+    def files_of(self, spark: SparkSession, units: Iterable[tuple[str, int | None]]) -> list[str]:
+        """The files of (partition folder, bucket) pairs; of the whole folder where a file has no bucket."""
+        wanted: dict[str, set[int | None]] = {}
+        for folder, bucket in units:
+            wanted.setdefault(folder, set()).add(bucket)
+        found: list[str] = []
+
+        def look(folder: str) -> None:
+            names = fs.data_files(spark, f"{self.path}/{folder}")
+            of = {name: bucket_of(name) if self.buckets else None for name in names}
+            every = not self.buckets or None in of.values()
+            found.extend(f"{folder}/{name}" for name in names if every or of[name] in wanted[folder])
+
+        fs.for_all(look, wanted)
+        return sorted(found)
+
+
+def bucket_of(name: str) -> int | None:
+    """The bucket that a file's name states."""
+    stated = _BUCKET_NAME.search(name)
+    return int(stated[1]) if stated else None
+
+
+def folder_of(spark: SparkSession, partition: str, value: str | None) -> str:
+    """The folder that Spark gives a partition value (as text)."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return utils.getPartitionPathString(partition, value)
+
+
+def partition_clause(folder: str) -> str:
+    """A partition by its folder, as a clause that names it."""
+    levels = []
+    for level in folder.split("/"):
+        name, _, value = level.partition("=")
+        text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+        levels.append(f"`{unquote(name)}` = " + ("NULL" if value == _NULL_FOLDER else f"'{text}'"))
+    return f"PARTITION ({', '.join(levels)})"
+
+
+@contextmanager
+def claimed(spark: SparkSession, table: PartitionedTable, wait: float = CLAIM_WAIT_SECONDS) -> Iterator[None]:
+    """Hold the claim on a table's stage; whoever wants it too waits.
+
+    The holder renews the claim while it works. One that was not renewed for
+    ``CLAIM_SECONDS`` is taken over.
+    """
+    place, token = f"{table.stage}/claim", uuid.uuid4().hex
+    until = time.monotonic() + wait
+    while not fs.create_new(spark, place, token):
+        if fs.age_seconds(spark, place) > CLAIM_SECONDS:
+            fs.delete(spark, place)
+        elif time.monotonic() > until:
+            raise TimeoutError(f"another writer holds {table.path}")
+        else:
+            time.sleep(0.1)
+    done = threading.Event()
+
+    def renew() -> None:
+        while not done.wait(CLAIM_SECONDS / 5):
+            fs.write_text(spark, place, token)
+
+    renewal = threading.Thread(target=renew, daemon=True)
+    renewal.start()
+    try:
+        yield
+    finally:
+        done.set()
+        renewal.join()
+        if fs.read_text(spark, place) == token:
+            fs.delete(spark, place)
+
+
+def replace_files(
     spark: SparkSession, table: PartitionedTable, build: Callable[[], Replacement | None]
-) -> None:
-    """Replace partitions by what ``build()`` returns; None leaves the table as it is.
+) -> list[str]:
+    """Replace files by the rows that ``build()`` returns; None leaves the table as it is.
 
-    One writer at a time. Readers may see a partition missing for the moment of
+    Partitions of which a replaced file is gone by the time of the swap, by
+    whatever other job, are left as they are, and their folders are returned.
+    Readers may see old and new files of a partition together for the moment of
     its swap.
     """
-    finish_pending(spark, table)
-    new = build()
-    if new is None:
-        return
-    if new.lone:
-        table.overwrite(spark, table.spread(new.rows))
-        return
-    rows = table.spread(new.rows.select(*table.schema.names))
-    rows.write.mode("overwrite").partitionBy(table.partition).parquet(f"{table.stage}/rows")
-    emptied: list[str | None] = []
-    if new.touched:
-        staged = partition_values(_staged(spark, table).select(table.partition))
-        emptied = [value for value in new.touched if value not in staged]
-    _set_mark(spark, table, emptied)
-    _swap(spark, table)
-    _set_mark(spark, table, None)
-    # The copy is not needed any more.
-    spark.range(0).write.mode("overwrite").parquet(f"{table.stage}/rows")
+    with claimed(spark, table):
+        finish_swap(spark, table)
+        new = build()
+        if new is None:
+            return []
+        _stage(spark, table, new.rows)
+        folders = sorted({_folder(f) for f in new.old})
+        names = fs.for_all(lambda folder: set(fs.data_files(spark, f"{table.path}/{folder}")), folders)
+        there = dict(zip(folders, names, strict=True))
+        left = {_folder(f) for f in new.old if f.rpartition("/")[2] not in there[_folder(f)]}
+        for folder in left:
+            fs.delete(spark, f"{table.stage}/rows/{folder}")
+        _set_mark(spark, table, [f for f in new.old if _folder(f) not in left])
+        finish_swap(spark, table)
+        return sorted(left)
 
 
 def finish_pending(spark: SparkSession, table: PartitionedTable) -> None:
-    """Finish a swap that was cut off, if there is one."""
-    if _mark(spark, table):
-        _swap(spark, table)
-        _set_mark(spark, table, None)
+    """Finish a swap that a lost driver left, if there is one."""
+    if fs.exists(spark, f"{table.stage}/mark"):
+        with claimed(spark, table):
+            finish_swap(spark, table)
+
+
+def _stage(spark: SparkSession, table: PartitionedTable, rows: DataFrame) -> None:
+    place = f"{table.stage}/rows"
+    fs.delete(spark, place)
+    keys = list(table.partitions)
+    if table.buckets and _BUCKET not in rows.columns:
+        rows = rows.withColumn(_BUCKET, table.bucket())
+    if _BUCKET in rows.columns:
+        keys.append(_BUCKET)
+    if keys:
+        rows.hint("rebalance", *keys).write.partitionBy(*keys).parquet(place)
+    else:
+        rows.hint("rebalance").write.parquet(place)
+
+
+def _set_mark(spark: SparkSession, table: PartitionedTable, old: list[str]) -> None:
+    """Mark the stage as complete, naming the files to replace."""
+    fs.write_text(spark, f"{table.stage}/mark", json.dumps({"old": old}))
+
+
+def _folder(name: str) -> str:
+    return name.rpartition("/")[0]
+
+
+def _target(name: str) -> str:
+    """Where in the table a staged file goes: its bucket moves from its folder into its name."""
+    folder, _, file = name.rpartition("/")
+    above, _, last = folder.rpartition("/")
+    if last.startswith(f"{_BUCKET}="):
+        folder, bucket = above, last.partition("=")[2]
+        if bucket != _NULL_FOLDER:
+            stem, dot, kind = file.partition(".")
+            file = f"{stem}_{int(bucket):05d}{dot}{kind}"
+    return f"{folder}/{file}" if folder else file
+
+
+def finish_swap(spark: SparkSession, table: PartitionedTable) -> None:
+    """Bring in what is staged and marked. The caller holds the claim."""
+    mark = fs.read_text(spark, f"{table.stage}/mark")
+    if mark is None:
+        return
+    old = json.loads(mark)["old"]
+    staged = fs.data_files(spark, f"{table.stage}/rows")
+    _move_in(spark, table, staged)
+    _delete_old(spark, table, old)
+    _tell_catalog(spark, table, {_folder(_target(name)) for name in staged}, {_folder(name) for name in old})
+    fs.delete(spark, f"{table.stage}/mark")
+    fs.delete(spark, f"{table.stage}/rows")
+
+
+def _move_in(spark: SparkSession, table: PartitionedTable, staged: list[str]) -> None:
+    fs.for_all(lambda n: fs.move(spark, f"{table.stage}/rows/{n}", f"{table.path}/{_target(n)}"), staged)
 
 
-def finish_pending_folder(spark: SparkSession, path: str, partition: str) -> None:
-    """The same for a job that knows a folder only: what is appended before the swap ends, the swap would undo."""
-    stage = PartitionedTable(path, _MARK_SCHEMA, partition)
-    if _mark(spark, stage):
-        with session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
-            schema = spark.read.parquet(f"{stage.stage}/rows").schema
-            finish_pending(spark, PartitionedTable(path, schema, partition))
+def _delete_old(spark: SparkSession, table: PartitionedTable, old: list[str]) -> None:
+    fs.for_all(lambda name: fs.delete(spark, f"{table.path}/{name}"), old)
 
 
-def _staged(spark: SparkSession, table: PartitionedTable) -> DataFrame:
-    return spark.read.schema(table.schema).parquet(f"{table.stage}/rows").select(*table.schema.names)
+def _tell_catalog(spark: SparkSession, table: PartitionedTable, came: set[str], went: set[str]) -> None:
+    """Drop the partitions that have no file left, and name new ones to the catalog."""
+    lost = sorted(f for f in went - came if f)
+    left = fs.for_all(lambda folder: fs.data_files(spark, f"{table.path}/{folder}"), lost)
+    drop_folders(spark, table, [folder for folder, names in zip(lost, left, strict=True) if not names])
+    if not table.name:
+        return
+    new = sorted(f for f in came if f)
+    for at in range(0, len(new), _PARTITIONS_AT_ONCE):
+        clauses = " ".join(partition_clause(f) for f in new[at : at + _PARTITIONS_AT_ONCE])
+        spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {clauses}")
+    spark.catalog.refreshTable(table.name)
+
 
+def drop_folders(spark: SparkSession, table: PartitionedTable, folders: list[str]) -> None:
+    """Drop partitions by their folders, from the catalog and from the store.
 
-def _swap(spark: SparkSession, table: PartitionedTable) -> None:
-    # The staged files are gathered already, and are copied as they are.
-    table.overwrite(spark, _staged(spark, table))
-    marks = [row["emptied"] for row in _mark(spark, table)]
-    table.drop(spark, [None if m == "null" else m[1:] for m in marks if m is not None])
+    A table with a location of its own is external: dropping its partitions
+    leaves their files, so these are deleted as well.
+    """
+    if table.name:
+        for at in range(0, len(folders), _PARTITIONS_AT_ONCE):
+            clauses = ", ".join(partition_clause(f) for f in folders[at : at + _PARTITIONS_AT_ONCE])
+            spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS {clauses}")
+    fs.for_all(lambda folder: fs.delete(spark, f"{table.path}/{folder}"), folders)
+    if table.name and folders:
+        spark.catalog.refreshTable(table.name)
 
 
-def _mark(spark: SparkSession, table: PartitionedTable) -> list:
-    mark = read_if_present(spark, f"{table.stage}/mark", _MARK_SCHEMA)
-    return [] if mark is None else mark.collect()
+def folder_table(spark: SparkSession, path: str, schema: StructType | None = None) -> PartitionedTable:
+    """A folder as a table, its partition levels read off its first branch."""
+    levels = fs.partition_columns(spark, path) if fs.exists(spark, path) else []
+    return PartitionedTable(path, schema, tuple(levels))
 
 
-def _set_mark(spark: SparkSession, table: PartitionedTable, emptied: list[str | None] | None) -> None:
-    """Mark the stage as complete, naming the partitions to drop; None takes the mark off."""
-    texts = [None] if emptied == [] else [f"v{v}" if v is not None else "null" for v in emptied or []]
-    values = F.array(*[F.lit(t) for t in texts]).cast("array<string>")
-    mark = spark.range(1 if texts else 0).select(F.explode(values).alias("emptied"))
-    mark.coalesce(1).write.mode("overwrite").parquet(f"{table.stage}/mark")
+def as_text(table: PartitionedTable) -> PartitionedTable:
+    """The table with its partition values as they are written: 00 stays 00."""
+    if table.schema is None:
+        return table
+    fields = [StructField(f.name, StringType()) if f.name in table.partitions else f for f in table.schema]
+    return replace(table, schema=StructType(fields))
 
 
 def is_stream_sink(spark: SparkSession, path: str) -> bool:
     """Whether a streaming query keeps its own list of files in the folder."""
-    return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
+    return fs.exists(spark, f"{path.rstrip('/')}/_spark_metadata")

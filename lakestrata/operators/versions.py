@@ -123,13 +123,12 @@ def merge_few_winners(
     return kept.unionByName(fresh.select(*base.columns))
 
 
-def lookup_bytes(winners: DataFrame, keys: Sequence[str], seq: str | Sequence[str]) -> int:
-    """Size of what ``merge_few_winners`` broadcasts: keys and sequences, as text, plus overhead."""
-    columns = [*keys, *_columns(seq)]
+def lookup_width(keys: Sequence[str], seq: str | Sequence[str]) -> Column:
+    """Bytes of a row of what ``merge_few_winners`` broadcasts: keys and sequences, as text, plus overhead."""
     width = F.lit(64)
-    for column in columns:
+    for column in [*keys, *_columns(seq)]:
         width = width + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
-    return winners.agg(F.sum(width)).first()[0] or 0
+    return width
 
 
 def read_current(

@@ -141,10 +141,16 @@ SELECT 'transaction_details' AS sink, id, amount, pt_created_date FROM ({_CURREN
     "stream_payments_keyed": _CURRENT_PAYMENTS,
     "upsert_twice_same_name": _CURRENT,
     "late_file_load": _FEED,
-    "keyed_table_life": f"""SELECT * FROM ({_STORED_PAYMENTS}) stored
+    "keyed_table_life": f"""SELECT stored.*, unnest(['catalog', 'folder']) AS read_by FROM ({_STORED_PAYMENTS}) stored
 WHERE strptime(CAST(pt_created_date AS VARCHAR), '%Y%m%d') >= TIMESTAMP '2034-01-10 00:00:00' - INTERVAL 3650 DAY
   AND NOT (_row_kind = '-D' AND pt_created_date <= 20240115)""",
     "resumed_load": _FEED,
+    "upsert_by_bucket": f"""SELECT id, pt_created_date, seq, row_kind, amount, status FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, pt_created_date ORDER BY seq DESC) AS newest
+  FROM ({_FEED}) feed WHERE row_kind <> '-U') ranked
+WHERE newest = 1 AND NOT (row_kind = '-D' AND pt_created_date <= 20240115)""",
+    "compact_two_levels": f"SELECT *, printf('%02d', seq % 4) AS hour FROM ({_FEED}) feed",
+    "compact_while_loading": _FEED,
     "purge_deletes": f"""SELECT id, pt_created_date, seq, row_kind, amount, status FROM (
   SELECT *, row_number() OVER (PARTITION BY id, pt_created_date ORDER BY seq DESC) AS newest
   FROM ({_FEED}) feed WHERE row_kind = '-D' OR (row_kind <> '-U' AND pt_created_date <> 20240107)) ranked

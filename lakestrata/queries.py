@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -161,6 +162,17 @@ def upsert_twice_same_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(target.read(spark), "row_kind")
 
 
+def upsert_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table cut into buckets by id, merged in several batches and purged: only buckets with a changed key are written."""
+    target = replace(feed_target(f"{work_dir(spark, 'buckets')}/table"), bucket_by=("id",), buckets=4)
+    feed = view(spark, sf_dir, "feed")
+    for i in BATCHES:
+        upsert(spark, target, _batch(feed, "seq", i))
+    purge_deletes(spark, target, F.col("pt_created_date") <= SETTLED_DAY)
+    compact_in_place(spark, target.path, target.partition, min_files=2, table=target.table)
+    return target.read(spark)
+
+
 def _append_load(spark: SparkSession, sf_dir: str, raw: str, transform, folder: str, partition=None) -> Load:
     return Load(
         name=f"{raw}-{uuid.uuid4().hex[:8]}",
@@ -280,7 +292,10 @@ def keyed_table_life(spark: SparkSession, sf_dir: str) -> DataFrame:
             upkeep(spark, target.name, FEED_EXPIRY_AS_OF)
     purge_deletes(spark, target, F.col("pt_created_date") <= SETTLED_DAY)
     upkeep(spark, target.name, FEED_EXPIRY_AS_OF)
-    return target.read(spark)
+    by_folder = spark.read.schema(target.schema).parquet(target.path)
+    return target.read(spark).withColumn("read_by", F.lit("catalog")).unionByName(
+        by_folder.withColumn("read_by", F.lit("folder"))
+    )
 
 
 def feed_target(path: str) -> UpsertTarget:
@@ -354,6 +369,33 @@ def compacted_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(log)
 
 
+def compact_two_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log partitioned by day and kind, compacted in place and then to another folder."""
+    folder = work_dir(spark, "two-levels")
+    feed = view(spark, sf_dir, "feed").withColumn("hour", F.format_string("%02d", F.col("seq") % 4))
+    for rows in (feed.filter("seq % 2 = 0"), feed.filter("seq % 2 = 1")):
+        rows.repartition(3).write.mode("append").partitionBy("pt_created_date", "hour").parquet(f"{folder}/log")
+    compact_in_place(spark, f"{folder}/log", "pt_created_date", min_files=2)
+    compact_partitions(spark, f"{folder}/log", f"{folder}/large", "pt_created_date")
+    schema = StructType([*FEED_SCHEMA.fields[:-1], StructField("pt_created_date", IntegerType()), StructField("hour", StringType())])
+    return spark.read.schema(schema).parquet(f"{folder}/large")
+
+
+def compact_while_loading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change log that is appended to and compacted at the same time, by two threads."""
+    log = f"{work_dir(spark, 'busy-log')}/log"
+    feed = view(spark, sf_dir, "feed")
+    append_changes(_batch(feed, "seq", BATCHES[0]), log, "pt_created_date")
+    with ThreadPoolExecutor(2) as pool:
+        loading = pool.submit(lambda: [append_changes(_batch(feed, "seq", i), log, "pt_created_date") for i in BATCHES[1:]])
+        session = spark.newSession()
+        while not loading.done():
+            compact_in_place(session, log, "pt_created_date", min_files=2)
+        loading.result()
+    compact_in_place(spark, log, "pt_created_date", min_files=2)
+    return spark.read.parquet(log)
+
+
 def backfill_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfill(dwd_payments(spark, sf_dir), "pt_created_date", ["id"])
 
@@ -404,6 +446,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_payments_keyed": stream_payments_keyed,
     "late_file_load": late_file_load,
     "upsert_twice_same_name": upsert_twice_same_name,
+    "upsert_by_bucket": upsert_by_bucket,
     "keyed_table_life": keyed_table_life,
     "stream_upsert": stream_upsert,
     "stream_transaction_details": stream_transaction_details,
@@ -414,6 +457,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drop_expired_partitions": dropped_partitions,
     "compact_partitions": compacted,
     "compact_in_place": compacted_in_place,
+    "compact_two_levels": compact_two_levels,
+    "compact_while_loading": compact_while_loading,
     "backfill_order": backfill_order,
     "model_success_transactions": model_success_transactions,
     "model_as_view": model_as_view,

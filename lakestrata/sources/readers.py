@@ -96,18 +96,6 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    system, where = _file_system(spark, path)
-    return system.exists(where)
-
-
-def delete_folder(spark: SparkSession, table: str, partition: str, value: str | None) -> None:
-    """Delete one partition's folder, if it is there."""
-    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    system, where = _file_system(spark, f"{table}/{utils.getPartitionPathString(partition, value)}")
-    system.delete(where, True)
-
-
 def set_modified(spark: SparkSession, path: str, pattern: str, days_ago: int) -> None:
     """Give the files that match ``pattern`` in a folder an older time stamp, as a copy that keeps times does."""
     system, where = _file_system(spark, f"{path}/{pattern}")

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegerType, StringType, StructField, StructType, TimestampNTZType
 
-from lakestrata.operators.staging import PartitionedTable, finish_pending
-from lakestrata.sources.readers import table_location, table_options
+from lakestrata.sources.readers import table_options
 
 
 @dataclass(frozen=True)
@@ -133,13 +132,11 @@ def insert_into(df: DataFrame, name: str, partition: str) -> None:
 
     The rebalance gathers the rows of each partition, and of each bucket, into
     few, evenly sized writers; adaptive execution splits a hot one over several.
-    A compaction that was cut off is finished first.
     """
     spark = df.sparkSession
     options = table_options(spark, name)
     if options.get("primary-key"):
         raise ValueError(f"{name} has a key: an insert would repeat it, use upsert")
-    finish_pending(spark, PartitionedTable(table_location(spark, name), spark.table(name).schema, partition, name))
     ordered = df.select(*df.sparkSession.table(name).columns)
     if not options.get("bucket-count"):
         ordered.hint("rebalance", partition).write.insertInto(name)

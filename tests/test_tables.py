@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import pytest
@@ -33,7 +34,8 @@ from lakestrata.plans.ewallet import PAYMENTS, to_detail
 from lakestrata.plans.models import LAYER_DEFAULTS, run_model, save_table, success_transactions
 from lakestrata.queries import FEED_KEYS, FEED_SCHEMA, PAYMENT_KEYED, feed_target
 from lakestrata.session import session_conf
-from lakestrata.sources.readers import Sources, partition_filter, partition_values
+from lakestrata.sources import files
+from lakestrata.sources.readers import Sources, partition_filter, partition_values, set_modified
 from lakestrata.sources.tables import create_database, create_table, create_table_as, insert_into
 from lakestrata.sources.testviews import view
 from pyspark.sql import functions as F
@@ -83,13 +85,18 @@ def test_nightly_compaction_keeps_what_came_in_between(spark, tmp_path):
     assert file_stats(spark, path, "p").filter("files > 1").isEmpty()
 
 
-STEPS = ("_swap", "_set_mark", "overwrite", "drop", "partition_values")
+# Step by step, and in the middle of those that do many things.
+STEPS = [("folder", "_set_mark"), ("folder", "_move_in"), ("folder", "_delete_old"), ("buckets", "move")]
+STEPS += [("buckets", "delete"), ("catalog", "move"), ("catalog", "_tell_catalog"), ("catalog", "partition_clause")]
 
 
-@pytest.mark.parametrize("kind", ["folder", "catalog"])
-@pytest.mark.parametrize("step", STEPS)
-def test_a_driver_lost_at_any_step_loses_nothing(spark, tmp_path, feed, expected, monkeypatch, step, kind):
+@pytest.mark.parametrize(("kind", "step"), STEPS)
+def test_a_driver_lost_at_any_step_loses_nothing(spark, tmp_path, feed, expected, monkeypatch, kind, step):
+    feed = feed.filter("pt_created_date < 20240110")
+    expected = expected.filter("pt_created_date < 20240110")
     target = feed_target(str(tmp_path / "table"))
+    if kind == "buckets":
+        target = replace(target, bucket_by=("id",), buckets=3)
     if kind == "catalog":
         create_database(spark, "crashes", str(tmp_path / "db"))
         name = f"crashes.feed_{step.strip('_')}"
@@ -97,36 +104,36 @@ def test_a_driver_lost_at_any_step_loses_nothing(spark, tmp_path, feed, expected
             "path", target.path
         ).saveAsTable(name)
         target = replace(target, name=name)
-    upsert(spark, target, feed.filter("seq % 2 = 0"))
+    upsert(spark, target, feed.filter("seq % 2 = 0 AND pt_created_date <> 20240105"))
     rest, other = feed.filter("seq % 2 = 1 AND seq % 3 > 0"), feed.filter("seq % 2 = 1 AND seq % 3 = 0")
+    rest = rest.unionByName(feed.filter("seq % 2 = 0 AND pt_created_date = 20240105"))
 
     def crash(*_):
         raise RuntimeError("driver lost")
 
-    owner = staging.PartitionedTable if step in ("overwrite", "drop") else staging
-    calls = {"_set_mark": 2}.get(step, 1)
+    def writes(path):
+        return f"{path}".startswith(target.path) and not f"{path}".startswith(target.table.stage)
+
+    owner = files if step in ("move", "delete") else staging
     whole = getattr(owner, step)
-    for survive in range(calls):
-        count = iter(range(100))
+    for survive in (0, 7) if owner is files else (0,):
+        count = iter(range(10_000))
+
+        def half(*args, survive=survive, count=count):
+            if owner is files and not writes(args[-1]):
+                return whole(*args)
+            return crash() if next(count) >= survive else whole(*args)
+
         with monkeypatch.context() as patch:
-            patch.setattr(owner, step, lambda *a, c=count, n=survive: crash() if next(c) >= n else whole(*a))
-            if step == "partition_values":
-                # Asked for by purges only.
-                with pytest.raises(RuntimeError, match="driver lost"):
-                    staging.replace_partitions(
-                        spark, target.table, lambda: staging.Replacement(target.read(spark), ["20240105"])
-                    )
-            else:
-                with pytest.raises(RuntimeError, match="driver lost"):
-                    upsert(spark, target, rest)
-        if step in ("_swap", "overwrite") and survive == 0 and kind == "folder":
-            # The swap had emptied one day by then.
-            empty = spark.createDataFrame([], FEED_SCHEMA).drop("pt_created_date")
-            empty.write.mode("overwrite").parquet(f"{target.path}/pt_created_date=20240105")
+            patch.setattr(owner, step, half)
+            with pytest.raises(RuntimeError, match="driver lost"):
+                upsert(spark, target, rest)
     # Another job comes first, then the batch again.
     upsert(spark, target, other)
     upsert(spark, target, rest)
     assert same_rows(read_current(target.read(spark), "row_kind"), expected)
+    assert target.read(spark).count() == feed.select("id", "pt_created_date").filter("row_kind <> '-U'").distinct().count()
+    assert not glob.glob(f"{target.table.stage}/mark")
 
 
 def test_untouched_partitions_keep_their_files(spark, tmp_path, feed):
@@ -139,14 +146,134 @@ def test_untouched_partitions_keep_their_files(spark, tmp_path, feed):
     assert gone and all("pt_created_date=20240105" in path for path in gone)
 
 
-def test_the_first_batch_is_written_once_and_the_stage_is_emptied(spark, tmp_path, feed):
+def test_the_stage_is_emptied(spark, tmp_path, feed):
     target = feed_target(str(tmp_path / "table"))
     upsert(spark, target, feed.filter("seq % 2 = 0"))
-    assert not glob.glob(f"{target.table.stage}/**/*.parquet", recursive=True)
+    assert not glob.glob(f"{target.table.stage}/rows/**/*.parquet", recursive=True)
     upsert(spark, target, feed)
     assert not glob.glob(f"{target.table.stage}/rows/**/pt_created_date=*", recursive=True)
 
 
+def test_one_changed_key_reads_and_writes_one_bucket(spark, tmp_path, feed, monkeypatch):
+    target = replace(feed_target(str(tmp_path / "table")), bucket_by=("id",), buckets=4)
+    upsert(spark, target, feed.filter("pt_created_date < 20240105"))
+    before = set(glob.glob(f"{target.path}/*/*.parquet"))
+    one = feed.filter("pt_created_date = 20240103 AND row_kind <> '-U'").limit(1).withColumn("seq", F.col("seq") + 1_000_000)
+    one = spark.createDataFrame(one.collect(), FEED_SCHEMA)
+    read = []
+    whole = staging.PartitionedTable.read_files
+    monkeypatch.setattr(
+        staging.PartitionedTable, "read_files", lambda self, s, names: read.append(whole(self, s, names)) or read[-1]
+    )
+    upsert(spark, target, one)
+    after = set(glob.glob(f"{target.path}/*/*.parquet"))
+    gone, new = before - after, after - before
+    bucket = spark.createDataFrame(one.collect(), FEED_SCHEMA).select(F.pmod(F.hash("id"), F.lit(4))).first()[0]
+    assert len(gone) == len(new) == 1
+    assert all("pt_created_date=20240103" in f and f"_{bucket:05d}." in f for f in gone | new)
+    assert [f.split(":", 1)[-1] for f in read[0].inputFiles()] == [f"//{f}" for f in gone]
+
+
+def test_files_without_a_bucket_are_taken_over(spark, tmp_path, feed, expected):
+    plain = feed_target(str(tmp_path / "table"))
+    upsert(spark, plain, feed.filter("seq % 2 = 0"))
+    upsert(spark, replace(plain, bucket_by=("id",), buckets=3), feed.filter("seq % 2 = 1"))
+    assert same_rows(read_current(plain.read(spark), "row_kind"), expected)
+
+
+def test_two_writers_take_turns(spark, tmp_path, feed, expected):
+    target = feed_target(str(tmp_path / "table"))
+    halves = [feed.filter(f"seq % 3 = {i}") for i in range(3)]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda rows: upsert(spark.newSession(), target, rows), halves))
+    assert same_rows(read_current(target.read(spark), "row_kind"), expected)
+
+
+def test_a_claim_is_exclusive_and_a_lost_one_is_taken_over(spark, tmp_path):
+    table = feed_target(str(tmp_path / "table")).table
+    with staging.claimed(spark, table):
+        with pytest.raises(TimeoutError), staging.claimed(spark, table, wait=0.3):
+            pass
+    files.write_text(spark, f"{table.stage}/claim", "a driver that is gone")
+    set_modified(spark, table.stage, "claim", 1)
+    with staging.claimed(spark, table, wait=5):
+        pass
+    assert not files.exists(spark, f"{table.stage}/claim")
+
+
+def test_compaction_leaves_a_partition_that_changed_meanwhile(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    rows = spark.range(90).selectExpr("id", "cast(id % 3 as int) as p")
+    rows.repartition(5).write.partitionBy("p").parquet(path)
+    stage = staging._stage
+
+    def meanwhile(*args):
+        stage(*args)
+        # Another job drops one partition, a load appends to a second.
+        files.delete(spark, f"{path}/p=0")
+        spark.range(100, 110).selectExpr("id", "1 as p").write.mode("append").partitionBy("p").parquet(path)
+
+    monkeypatch.setattr(staging, "_stage", meanwhile)
+    assert compact_in_place(spark, path, "p", min_files=2) == ["p=0"]
+    left = {r.p: r.n for r in spark.read.parquet(path).groupBy("p").agg(F.count("*").alias("n")).collect()}
+    assert left == {1: 40, 2: 30}
+    assert len(glob.glob(f"{path}/p=2/*.parquet")) == 1
+
+
+def test_two_levels_are_kept_or_refused(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.range(401).selectExpr("id", "20240101 + id % 3 AS pt", "IF(id % 7 = 0, NULL, concat('0', id % 2)) AS hour")
+    rows.repartition(6).write.partitionBy("pt", "hour").parquet(path)
+    names = {f.rsplit("/", 1)[0] for f in glob.glob(f"{path}/*/*/*.parquet")}
+    compact_in_place(spark, path, "pt", min_files=2)
+    assert {f.rsplit("/", 1)[0] for f in glob.glob(f"{path}/**/*.parquet", recursive=True)} == names
+    assert len(glob.glob(f"{path}/*/*/*.parquet")) == 9
+    schema = "id long, pt long, hour string"
+    assert same_rows(spark.read.schema(schema).parquet(path), rows)
+    compact_partitions(spark, path, str(tmp_path / "large"), "pt")
+    assert same_rows(spark.read.schema(schema).parquet(str(tmp_path / "large")), rows)
+    with pytest.raises(ValueError, match="partitioned by"):
+        compact_in_place(spark, path, "hour", min_files=2)
+    assert expire_folder(spark, path, "pt", days=1, as_of=dt.date(2024, 1, 3)) == ["20240101"]
+    assert not glob.glob(f"{path}/pt=20240101") or not glob.glob(f"{path}/pt=20240101/*/*")
+
+
+@pytest.mark.parametrize("job", ["folder", "catalog", "upkeep"])
+def test_expired_partitions_do_not_come_back(spark, tmp_path, feed, monkeypatch, job):
+    """A swap was cut off, then partitions expire, then the next batch is merged."""
+    create_database(spark, "ddl_checks", str(tmp_path / "db"))
+    target = feed_target(str(tmp_path / "t"))
+    if job != "folder":
+        name = f"ddl_checks.expiring_{job}"
+        create_table(spark, PAYMENTS, name, str(tmp_path / "t"), bucketed=True, keyed=PAYMENT_KEYED)
+        target = keyed_table(spark, name)
+        feed = to_detail(PAYMENTS, dt.datetime(2024, 1, 1), carry=("_seq", "_row_kind"))(view(spark, SF, "pay_feed"))
+    some = feed.filter("pt_created_date < 20240106")
+    upsert(spark, target, some)
+
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(staging, "_move_in", crash)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            upsert(spark, target, some.withColumn(target.seq[0], F.col(target.seq[0]) + 1_000_000))
+    as_of = dt.date(2034, 1, 1)
+    if job == "folder":
+        expire_folder(spark, target.path, "pt_created_date", as_of=as_of)
+    elif job == "catalog":
+        drop_expired_partitions(spark, target.name, "pt_created_date", as_of=as_of)
+    else:
+        upkeep(spark, target.name, as_of)
+    left = {f.rsplit("=", 1)[1] for f in glob.glob(f"{tmp_path}/t/pt_created_date=*")}
+    assert left == {"20240104", "20240105"}
+    upsert(spark, target, some.filter("pt_created_date = 20240105"))
+    assert {r[0] for r in target.read(spark).select("pt_created_date").distinct().collect()} == {20240104, 20240105}
+    if target.name:
+        spark.sql(f"ALTER TABLE {target.name} RECOVER PARTITIONS")
+        assert spark.sql(f"SHOW PARTITIONS {target.name}").count() == 2
+
+
 def test_purge_rewrites_only_partitions_with_settled_deletes(spark, tmp_path):
     rows = spark.sql(
         "SELECT * FROM VALUES (1L, 1L, '+I', 20240101), (2L, 2L, '-D', 20240101), (3L, 3L, '-D', 20240102),"
@@ -227,7 +354,7 @@ def test_rows_appended_after_a_lost_compaction_stay(spark, tmp_path, monkeypatch
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(staging, "_swap", crash)
+        patch.setattr(staging, "_move_in", crash)
         with pytest.raises(RuntimeError, match="driver lost"):
             compact_in_place(spark, log, "hour", min_files=2)
     more = spark.range(60, 80).selectExpr("id", "concat('0', id % 2) AS hour")
