@@ -116,6 +116,29 @@ _MODEL = f"""SELECT transaction_id, user_id, amount, currency, status,
   transaction_time AS ods_ingested_at, {STAMP} AS dwd_updated_at
 FROM ({duckdb_view('model_src')}) raw WHERE status = 'SUCCESS'"""
 
+_TWO_SINKS = f"""SELECT 'payments' AS sink, CAST(id AS VARCHAR) AS id, amount, pt_created_date
+FROM ({_CURRENT_PAYMENTS}) payments
+UNION ALL
+SELECT 'transaction_details' AS sink, id, amount, pt_created_date FROM ({_CURRENT_DETAILS}) details"""
+
+_GREW = ("created_time", "created_by", "modified_time", "modified_by")
+
+_BROKEN = "_seq % 50 = 7 OR _seq % 60 = 11 OR _seq % 70 = 13"
+
+
+def _rejected(column: str, raw_value: str, reason: str, where: str) -> str:
+    return f"""SELECT _seq, NULL, NULL, NULL, '{column}', {raw_value}, '{reason}' FROM raw WHERE {where}"""
+
+
+_REJECTS = f"""WITH raw AS ({duckdb_view("pay_feed")})
+SELECT _seq, Id AS id, Amount AS amount, date_trunc('millisecond', CreatedTime) AS created_time,
+  CAST(NULL AS VARCHAR) AS "column", CAST(NULL AS VARCHAR) AS raw_value, CAST(NULL AS VARCHAR) AS reason
+FROM raw WHERE pt_created_date IS NOT NULL AND NOT ({_BROKEN})
+UNION ALL {_rejected("id", "'x' || CAST(Id AS VARCHAR)", "not bigint", "_seq % 50 = 7")}
+UNION ALL {_rejected("amount", "'n/a'", "not decimal(38,10)", "_seq % 60 = 11")}
+UNION ALL {_rejected("created_time", "'2024-13-45 00:00:00'", "not timestamp_ntz", "_seq % 70 = 13")}
+UNION ALL {_rejected("pt_created_date", "NULL", "missing partition", "pt_created_date IS NULL")}"""
+
 ORACLE_SQL: dict[str, str] = {
     "dwd_payments": _PAYMENTS,
     "dwd_transaction_details": _DETAILS,
@@ -134,10 +157,7 @@ FROM ({_CURRENT}) current_rows GROUP BY id HAVING count(*) > 1""",
     "stream_unpivot": _BETS,
     "stream_upsert": _CURRENT,
     "stream_transaction_details": _CURRENT_DETAILS,
-    "multi_sink_load": f"""SELECT 'payments' AS sink, CAST(id AS VARCHAR) AS id, amount, pt_created_date
-FROM ({_CURRENT_PAYMENTS}) payments
-UNION ALL
-SELECT 'transaction_details' AS sink, id, amount, pt_created_date FROM ({_CURRENT_DETAILS}) details""",
+    "multi_sink_load": _TWO_SINKS,
     "stream_payments_keyed": _CURRENT_PAYMENTS,
     "upsert_twice_same_name": _CURRENT,
     "late_file_load": _FEED,
@@ -145,6 +165,26 @@ SELECT 'transaction_details' AS sink, id, amount, pt_created_date FROM ({_CURREN
 WHERE strptime(CAST(pt_created_date AS VARCHAR), '%Y%m%d') >= TIMESTAMP '2034-01-10 00:00:00' - INTERVAL 3650 DAY
   AND NOT (_row_kind = '-D' AND pt_created_date <= 20240115)""",
     "resumed_load": _FEED,
+    "snapshot_then_changes": _CURRENT,
+    "shared_position_load": f"""{_TWO_SINKS}
+UNION ALL
+SELECT 'log' AS sink, CAST(id AS VARCHAR) AS id, amount, pt_created_date FROM ({_FEED}) feed""",
+    "expired_readers": f"SELECT * FROM ({_FEED}) feed WHERE seq % 4 = 1",
+    "conform_with_rejects": _REJECTS,
+    "table_spec_grows": "SELECT * EXCLUDE (_seq) REPLACE ("
+    + ", ".join(f"CASE WHEN _seq % 2 = 1 THEN {c} END AS {c}" for c in _GREW)
+    + f") FROM ({_conformed(_PAYMENT_COLUMNS + ', _seq', 'pay_feed')}) rows",
+    "stream_page_views": """WITH views AS (
+  SELECT ts, date_trunc('minute', ts) AS minute, event_id % 97 = 5 AND day(ts) <= 2 AS held
+  FROM events WHERE event_type = 'view')
+SELECT minute, count(*) AS views, (SELECT count(DISTINCT minute) FROM views WHERE held) AS late_minutes
+FROM views WHERE NOT held GROUP BY minute
+HAVING minute + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM views WHERE NOT held) - INTERVAL 6 DAY""",
+    "resumed_backfill": _PAYMENTS_FEED,
+    "model_graph": f"""SELECT CAST(floor(amount / 500) AS INTEGER) AS band, count(*) AS users,
+  CAST(sum(payments) AS BIGINT) AS payments
+FROM (SELECT user_id, count(*) AS payments, sum(amount) AS amount FROM ({_MODEL}) success GROUP BY user_id) totals
+GROUP BY 1""",
     "upsert_by_bucket": f"""SELECT id, pt_created_date, seq, row_kind, amount, status FROM (
   SELECT *, row_number() OVER (PARTITION BY id, pt_created_date ORDER BY seq DESC) AS newest
   FROM ({_FEED}) feed WHERE row_kind <> '-U') ranked

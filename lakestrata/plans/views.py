@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def page_views_per_minute(
@@ -20,3 +21,12 @@ def page_views_per_minute(
         views = views.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
     counted = views.groupBy(F.window(ts, "1 minute")).agg(F.count("*").alias("views"))
     return counted.select(F.col("window.start").cast("timestamp_ntz").alias("minute"), "views")
+
+
+def late_minutes(query: StreamingQuery) -> int:
+    """How many minutes got views that came behind the watermark, batch by batch, and were not counted.
+
+    Views of one minute and batch are put together before the watermark is looked at.
+    """
+    operators = (operator for progress in query.recentProgress for operator in progress["stateOperators"])
+    return sum(operator["numRowsDroppedByWatermark"] for operator in operators)

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, LongType, StringType, StructField, StructType
@@ -19,25 +20,43 @@ from lakestrata.operators import (
     backfill,
     compact_in_place,
     compact_partitions,
+    conform_with_rejects,
     drop_expired_partitions,
     expire_partitions,
     keyed_table,
     latest_by_key,
     purge_deletes,
     read_current,
+    run_backfill,
     upkeep,
     upsert,
 )
 from lakestrata.operators.versions import ROW_KIND
 from lakestrata.plans.ewallet import PAYMENTS, TRANSACTION_DETAILS, keyed_target, to_detail
+from lakestrata.plans.graph import MODELS, Model, run_graph
 from lakestrata.plans.models import run_model, success_transactions
 from lakestrata.plans.ratings import bets, no_bets
+from lakestrata.plans.views import late_minutes
 from lakestrata.plans.views import page_views_per_minute as views_per_minute
 from lakestrata.session import work_dir
 from lakestrata.sources.readers import Sources, scan, set_modified
-from lakestrata.sources.tables import Keyed, create_database, create_table, create_table_as, insert_into
+from lakestrata.sources.tables import Keyed, create_database, create_table, create_table_as, evolve_table, insert_into
 from lakestrata.sources.testviews import table_rows, table_schema, view, view_of
-from lakestrata.streaming import Load, run_loads
+from lakestrata.streaming import (
+    Follower,
+    Load,
+    SharedLoad,
+    Sink,
+    clean_source,
+    expire_readers,
+    follow,
+    given_out,
+    positions_kept,
+    read_sink,
+    run_loads,
+    run_shared,
+    start_load,
+)
 
 # Fixed so that a query and its check stamp the same time.
 AS_OF = dt.datetime(2024, 1, 1)
@@ -319,6 +338,213 @@ def stream_transaction_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(target.read(spark))
 
 
+def snapshot_then_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that starts in the middle of a load: what the table holds, then the log's changes, folded together."""
+    folder = work_dir(spark, "follow")
+    feed, target, log = view(spark, sf_dir, "feed"), feed_target(f"{folder}/table"), f"{folder}/log"
+    reader = Follower(
+        name=f"reader-{uuid.uuid4().hex[:8]}",
+        table=target,
+        log=lambda session: scan(session, log, FEED_SCHEMA, streaming=True),
+        checkpoint=f"{folder}/checkpoint",
+        out=f"{folder}/out",
+    )
+    batches = [_batch(feed, "seq", i) for i in BATCHES]
+    for rows in batches[:2]:
+        upsert(spark, target, rows)
+        append_changes(rows, log, target.partition)
+    # The third batch is in the table and not in the log yet when the reader starts.
+    upsert(spark, target, batches[2])
+    follow(spark, reader, bounded=True).awaitTermination()
+    append_changes(batches[2], log, target.partition)
+    follow(spark, reader, bounded=True).awaitTermination()
+    # The fourth gets into the log first.
+    append_changes(batches[3], log, target.partition)
+    upsert(spark, target, batches[3])
+    follow(spark, reader, bounded=True).awaitTermination()
+    return read_current(apply_changes(None, given_out(spark, reader), FEED_KEYS, "seq", kind="row_kind"), "row_kind")
+
+
+def shared_position_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sinks fed from one position; the job is lost between two of them, and started again."""
+    folder = work_dir(spark, "shared")
+    _event_files(spark, sf_dir, f"{folder}/raw", BATCHES)
+    paid = _payments_target(spark)
+    detailed = keyed_target(TRANSACTION_DETAILS, f"{folder}/details", seq=("payment_id",))
+    losses = iter([False, True])
+
+    def details(rows: DataFrame) -> DataFrame:
+        if next(losses, False):
+            raise RuntimeError("lost between two sinks")
+        return detail_changes(view_of(rows, "txn_feed"))
+
+    log = Sink("log", lambda rows: view_of(rows, "feed"), append_to=f"{folder}/log")
+    load = SharedLoad(
+        name=f"shared-{uuid.uuid4().hex[:8]}",
+        source=lambda session: scan(
+            session, f"{folder}/raw/batch-*", table_schema("events"), streaming=True, max_files_per_batch=1
+        ),
+        sinks=(
+            Sink("payments", lambda rows: payment_changes(view_of(rows, "pay_feed")), upsert_into=paid),
+            Sink("transaction_details", details, upsert_into=detailed),
+            log,
+        ),
+        checkpoint=f"{folder}/checkpoint",
+    )
+    try:
+        run_shared(spark, load)
+    except StreamingQueryException:
+        run_shared(spark, load)
+    held = {"payments": read_current(paid.read(spark)), "transaction_details": read_current(detailed.read(spark))}
+    held["log"] = read_sink(spark, log)
+    rows = [
+        kept.select(F.lit(sink).alias("sink"), F.col("id").cast("string").alias("id"), "amount", "pt_created_date")
+        for sink, kept in held.items()
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def expired_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of a source once an idle reader has expired and files that the others have read are deleted."""
+    folder = work_dir(spark, "readers")
+    names = {name: f"{folder}/{name}" for name in ("idle", "live")}
+
+    def load(name: str) -> Load:
+        return Load(
+            name=name,
+            source=lambda session: _event_stream(session, f"{folder}/raw", "feed"),
+            transform=lambda feed: feed.select("id"),
+            checkpoint=names[name],
+            append_to=f"{folder}/{name}-rows",
+        )
+
+    with positions_kept(spark, f"{folder}/positions", names):
+        _event_files(spark, sf_dir, f"{folder}/raw", BATCHES[:1])
+        run_loads(spark, [load("idle")], bounded=True)
+        between = dt.datetime.now(dt.UTC)
+        _event_files(spark, sf_dir, f"{folder}/raw", BATCHES[1:3])
+        run_loads(spark, [load("live")], bounded=True)
+    _event_files(spark, sf_dir, f"{folder}/raw", BATCHES[3:])
+    expire_readers(spark, f"{folder}/positions", idle=dt.timedelta(0), as_of=between)
+    clean_source(spark, f"{folder}/positions")
+    left = spark.read.schema(table_schema("events")).option("recursiveFileLookup", "true").parquet(f"{folder}/raw")
+    return view_of(left, "feed")
+
+
+def rejected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments that come as text, some of it broken: rows that fit, and values that do not."""
+    raw = view(spark, sf_dir, "pay_feed")
+    text = raw.select("_seq", *[F.col(c).cast("string").alias(c) for c in PAYMENTS.mapping.values()])
+    broken = {
+        "Id": F.when(F.col("_seq") % 50 == 7, F.concat(F.lit("x"), "Id")),
+        "Amount": F.when(F.col("_seq") % 60 == 11, F.lit("n/a")),
+        "CreatedTime": F.when(F.col("_seq") % 70 == 13, F.lit("2024-13-45 00:00:00")),
+    }
+    text = text.withColumns({c: F.coalesce(value, F.col(c)) for c, value in broken.items()})
+    place = work_dir(spark, "checked")
+    good, bad = conform_with_rejects(
+        text, PAYMENTS.mapping, PAYMENTS.schema, PAYMENTS.partition, place, PAYMENTS.audit, AS_OF, carry=("_seq",)
+    )
+    none = {name: F.lit(None).cast("string") for name in ("column", "raw_value", "reason")}
+    fits = good.select("_seq", "id", "amount", "created_time", *[c.alias(name) for name, c in none.items()])
+    seq = F.get_json_object("raw_row", "$._seq").cast("long").alias("_seq")
+    empty = [F.lit(None).cast(PAYMENTS.schema[c].dataType).alias(c) for c in ("id", "amount", "created_time")]
+    return fits.unionByName(bad.select(seq, *empty, *none))
+
+
+def table_spec_grows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written before and after the table got four more columns."""
+    name, location = _fresh_table(spark, "growing")
+    smaller = replace(PAYMENTS, columns=PAYMENTS.columns[:-4], expire_days=100)
+    raw = view(spark, sf_dir, "pay_feed")
+    create_table(spark, smaller, name, location, bucketed=True)
+    insert_into(to_detail(smaller, AS_OF)(_batch_of(raw, 0)), name, PAYMENTS.partition)
+    evolve_table(spark, PAYMENTS, name, bucketed=True)
+    insert_into(payments(_batch_of(raw, 1)), name, PAYMENTS.partition)
+    return spark.table(name).select(*PAYMENTS.schema.names)
+
+
+def _batch_of(rows: DataFrame, odd: int) -> DataFrame:
+    return rows.filter(F.col(SEQ) % 2 == odd)
+
+
+# Views arrive up to four days out of order; some of the first two days come after all others.
+VIEW_LATENESS = "6 days"
+VIEWS_HELD_BACK = "event_id % 97 = 5 AND day(ts) <= 2"
+
+
+def stream_page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The views of the minutes that are closed, counted by a stream that is stopped and started again between files."""
+    folder = work_dir(spark, "stream-views")
+    events = table_rows(spark, sf_dir, "events").withColumn("held", F.expr(VIEWS_HELD_BACK))
+    chunk = F.expr("CAST((day(ts) + event_id % 5) / 8 AS INT)")
+
+    def arrive(name: str, rows: DataFrame) -> None:
+        rows.drop("held").coalesce(1).write.parquet(f"{folder}/raw/batch-{name}")
+
+    late = 0
+    for first, last in ((0, 1), (2, 9)):
+        for at in range(first, min(last, 4) + 1):
+            arrive(str(at), events.filter(~F.col("held") & (chunk == at)))
+        if last == 9:
+            arrive("held", events.filter("held"))
+        load = Load(
+            name=f"views-{uuid.uuid4().hex[:8]}",
+            source=lambda session: scan(
+                session, f"{folder}/raw/batch-*", table_schema("events"), streaming=True, max_files_per_batch=1
+            ),
+            transform=lambda rows: views_per_minute(rows, lateness=VIEW_LATENESS),
+            checkpoint=f"{folder}/checkpoint",
+            append_to=f"{folder}/rows",
+        )
+        query = start_load(spark, load, bounded=True)
+        query.awaitTermination()
+        late += late_minutes(query)
+    return spark.read.parquet(f"{folder}/rows").withColumn("late_minutes", F.lit(late).cast("long"))
+
+
+def resumed_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History loaded range by range, stopped after two ranges and started again."""
+    folder = work_dir(spark, "ranges")
+    stored = payments(view(spark, sf_dir, "pay_feed")).hint("rebalance", PAYMENTS.partition)
+    stored.write.partitionBy(PAYMENTS.partition).parquet(f"{folder}/history")
+
+    def write(rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/loaded/range={number}")
+
+    for most in (2, None):
+        run_backfill(spark, f"{folder}/history", PAYMENTS.partition, f"{folder}/book", write, ["id"], 100_000, most)
+    return spark.read.parquet(f"{folder}/loaded").drop("range")
+
+
+def spending_models() -> list[Model]:
+    """Three models, each over the one before."""
+
+    def user_totals(source: Sources) -> DataFrame:
+        paid = source(MODELS, "success")
+        return paid.groupBy("user_id").agg(F.count("*").alias("payments"), F.sum("amount").alias("amount"))
+
+    def spending_bands(source: Sources) -> DataFrame:
+        band = F.floor(F.col("amount") / 500).cast("int").alias("band")
+        return source(MODELS, "user_totals").groupBy(band).agg(
+            F.count("*").alias("users"), F.sum("payments").alias("payments")
+        )
+
+    return [
+        Model("spending_bands", ((MODELS, "user_totals"),), spending_bands, layer="dwd"),
+        Model("success", (("ods", "ewallet_transaction_details"),), success_transactions(AS_OF), layer="dwd"),
+        Model("user_totals", ((MODELS, "success"),), user_totals, layer="dwd"),
+    ]
+
+
+def model_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = f"{DATABASE}_{uuid.uuid4().hex[:12]}"
+    create_database(spark, database, work_dir(spark, database))
+    relations = {("ods", "ewallet_transaction_details"): view(spark, sf_dir, "model_src")}
+    run_graph(spark, spending_models(), relations, database).raise_failures()
+    return spark.table(f"{database}.spending_bands")
+
+
 def purged_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored rows, deletes included, once those of the first half month are settled.
 
@@ -452,6 +678,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_transaction_details": stream_transaction_details,
     "multi_sink_load": multi_sink_load,
     "resumed_load": resumed_load,
+    "snapshot_then_changes": snapshot_then_changes,
+    "shared_position_load": shared_position_load,
+    "expired_readers": expired_readers,
+    "conform_with_rejects": rejected_values,
+    "table_spec_grows": table_spec_grows,
+    "stream_page_views": stream_page_views,
+    "resumed_backfill": resumed_backfill,
+    "model_graph": model_graph,
     "purge_deletes": purged_deletes,
     "expire_partitions": kept_partitions,
     "drop_expired_partitions": dropped_partitions,

@@ -95,36 +95,105 @@ def create_table(
     properties, from which ``operators.keyed`` reads them. A table with a key is
     written by ``upsert`` alone; ``insert_into`` refuses it.
     """
-    fields = list(table.schema)
-    if keyed:
-        fields += [*keyed.fields, StructField(keyed.kind, StringType())]
-    columns = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()} COMMENT {_text(f.metadata.get('comment', 'bookkeeping'))}"
-        for f in fields
+    spec = table_spec(table, bucketed, keyed)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()} COMMENT {_text(_comment(f))}" for f in spec.fields)
+    # Fixed by Spark: what makes an overwrite replace only partitions it has rows for.
+    layout = " OPTIONS ('partitionOverwriteMode' = 'dynamic')" if keyed else ""
+    clustered = ""
+    if spec.bucket_by:
+        by = ", ".join(f"`{k}`" for k in spec.bucket_by)
+        clustered = f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {table.buckets} BUCKETS"
+    properties = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in spec.options.items())
+    place = f" LOCATION {_text(location)}" if location else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name or table.name} ({columns}) USING parquet{layout}"
+        f" PARTITIONED BY (`{table.partition}`){clustered}{place} TBLPROPERTIES ({properties})"
     )
-    options = {
+
+
+@dataclass(frozen=True)
+class TableSpec:
+    """A table as it is declared: columns, options, and what its layout hangs on."""
+
+    fields: tuple[StructField, ...]
+    options: dict[str, str]
+    bucket_by: tuple[str, ...]
+
+
+#: Options whose change would need the stored rows to be laid out or merged anew.
+_FIXED_OPTIONS = ("primary-key", "sequence", "row-kind", "bucket-count", "bucket-key")
+
+
+def table_spec(table: DetailTable, bucketed: bool = False, keyed: Keyed | None = None) -> TableSpec:
+    """The columns and options that ``create_table`` gives the table."""
+    fields = list(table.schema)
+    options: dict[str, object] = {
         "target-file-bytes": table.target_file_bytes,
         "partition-expire-days": table.expire_days,
         "partition-format": table.partition_format,
     }
-    layout = ""
     if keyed:
+        fields += [*keyed.fields, StructField(keyed.kind, StringType())]
         options |= {"primary-key": ",".join(table.keys), "sequence": ",".join(keyed.seq), "row-kind": keyed.kind}
         options["keep-first"] = table.create_at if keyed.keep_first_create else ""
-        # Fixed by Spark: what makes an overwrite replace only partitions it has rows for.
-        layout = " OPTIONS ('partitionOverwriteMode' = 'dynamic')"
-    clustered = ""
+    bucket_by = tuple(k for k in table.keys if k != table.partition) if bucketed else ()
     if bucketed:
-        key = [k for k in table.keys if k != table.partition]
-        by = ", ".join(f"`{k}`" for k in key)
-        clustered = f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {table.buckets} BUCKETS"
-        options |= {"bucket-count": table.buckets, "bucket-key": ",".join(key)}
-    properties = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in options.items())
-    place = f" LOCATION {_text(location)}" if location else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name or table.name} ({columns}) USING parquet{layout}"
-        f" PARTITIONED BY (`{table.partition}`){clustered}{place} TBLPROPERTIES ({properties})"
-    )
+        options |= {"bucket-count": table.buckets, "bucket-key": ",".join(bucket_by)}
+    return TableSpec(tuple(fields), {k: str(v) for k, v in options.items()}, bucket_by)
+
+
+def _comment(field: StructField) -> str:
+    return field.metadata.get("comment", "bookkeeping")
+
+
+def evolve_table(
+    spark: SparkSession,
+    table: DetailTable,
+    name: str | None = None,
+    bucketed: bool = False,
+    keyed: Keyed | None = None,
+) -> list[str]:
+    """Bring an existing table up to its declaration, and return what was changed.
+
+    New columns, comments and options are applied; rows that were written before
+    have null in a new column. What would need the stored rows to change is
+    refused before anything is altered: a column that is gone or has another
+    type, another partition column, key, sequence, row kind or buckets.
+    """
+    name = name or table.name
+    spec, stored = table_spec(table, bucketed, keyed), spark.table(name).schema
+    declared = {f.name: f for f in spec.fields}
+    options = table_options(spark, name)
+    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    refused = [f"column {f.name} is gone" for f in stored if f.name not in declared]
+    refused += [
+        f"column {f.name} is {declared[f.name].dataType.simpleString()}, stored as {f.dataType.simpleString()}"
+        for f in stored
+        if f.name in declared and declared[f.name].dataType != f.dataType
+    ]
+    refused += [f"{k} is {spec.options.get(k)}, stored as {options.get(k)}" for k in _FIXED_OPTIONS if spec.options.get(k) != options.get(k)]
+    if partitions != [table.partition]:
+        refused.append(f"partitioned by {table.partition}, stored by {', '.join(partitions)}")
+    if refused:
+        raise ValueError(f"{name} cannot become what is declared: {'; '.join(refused)}")
+
+    changes = []
+    new = [f for f in spec.fields if f.name not in stored.names]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()} COMMENT {_text(_comment(f))}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+        changes += [f"column {f.name}" for f in new]
+    for field in stored:
+        comment = _comment(declared[field.name])
+        if field.name != table.partition and field.metadata.get("comment") != comment:
+            spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{field.name}` COMMENT {_text(comment)}")
+            changes.append(f"comment of {field.name}")
+    other = {k: v for k, v in spec.options.items() if options.get(k) != v}
+    if other:
+        listed = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in other.items())
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({listed})")
+        changes += [f"option {k}" for k in other]
+    return changes
 
 
 def insert_into(df: DataFrame, name: str, partition: str) -> None:
