@@ -195,13 +195,17 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     only a candidate: it emits an edge to the offset its Content-Length points
     at, and a record counts when the chain of such edges from the start of its
     file reaches it, so a boundary inside a payload opens no record. A file that
-    does not open with a record gives none; after a broken length nothing of the
-    file is reached. Empty files and folders give no rows.
+    does not open with a record gives none. A length is broken when it ends at no
+    boundary and not at the end of the file: its record was reached and counts,
+    with the bytes up to its length or the next boundary, whichever comes first,
+    and nothing behind it is reached. A record without a length, or with a
+    negative one, is not read, and ends its file too. Empty files and folders
+    give no rows.
 
     Chains are followed by pointer jumping, first inside a split (integers of one
     split at a time), then over the splits, in as many rounds as the logarithm of
     the number of splits of a file. Payloads are not shuffled, except those that
-    hold a boundary.
+    hold a boundary, which are put together from their own pieces alone.
     """
     lines = spark.read.option("lineSep", BOUNDARY).text(path)
     meta = "_metadata.file_path", "_metadata.file_block_start"
@@ -221,6 +225,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce(F.sum("took").over(past), F.lit(0)).alias("base"),
         F.sum("took").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("until"),
         F.count("*").over(Window.partitionBy("file")).alias("splits"),
+        F.sum("took").over(Window.partitionBy("file")).alias("end"),
     )
     bases = stored(bases, "warc-splits")
     edges = pieces.select("file", "block", "at", "head_bytes", "content_bytes", F.octet_length("raw").alias("size"))
@@ -232,6 +237,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         "until",
         "base",
         "splits",
+        "end",
         "size",
     )
     edges = stored(edges, "warc-edges")
@@ -241,7 +247,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     on = chained.applyInPandas(_marks, "file string, block long, at long, on boolean").filter("on")
     marked = stored(edges.join(on, ["file", "block", "at"], "left"), "warc-marked")
     # What a split needs of the others: the owner it begins with, and the place after its last. One row per split.
-    own = F.when(F.col("on"), F.col("at"))
+    own = F.when(F.col("on"), F.struct("at", "to"))
     carried = marked.groupBy("file", "block").agg(F.min("at").alias("first"), F.max(own).alias("last_owner"))
     carried = carried.select(
         "file",
@@ -260,17 +266,30 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce(owner.over(in_split), F.col("owner_before")).alias("owner"),
         F.coalesce(F.lead("at").over(in_split), F.col("first_after"), F.col("to")).alias("next"),
         "to",
+        "end",
     )
     # A record in one piece needs nothing but its piece. What is left are pieces
-    # of no record and records whose payload holds a boundary: their places are
+    # of no record and records whose length goes past a boundary: their places are
     # stored first, so the planner knows how few they are.
     whole_record = F.col("on") & (F.col("next") >= F.col("to"))
-    odd = stored(places.filter(~whole_record).select("file", "block", "at", "owner"), "warc-odd")
+    odd = stored(places.filter(~whole_record).drop("next"), "warc-odd")
+    # Such a length is good when it leads to a boundary, or to the end of the file with or without blank lines.
+    passing = odd.filter("on").select("file", "block", "at", "offset", "to", "end")
+    landing = marked.select("file", F.col("at").alias("to"))
+    ending = (F.col("to") == F.col("end")) | (F.col("to") == F.col("end") - len(ENDING))
+    good = passing.filter(ending).unionByName(passing.filter(~ending).join(landing, ["file", "to"], "left_semi"))
+    good = stored(good, "warc-passing")
     key = ["file", "block", "at"]
-    plain = pieces.join(odd.select(*key), key, "left_anti").join(bases.select("file", "block", "base"), ["file", "block"])
+    broken = passing.join(good.select(*key), key, "left_anti").select(*key)
+
+    elsewhere = odd.select(*key).join(broken, key, "left_anti")
+    plain = pieces.join(elsewhere, key, "left_anti").join(bases.select("file", "block", "base"), ["file", "block"])
     plain = plain.select("file", (F.col("base") + F.col("at")).alias("offset"), "raw", "head_bytes", "content_bytes")
 
-    parts = pieces.join(odd.filter("owner is not null"), key)
+    # A piece belongs to a record only as far as the record's length goes.
+    owned = odd.filter(F.col("offset") < F.col("owner.to")).select(*key, F.col("owner.at").alias("owner"))
+    owned = owned.join(good.select("file", F.col("offset").alias("owner")), ["file", "owner"])
+    parts = pieces.join(owned, key)
     parts = parts.groupBy("file", "owner").agg(
         F.sort_array(F.collect_list(F.struct("block", "at", "raw", "head_bytes", "content_bytes"))).alias("parts")
     )
@@ -323,12 +342,13 @@ def header(name: str, head: str = "head"):
 
 
 def page_records(records: DataFrame) -> DataFrame:
-    """Records as pages: page_id, record_type, refers_to, payload_digest, payload_bytes, payload.
+    """Records as pages: page_id, record_type, refers_to, payload_digest, payload_bytes, payload, page_key.
 
-    Digest and length are taken from the payload that was read; a revisit, which
+    ``page_key`` is the id as it was written; page_id and refers_to are null where
+    an id is no whole number. Digest and length are taken from the payload that was read; a revisit, which
     carries none, has those its header states.
     """
-    number = lambda name: F.expr("try_cast(regexp_extract(" + name + r", '(-?[0-9]+)>$', 1) as bigint)")
+    number = lambda name: F.expr("try_cast(regexp_extract(" + name + r", ':(-?[0-9]+)>$', 1) as bigint)")
     rows = records.select(
         header("WARC-Record-ID").alias("id"),
         header("WARC-Type").alias("record_type"),
@@ -345,4 +365,5 @@ def page_records(records: DataFrame) -> DataFrame:
         F.when(revisit, F.regexp_replace("stated", "^sha256:", "")).otherwise(F.sha2("payload", 256)).alias("payload_digest"),
         F.when(revisit, F.expr("try_cast(length as bigint)")).otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
         "payload",
+        F.regexp_extract("id", "^<urn:page:(.*)>$", 1).alias("page_key"),
     )

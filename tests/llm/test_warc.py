@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import Counter
 
 import pytest
@@ -88,6 +89,64 @@ def test_broken_length_ends_a_file(spark):
     assert read_warc(spark, path).count() == 2
 
 
+def chain(raw):
+    """(offset, payload) of the records that the chain from the start of a file reaches."""
+    boundary, out, at = b"\r\n\r\nWARC/1.", [], 0
+    if not raw.startswith(b"WARC/1."):
+        return out
+    while True:
+        after = raw.find(boundary, at + 1)
+        piece = raw[at : after if after >= 0 else len(raw)]
+        head = piece.find(b"\r\n\r\n")
+        length = re.search(rb"\r\nContent-Length: (\d+)\r\n", piece[: head + 2]) if head >= 0 else None
+        if not length:
+            return out
+        start = at + head + 4
+        end = start + int(length[1])
+        if raw[end : end + len(boundary)] == boundary:
+            out.append((at, raw[start:end]))
+            at = end + 4
+            continue
+        whole = end == len(raw) or raw[end:] == b"\r\n\r\n"
+        out.append((at, raw[start:end] if whole else raw[start : min(end, after if after >= 0 else len(raw))]))
+        return out
+
+
+LENGTHS = ["2", "9", "40", "100000", "-4", "four", None]
+
+
+@pytest.mark.parametrize("split", ["256b", "128m"])
+def test_broken_lengths_end_the_chain(spark, split):
+    """Short, long, missing and negative lengths at the first, a middle and the last record."""
+    path, files = work_dir(spark, "warc"), {}
+    for where in (0, 2, 4):
+        for n, length in enumerate(LENGTHS):
+            records = []
+            for i in range(5):
+                body = f"ab{i}d" + (INNER if i in (1, 3) else "")
+                stated = f"Content-Length: {length}\r\n" if i == where else f"Content-Length: {len(body)}\r\n"
+                stated = "" if i == where and length is None else stated
+                records.append(f"WARC/1.1\r\nWARC-Type: response\r\n{stated}\r\n{body}")
+            one = f"{path}/{where}-{n}"
+            spark.createDataFrame([(r,) for r in records], "value string").coalesce(1).write.option("lineSep", "\r\n\r\n").text(one)
+            files[f"{where}-{n}"] = ("\r\n\r\n".join(records) + "\r\n\r\n").encode()
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "1"}):
+        rows = read_warc(spark, f"{path}/*").collect()
+    got = {}
+    for row in rows:
+        got.setdefault(row["file"].rsplit("/", 2)[1], []).append((row["offset"], bytes(row["payload"])))
+    expected_rows = {name: chain(raw) for name, raw in files.items()}
+    assert {name: sorted(found) for name, found in got.items()} == {n: e for n, e in expected_rows.items() if e}
+
+
+def test_ids_that_are_no_numbers_are_kept_as_text(spark):
+    path = work_dir(spark, "warc")
+    rows = [("a-1", "u", "x"), ("7", "u", "y")]
+    write_warc(spark.createDataFrame(rows, "page_id string, url string, html string"), path)
+    got = {(r["page_key"], r["page_id"]) for r in page_records(read_warc(spark, path)).collect()}
+    assert got == {("a-1", None), ("7", 7)}
+
+
 def test_file_that_opens_with_no_record(spark):
     path = work_dir(spark, "warc")
     spark.createDataFrame([("junk" + INNER,)], "value string").write.option("lineSep", "\r\n\r\n").text(path)
