@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,12 @@ COVERAGE = 0.6
 #: Bytes of test texts that are broadcast at a time.
 BLOCK_BYTES = 8 * 1024 * 1024
 
+#: Pairs of equal seeds that are listed; a text and an item with more are compared run by run.
+MOST_PAIRS = 1 << 18
+
 _TOKEN = re.compile(r"\w+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_WORD = (1 << 64) - 1
 
 
 def tokens(text: str) -> list[str]:
@@ -66,27 +71,54 @@ class Items:
             order = np.argsort(joined, kind="stable")
             self.seeds[short] = joined[order], item[order], at[order]
 
-    def shared_seeds(self, doc: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """For each item that shares a seed with ``doc``: item, seed length, places in doc, places in item."""
+    def shared_seeds(self, doc: np.ndarray) -> Iterator[Shared]:
+        """The seeds that each item shares with ``doc``, one entry for each item that has any.
+
+        Equal seeds of the document stand together, so what is held is as long as
+        the document or the items, and not their product.
+        """
         for short, (hashes, item, at) in self.seeds.items():
             own = rolling(doc, short)
-            known = np.flatnonzero(doc != 0)
-            if len(own) == 0 or len(known) < short:
+            if len(own) == 0 or np.count_nonzero(doc) < short:
                 continue
             # A seed has known tokens only.
             run = np.convolve(doc != 0, np.ones(short, np.int64), "valid") == short
             places = np.flatnonzero(run)
-            low = np.searchsorted(hashes, own[places], "left")
-            count = np.searchsorted(hashes, own[places], "right") - low
+            places = places[np.argsort(own[places], kind="stable")]
+            seeds, first, often = np.unique(own[places], return_index=True, return_counts=True)
+            low = np.searchsorted(hashes, seeds, "left")
+            count = np.searchsorted(hashes, seeds, "right") - low
             if not count.any():
                 continue
-            in_doc = np.repeat(places, count)
             hit = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            items, in_item = item[hit], at[hit]
-            order = np.argsort(items, kind="stable")
-            cuts = np.flatnonzero(np.diff(items[order])) + 1
-            for part in np.split(order, cuts):
-                yield int(items[part[0]]), short, in_doc[part], in_item[part]
+            seed = np.repeat(np.arange(len(seeds)), count)
+            order = np.argsort(item[hit], kind="stable")
+            hit, seed = hit[order], seed[order]
+            cuts = np.flatnonzero(np.diff(item[hit])) + 1
+            for own_hits, own_seeds in zip(np.split(hit, cuts), np.split(seed, cuts), strict=True):
+                yield Shared(int(item[own_hits[0]]), short, at[own_hits], first[own_seeds], often[own_seeds], places)
+
+
+@dataclass(frozen=True)
+class Shared:
+    """The places of an item's seeds that a document has, and where in ``places`` those of the document are."""
+
+    item: int
+    width: int
+    in_item: np.ndarray
+    first: np.ndarray
+    often: np.ndarray
+    places: np.ndarray
+
+    @property
+    def pairs(self) -> int:
+        return int(self.often.sum())
+
+    def listed(self) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs of equal seeds: places in the document, places in the item."""
+        at = np.repeat(self.first, self.often) + np.arange(self.pairs)
+        at -= np.repeat(np.cumsum(self.often) - self.often, self.often)
+        return self.places[at], np.repeat(self.in_item, self.often)
 
 
 def tiles(doc: np.ndarray, item: np.ndarray, in_doc: np.ndarray, in_item: np.ndarray, width: int):
@@ -126,23 +158,90 @@ def tiles(doc: np.ndarray, item: np.ndarray, in_doc: np.ndarray, in_item: np.nda
     return found
 
 
+class _Runs:
+    """Hashes of all runs of a length, and which of them hold no marked token."""
+
+    def __init__(self, codes: np.ndarray) -> None:
+        self.codes = codes
+        self.sums = np.zeros(len(codes) + 1, np.uint64)
+        total, factor = 0, int(_FACTOR)
+        for at, code in enumerate(codes.tolist(), 1):
+            total = (total * factor + code) & _WORD
+            self.sums[at] = total
+        self.marked = codes == 0
+
+    def free(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, hashes) of the runs without a marked token."""
+        if length > len(self.codes):
+            return np.array([], np.int64), np.array([], np.uint64)
+        blocked = np.r_[0, np.cumsum(self.marked)]
+        places = np.flatnonzero(blocked[length:] == blocked[:-length])
+        power = np.uint64(pow(int(_FACTOR), length, _WORD + 1))
+        return places, self.sums[places + length] - self.sums[places] * power
+
+
+def tiles_of_runs(doc: np.ndarray, item: np.ndarray, width: int):
+    """``tiles`` without a list of seeds: for texts that repeat themselves.
+
+    Each turn looks for the longest unmarked match by running Karp-Rabin: the
+    hashes of all unmarked runs of one length are compared, the length is found
+    by halving, and the run that comes first is checked token by token. Lengths
+    never grow from turn to turn, and there are no more turns than the item has
+    room for tiles, so memory is that of the two texts.
+    """
+    runs, own = _Runs(doc), _Runs(item)
+
+    def match(length: int) -> tuple[int, int] | None:
+        in_item, wanted = own.free(length)
+        in_doc, hashes = runs.free(length)
+        for at in np.flatnonzero(np.isin(hashes, wanted)):
+            d = in_doc[at]
+            run = doc[d : d + length]
+            for i in in_item[wanted == hashes[at]]:
+                if np.array_equal(run, item[i : i + length]):
+                    return int(d), int(i)
+        return None
+
+    found, longest = [], min(len(doc), len(item))
+    while longest >= width:
+        place = match(longest)
+        if place is None:
+            low, high = width - 1, longest
+            while high - low > 1:
+                middle = (low + high) // 2
+                if found_here := match(middle):
+                    low, place = middle, found_here
+                else:
+                    high = middle
+            longest = low
+            if place is None:
+                break
+        d, i = place
+        runs.marked[d : d + longest] = True
+        own.marked[i : i + longest] = True
+        found.append((longest, d, i))
+    return found
+
+
 def covered(text: str, items: Items, coverage: float) -> Iterator[tuple]:
     """(item id, item tokens, covered tokens, tiles, longest tile) of each item that the text covers."""
     get = items.codes_of.get
     doc = np.array([get(t, 0) for t in tokens(text)], np.int64)
-    for item, width, in_doc, in_item in items.shared_seeds(doc):
-        codes = items.codes[item]
+    for shared in items.shared_seeds(doc):
+        codes, width = items.codes[shared.item], shared.width
         # Tiles lie within seeds, so seeds that reach too few tokens settle it.
         reach = np.zeros(len(codes) + 1, np.int64)
-        places = np.unique(in_item)
-        np.add.at(reach, places, 1)
-        np.add.at(reach, places + width, -1)
+        np.add.at(reach, shared.in_item, 1)
+        np.add.at(reach, shared.in_item + width, -1)
         if np.count_nonzero(np.cumsum(reach[:-1])) < coverage * len(codes):
             continue
-        found = tiles(doc, codes, in_doc, in_item, width)
+        if shared.pairs <= MOST_PAIRS:
+            found = tiles(doc, codes, *shared.listed(), width)
+        else:
+            found = tiles_of_runs(doc, codes, width)
         total = sum(t[0] for t in found)
         if found and total >= coverage * len(codes):
-            yield items.ids[item], len(codes), total, len(found), max(t[0] for t in found)
+            yield items.ids[shared.item], len(codes), total, len(found), max(t[0] for t in found)
 
 
 def contaminated(
@@ -168,6 +267,8 @@ def contaminated(
     The items are taken in blocks of about ``block_bytes``: the number of blocks
     follows from a sum over the items, and each is broadcast for one pass over
     the documents, which are not shuffled. Every seed of a document is looked up.
+    A text that repeats itself is compared with an item that does run by run, so
+    that memory follows the lengths of the two and not their product.
     """
     items = benchmark.select(F.col(item_col).alias("item_id"), whole(item_text_col).alias("text"))
     items = items.withColumn("at", F.xxhash64("item_id", "text"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -8,7 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.nasty import TEXTS, documents
 
-from lakestrata.llm.decontaminate import Items, contaminated, covered, drop_contaminated, tiles, tokens
+from lakestrata.llm import decontaminate
+from lakestrata.llm.decontaminate import Items, contaminated, covered, drop_contaminated, tiles, tiles_of_runs, tokens
 
 ITEM = "the quick brown fox jumps over the lazy dog while seven wizards mix bitter potions under a pale winter moon"
 
@@ -91,3 +93,28 @@ def test_contaminated_documents_go(spark):
     assert left.count() == len(TEXTS)
     assert drop_contaminated(docs, items(spark, []).limit(0)).count() == len(texts)
     assert contaminated(docs.limit(0), items(spark, [(1, ITEM)])).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=24), st.lists(st.integers(1, 3), min_size=2, max_size=14), st.integers(2, 4))
+def test_run_by_run_equals_plain_tiling(doc, item, width):
+    doc, item = np.array(doc, np.int64), np.array(item, np.int64)
+    assert tiles_of_runs(doc, item, width) == plain_tiles(doc, item, width)
+
+
+@pytest.mark.parametrize("words", [["w"], ["a", "b"], ["a", "a", "b", "c", "a"]])
+def test_texts_that_repeat_themselves_give_the_same_either_way(monkeypatch, words):
+    text, own = " ".join(words * 60), Items([("x", " ".join((words * 9)[:25]))])
+    listed = list(covered(text, own, 0.6))
+    monkeypatch.setattr(decontaminate, "MOST_PAIRS", 0)
+    assert list(covered(text, own, 0.6)) == listed and listed
+
+
+def test_a_million_equal_words_stay_in_memory():
+    own = Items([("long", "same " * 1000), ("other", "same other " * 500)])
+    tracemalloc.start()
+    found = list(covered("same " * 1_000_000, own, 0.6))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [("long", 1000, 1000, 1, 1000)]
+    assert peak < 400 << 20
