@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import stored, whole
-from lakestrata.llm.repeats import FILTER_BITS, join_hot, maybe_repeated, repeat_filter
+from lakestrata.llm.repeats import join_hot, maybe_repeated, repeat_filter
 
 
 def text_digest(text_col: str = "text") -> Column:
@@ -19,7 +19,7 @@ def text_digest(text_col: str = "text") -> Column:
 
 
 def exact_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None
 ) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -29,7 +29,8 @@ def exact_classes(
     other id has the text. An empty table gives no rows. Other columns are not
     looked at.
 
-    The first pass over the digests sets a Bloom filter of slots hit twice. Rows
+    The first pass over the digests sets a Bloom filter of slots hit twice, with
+    as many slots as the number of rows asks for unless ``bits`` sets it. Rows
     that miss it pass straight through; the others are counted before they are
     shuffled, and texts never are.
     """
@@ -37,8 +38,8 @@ def exact_classes(
         docs.select(F.col(id_col).alias("doc_id"), text_digest(text_col).alias("text_sha256")),
         "exact-digests",
     )
-    words = stored(repeat_filter(digests, "text_sha256", bits), "exact-filter")
-    flagged = maybe_repeated(digests, "text_sha256", words, "_maybe", bits)
+    words = repeat_filter(digests, "text_sha256", bits)
+    flagged = maybe_repeated(digests, "text_sha256", words, "_maybe")
 
     alone = flagged.filter(~F.col("_maybe")).select(
         "doc_id",
@@ -66,7 +67,7 @@ def exact_classes(
 
 
 def dedup_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None
 ) -> DataFrame:
     """The documents that stay, with all their columns; of repeated rows any one.
 
@@ -79,8 +80,8 @@ def dedup_documents(
         F.col(id_col).alias("doc_id"),
         text_digest(text_col).alias("text_sha256"),
     )
-    words = stored(repeat_filter(packed.select("text_sha256"), "text_sha256", bits), "dedup-filter")
-    flagged = maybe_repeated(packed, "text_sha256", words, "_maybe", bits)
+    words = repeat_filter(packed.select("text_sha256"), "text_sha256", bits)
+    flagged = maybe_repeated(packed, "text_sha256", words, "_maybe")
     # Null ids come last: the flag sorts before the id.
     first = F.min_by("row", F.struct(F.col("doc_id").isNull(), F.col("doc_id"))).alias("row")
     stay = flagged.filter("_maybe").groupBy("text_sha256").agg(first).select("row")

@@ -3,56 +3,83 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import stored
 
-#: Bits of the filter. It is broadcast as 64-bit words, 2**20 of them at most.
-#: More keys than bits make it less selective, never wrong.
-FILTER_BITS = 1 << 26
+#: Bits of the filter for each key that it has to tell apart: of keys that occur
+#: once well below one in a hundred is flagged, however many there are.
+BITS_PER_KEY = 64
+#: Words of the filter that are broadcast; with more it is joined by shuffling.
+BROADCAST_WORDS = 1 << 20
 #: A key with more than this share of the rows is looked up by broadcast; there
 #: can be no more such keys than its inverse.
 HOT_SHARE = 1000
 
 
-def _slots(key: str, bits: int):
-    return [F.pmod(F.xxhash64(F.col(key), F.lit(i)), F.lit(bits)) for i in range(2)]
+def filter_bits(keys: int) -> int:
+    """Bits of a filter for so many keys: a power of two."""
+    return 1 << max(16, (BITS_PER_KEY * max(keys, 1) - 1).bit_length())
 
 
-def repeat_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS, least: int = 2) -> DataFrame:
-    """First pass: the filter's words (word, mask), with a bit for each slot that was hit ``least`` times.
+@dataclass(frozen=True)
+class RepeatFilter:
+    """The words of a Bloom filter that have a bit: (word, mask), ``size`` of them."""
 
-    Every key sets two slots; slots are counted on the map side before they are
-    shuffled, eight bytes each. An empty table gives an empty filter.
+    words: DataFrame
+    bits: int
+    size: int
+
+
+def _word(key: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key), F.lit(0)), F.lit(max(bits // 64, 1)))
+
+
+def _two_bits(key: str) -> tuple[Column, Column]:
+    """Two different bits of a key's word."""
+    drawn = F.xxhash64(F.col(key), F.lit(1))
+    first = F.pmod(drawn, F.lit(64))
+    return first, F.pmod(first + 1 + F.pmod(F.shiftright(drawn, 6), F.lit(63)), F.lit(64))
+
+
+def repeat_filter(keys: DataFrame, key: str, bits: int | None = None, least: int = 2) -> RepeatFilter:
+    """First pass: a bit for each slot that was hit ``least`` times.
+
+    Every key hits two slots of one word. The number of slots follows the number
+    of keys, unless ``bits`` sets it; what is kept are the words that have a bit,
+    so the filter is as large as the repeats are many. Slots are counted on the
+    map side before they are shuffled, eight bytes each. An empty table gives an
+    empty filter.
     """
-    slots = keys.select(F.explode(F.array(*_slots(key, bits))).alias("slot"))
-    twice = slots.groupBy("slot").agg(F.count("*").alias("hits")).filter(F.col("hits") >= least)
+    if bits is None:
+        bits = filter_bits(keys.count())
+    word = _word(key, bits)
+    slots = keys.select(F.explode(F.array(*[word * 64 + bit for bit in _two_bits(key)])).alias("slot"))
+    often = slots.groupBy("slot").agg(F.count("*").alias("hits")).filter(F.col("hits") >= least)
     bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
-    return twice.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("mask"))
+    words = often.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("mask"))
+    words = stored(words, "repeat-filter")
+    return RepeatFilter(words, bits, words.count())
 
 
-def maybe_repeated(
-    df: DataFrame, key: str, words: DataFrame, flag: str, bits: int = FILTER_BITS
-) -> DataFrame:
+def maybe_repeated(df: DataFrame, key: str, words: RepeatFilter, flag: str) -> DataFrame:
     """Second pass: ``df`` with ``flag``, false only for keys that surely occur once.
 
-    The words are broadcast: ``bits`` bounds them, whatever the size of the data.
+    The words are broadcast up to ``BROADCAST_WORDS``. Where more keys repeat,
+    both sides are cut by ranges of the word and joined range by range.
     """
-    out = df
-    for i, slot in enumerate(_slots(key, bits)):
-        side = words.select(F.col("word").alias(f"{flag}_w{i}"), F.col("mask").alias(f"{flag}_m{i}"))
-        out = out.withColumn(f"{flag}_s{i}", slot)
-        out = out.join(
-            F.broadcast(side), F.shiftright(f"{flag}_s{i}", 6) == F.col(f"{flag}_w{i}"), "left"
-        )
+    side = words.words.select(F.col("word").alias(f"{flag}_w"), F.col("mask").alias(f"{flag}_m"))
+    if words.size <= BROADCAST_WORDS:
+        side = F.broadcast(side)
+    probed = df.withColumn(f"{flag}_p", _word(key, words.bits))
+    probed = probed.join(side, F.col(f"{flag}_p") == F.col(f"{flag}_w"), "left")
     hit = F.lit(True)
-    for i in range(2):
-        probe = F.expr(f"getbit({flag}_m{i}, cast({flag}_s{i} & 63 as int)) = 1")
-        hit = hit & F.coalesce(probe, F.lit(False))
-    made = [f"{flag}_{part}{i}" for part in "wms" for i in range(2)]
-    return out.withColumn(flag, hit).drop(*made)
+    for bit in _two_bits(key):
+        hit = hit & (F.getbit(f"{flag}_m", bit.cast("int")) == 1)
+    return probed.withColumn(flag, F.coalesce(hit, F.lit(False))).drop(f"{flag}_w", f"{flag}_m", f"{flag}_p")
 
 
 def join_hot(left: DataFrame, groups: DataFrame, key: str, size: str, rows: int) -> DataFrame:
@@ -83,7 +110,7 @@ def drop_rows(docs: DataFrame, keys: Mapping[str, Column], gone: DataFrame) -> D
     )
     key = F.xxhash64(*[F.col(name) for name in keys])
     gone = stored(gone.select(*keys).withColumn("_key", key), "gone")
-    words = stored(repeat_filter(gone, "_key", least=1), "gone-filter")
+    words = repeat_filter(gone, "_key", least=1)
     flagged = maybe_repeated(marked.withColumn("_key", key), "_key", words, "_maybe")
     sure = flagged.filter(~F.col("_maybe")).select("row.*")
     left, right = flagged.filter("_maybe").alias("l"), gone.alias("r")

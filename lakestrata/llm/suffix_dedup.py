@@ -523,7 +523,7 @@ def remove_repeats(
     repeats = stored(_repeats(stored(found, "suffix-anchors")), "suffix-repeats")
     # The texts that have any, once each.
     touched = repeats.select("t1", "t2").distinct().withColumn("key", F.xxhash64("t1", "t2"))
-    words = stored(repeat_filter(touched, "key", least=1), "suffix-filter")
+    words = repeat_filter(touched, "key", least=1)
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), half(1).alias("t1"), half(17).alias("t2"))
     flagged = maybe_repeated(rows.withColumn("key", F.xxhash64("t1", "t2")), "key", words, "_maybe")
     texts = flagged.filter("_maybe").groupBy("t1", "t2").agg(F.min("text").alias("text"))

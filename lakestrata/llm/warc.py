@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import shipped, stored, whole
-from lakestrata.llm.repeats import join_hot, maybe_repeated, repeat_filter
+from lakestrata.llm.repeats import filter_bits, join_hot, maybe_repeated, repeat_filter
 
 shipped(__name__)
 
@@ -58,7 +58,7 @@ def write_warc(
     rows = rows.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256))
     rows = rows.withColumn("bytes", F.octet_length("payload").cast("long"))
     long = F.col("bytes") >= min_revisit_bytes
-    words = stored(repeat_filter(rows.filter(long).select("digest"), "digest"), "warc-filter")
+    words = repeat_filter(rows.filter(long).select("digest"), "digest", filter_bits(pages.count()))
     flagged = maybe_repeated(rows, "digest", words, "_maybe")
     shared = F.col("_maybe") & long
 

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import pytest
 from llm.nasty import TEXTS, documents
 from pyspark.sql import functions as F
 
@@ -76,6 +77,29 @@ def test_unrepeated_rows_miss_the_filter(spark):
     assert 2_000 <= flagged < 2_100
 
 
+@pytest.mark.parametrize("rows", [3_000, 30_000, 300_000])
+def test_the_filter_grows_with_the_rows(spark, rows):
+    """Of keys that occur once less than one in a hundred is flagged, of repeated ones all."""
+    keys = spark.range(rows).select(F.when(F.col("id") % 10 == 0, F.col("id") % 100).otherwise(F.col("id")).alias("k"))
+    words = repeat_filter(keys, "k")
+    flagged = maybe_repeated(keys, "k", words, "f").groupBy(F.col("k") < 100, "f").count().collect()
+    counts = {(r[0], r[1]): r[2] for r in flagged}
+    assert counts.get((False, True), 0) < 0.01 * rows
+    assert words.bits >= 64 * rows and words.size < 20 + 0.1 * rows
+    repeated = keys.groupBy("k").count().filter("count > 1").select("k")
+    assert maybe_repeated(keys.join(repeated, "k"), "k", words, "f").filter("not f").isEmpty()
+
+
+def test_a_filter_too_large_to_broadcast_is_joined(spark, monkeypatch):
+    texts = [(n, "copy" if n % 3 else f"text {n % 500}") for n in range(1500)]
+    monkeypatch.setattr("lakestrata.llm.repeats.BROADCAST_WORDS", 3)
+    got = Counter(tuple(r) for r in exact_classes(documents(spark, texts)).collect())
+    assert got == brute_classes(texts)
+    keys = spark.range(100).select((F.col("id") % 40).alias("k"))
+    plan = maybe_repeated(keys, "k", repeat_filter(keys, "k"), "f")._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan
+
+
 def test_join_hot_is_an_inner_join(spark):
     left = spark.range(5000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id")).alias("k"), "id")
     groups = left.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
