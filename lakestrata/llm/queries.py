@@ -58,11 +58,16 @@ def op6_sentencepiece(
     """Every document encoded and decoded again."""
     model = Path(model_path).read_bytes()
     pieces = sentencepieces.encoded(_table(spark, sf_dir, "documents"), model)
+
+    def digest(numbers: str):
+        return F.sha2(F.array_join(F.col(numbers).cast("array<string>"), ",").cast("binary"), 256)
+
     return pieces.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        digest("ids").alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        digest("places").alias("places_sha256"),
     )
 
 

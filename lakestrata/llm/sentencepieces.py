@@ -71,6 +71,7 @@ class Codec:
             raise ValueError("the model is not a BPE model")
         spec = proto.normalizer_spec
         self.map = CharacterMap(spec.precompiled_charsmap) if spec.precompiled_charsmap else None
+        # The compiled map may be empty: then every character stays as it is.
         self.dummy, self.squeeze = spec.add_dummy_prefix, spec.remove_extra_whitespaces
         self.space = SPACE if spec.escape_whitespaces else " "
         self.suffix = proto.trainer_spec.treat_whitespace_as_suffix
@@ -85,6 +86,7 @@ class Codec:
         self.scores = {p: proto.pieces[i].score for p, i in self.ids.items()}
         self.unused = {p for p, i in self.ids.items() if self.kinds[i] == UNUSED}
         self.user = sorted((p for p, i in self.ids.items() if self.kinds[i] == USER), key=len, reverse=True)
+        self.identity = not (self.map or self.squeeze or self.user or self.suffix)
         kinds = list(zip(self.pieces, self.kinds, strict=True))
         self.widths = np.array([1 if k == BYTE else len(p.encode()) for p, k in kinds])
         self.words = self._word_pattern()
@@ -140,7 +142,9 @@ class Codec:
             places.extend(range(place, place + len(part)) if kept else [place] * len(part))
 
         if self.dummy and not self.suffix:
-            put(sign, chunks[0][1])
+            # The sign put first stands for no byte, also before a sign of the text itself.
+            made.append(sign)
+            places.extend([chunks[0][1]] * len(sign))
         blank = self.squeeze
         for out, place, _ in chunks:
             if self.squeeze and blank:
@@ -179,31 +183,25 @@ class Codec:
         Piece i spans places i to i + 1 of the text. Pieces for single bytes of
         a character the model lacks each span their own byte.
         """
-        plain = not (self.map or self.squeeze or self.user or self.suffix)
-        if plain:
-            # Nothing but spaces is replaced, so places follow from counting signs.
-            made = text.replace(" ", self.space)
-            if self.dummy and text:
-                made = self.space + made
-        else:
-            made, places = self.normalise(text)
+        made, places = self._identity(text) if self.identity else self.normalise(text)
         ids = np.frombuffer(b"".join(map(self.known.__getitem__, self.words.findall(made))), np.int32)
         if not self.fallback and (ids == self.unknown).any():
-            return self._with_unknown(made, ids, self.normalise(text)[1])
+            return self._with_unknown(made, ids, places)
         ends = np.zeros(len(ids) + 1, np.int64)
         np.cumsum(self.widths[ids], out=ends[1:])
-        return ids, self._plain_places(text, ends) if plain else places[ends]
-
-    def _plain_places(self, text: str, ends: np.ndarray) -> np.ndarray:
-        """Byte places in ``text`` of byte places in it with its spaces replaced and the first sign put before."""
-        extra = len(self.space.encode()) - 1
-        first = len(self.space.encode()) if self.dummy and text else 0
-        spaces = np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == 0x20)
-        if not extra:
-            return np.maximum(ends - first, 0)
-        # The k-th space ends at its own place plus 1, moved on by k + 1 longer signs.
-        grown = spaces + 1 + first + extra * np.arange(1, len(spaces) + 1)
-        return np.maximum(ends - first - extra * np.searchsorted(grown, ends, side="right"), 0)
+        return ids, places[ends]
+
+    def _identity(self, text: str) -> tuple[str, np.ndarray]:
+        """``normalise`` for a map without entries: each longest prefix is one character, and only spaces change."""
+        data = np.frombuffer(text.encode(), np.uint8)
+        if not len(data):
+            return "", np.zeros(1, np.int64)
+        sign = len(self.space.encode())
+        first = sign if self.dummy else 0
+        places = np.zeros(first + len(data) + (sign - 1) * np.count_nonzero(data == 0x20) + 1, np.int64)
+        places[first:-1] = np.repeat(np.arange(len(data)), np.where(data == 0x20, sign, 1))
+        places[-1] = len(data)
+        return (self.space if self.dummy else "") + text.replace(" ", self.space), places
 
     def _with_unknown(self, made: str, ids: np.ndarray, places: np.ndarray):
         """Places when the model has no byte pieces: an unknown piece spans one character."""

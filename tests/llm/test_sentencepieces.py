@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 from pathlib import Path
 
@@ -7,9 +8,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from conftest import SMALL_SF
 from llm.nasty import TEXTS, documents
 from sentencepiece import sentencepiece_model_pb2
 
+from lakestrata.llm.queries import QUERIES
 from lakestrata.llm.sentencepieces import CharacterMap, Codec, encoded
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -64,6 +67,41 @@ def test_places_cut_the_text_into_pieces(codec):
             assert raw[a:b] == (piece[1:] if n == 0 else piece)
 
 
+def test_the_identity_is_the_projection_through_an_empty_map():
+    for dummy in (True, False):
+        own = Codec(changed(add_dummy_prefix=dummy).SerializeToString())
+        assert own.identity
+        for text in odd_texts(800) + ["", " ", "a b  c"]:
+            made, places = own._identity(text)
+            slow, by_byte = own.normalise(text)
+            assert made == slow and places.tolist() == by_byte.tolist()
+
+
+def test_places_are_the_spans_of_the_library(codec):
+    """Begin and end of every piece, but for the bytes of a character, of which the library gives the whole."""
+    for text in odd_texts(1500) + ["The end.", " two  spaces ", "né à\nla fin"]:
+        ids, places = codec.encode(text)
+        pieces = LIBRARY.encode(text, return_type="proto").pieces
+        assert [p.id for p in pieces] == ids.tolist()
+        for piece, a, b in zip(pieces, places[:-1], places[1:], strict=True):
+            if piece.id not in codec.byte_of:
+                assert (piece.begin, piece.end) == (a, b)
+
+
+def test_query_gives_the_places(spark):
+    rows = QUERIES["op6_sentencepiece"](spark, SMALL_SF).collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SMALL_SF}/documents.parquet").collect()}
+    own = Codec(MODEL)
+    assert len(rows) == len(texts)
+    for row in rows:
+        ids = LIBRARY.encode(texts[row["doc_id"]])
+        places = own.normalise(texts[row["doc_id"]])[1][np.r_[0, np.cumsum(own.widths[ids])]] if ids else [0]
+        digest = {"ids_sha256": ids, "places_sha256": list(places)}
+        for name, numbers in digest.items():
+            assert row[name] == hashlib.sha256(",".join(map(str, numbers)).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(LIBRARY.decode(ids).encode()).hexdigest()
+
+
 def test_random_ids_decode_as_in_the_library(codec):
     pick = random.Random(4)
     for _ in range(500):
