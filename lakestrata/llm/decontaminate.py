@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +22,12 @@ shipped(__name__)
 MIN_TOKENS = 5
 #: Share of a test item's tokens that tiles must cover.
 COVERAGE = 0.6
-#: Bytes of test texts that are broadcast at a time.
-BLOCK_BYTES = 8 * 1024 * 1024
+#: Bytes of test texts that are broadcast; with more their seeds are joined.
+BROADCAST_BYTES = 8 * 1024 * 1024
+#: Bits of the filter of their seeds then, two of which a seed sets; 32 MB.
+FILTER_BITS = 1 << 28
+# By how many bits a seed is shifted for each of its two slots.
+_SHIFTS = (0, 32)
 
 #: Pairs of equal seeds that are listed; a text and an item with more are compared run by run.
 MOST_PAIRS = 1 << 18
@@ -253,7 +258,7 @@ def contaminated(
     item_text_col: str = "text",
     min_tokens: int = MIN_TOKENS,
     coverage: float = COVERAGE,
-    block_bytes: int = BLOCK_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row per document and test item it contains: doc_id, item_id, coverage, item_tokens, tiles, longest, text_hash.
 
@@ -264,16 +269,14 @@ def contaminated(
     texts, match nothing. Items with equal texts are each reported, repeated
     rows too. Empty tables give no rows. Other columns are not looked at.
 
-    The items are taken in blocks of about ``block_bytes``: the number of blocks
-    follows from a sum over the items, and each is broadcast for one pass over
-    the documents, which are not shuffled. Every seed of a document is looked up.
-    A text that repeats itself is compared with an item that does run by run, so
-    that memory follows the lengths of the two and not their product.
+    Items of at most ``broadcast_bytes`` of text are broadcast; documents are not
+    shuffled and every seed of theirs is looked up. For more items the seeds are
+    joined, see ``_candidates``. Either way the documents are read once. A text
+    that repeats itself is compared with an item that does run by run, so that
+    memory follows the lengths of the two and not their product.
     """
-    items = benchmark.select(F.col(item_col).alias("item_id"), whole(item_text_col).alias("text"))
-    items = items.withColumn("at", F.xxhash64("item_id", "text"))
-    size = items.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
-    blocks = -(-size // block_bytes) if size else 1
+    items = benchmark.select(F.col(item_col).alias("item_id"), whole(item_text_col).alias("item_text"))
+    size = items.agg(F.sum(F.octet_length("item_text")).alias("bytes")).first()["bytes"] or 0
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.xxhash64(whole(text_col)).alias("text_hash"), whole(text_col).alias("text")
     )
@@ -282,17 +285,13 @@ def contaminated(
         f"doc_id {id_type.simpleString()}, text_hash long, item_id {item_type.simpleString()}, item_tokens int,"
         " covered int, tiles int, longest int"
     )
-    found = None
-    for block in range(blocks):
-        part = items.filter(F.pmod("at", F.lit(blocks)) == block).orderBy("at", "item_id")
-        some = [(row["item_id"], row["text"]) for row in part.collect()]
+    if size <= broadcast_bytes:
+        some = [(row["item_id"], row["item_text"]) for row in items.orderBy("item_id", "item_text").collect()]
         shared = docs.sparkSession.sparkContext.broadcast(some)
-        one = rows.mapInArrow(_finder(shared, min_tokens, coverage), schema)
-        if blocks > 1:
-            # One block is held at a time.
-            one = stored(one, "contaminated-block")
-            shared.destroy()
-        found = one if found is None else found.unionByName(one)
+        found = rows.mapInArrow(_finder(shared, min_tokens, coverage), schema)
+    else:
+        pairs = _candidates(rows, items, min_tokens, coverage)
+        found = pairs.mapInArrow(_checker(min_tokens, coverage), schema)
     return found.select(
         "doc_id",
         "item_id",
@@ -304,6 +303,108 @@ def contaminated(
     )
 
 
+def _codes(text: str) -> np.ndarray:
+    """A 64-bit number for each token, the same in every task."""
+    return np.array([xxhash.xxh64_intdigest(t) | 1 for t in tokens(text)], np.uint64)
+
+
+def _candidates(rows: DataFrame, items: DataFrame, min_tokens: int, coverage: float) -> DataFrame:
+    """doc_id, text_hash, text, item_id, item_text of the pairs whose shared seeds may cover enough.
+
+    The seeds of all items set a Bloom filter of ``FILTER_BITS`` bits, which is
+    broadcast. The documents are read once and give the seeds that may be an
+    item's; these are joined with the items' seeds, and pairs are kept whose
+    shared seeds reach the asked share of the item, were they all apart. Only the
+    texts of such pairs are shuffled.
+    """
+    spark = rows.sparkSession
+    named = items.withColumn("item", F.xxhash64("item_id", "item_text"))
+    seeds = named.select("item", "item_text").distinct().mapInArrow(
+        _item_seeds(min_tokens), "item long, tokens int, width int, seed long, places int"
+    )
+    seeds = stored(seeds, "item-seeds")
+    both = [F.pmod(F.shiftrightunsigned("seed", n), F.lit(FILTER_BITS)) for n in _SHIFTS]
+    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    words = seeds.select(F.explode(F.array(*both)).alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("mask"))
+    # At most FILTER_BITS / 64 rows.
+    table = words.toArrow()
+    filled = np.zeros(FILTER_BITS // 64, np.int64)
+    filled[table.column("word").to_numpy()] = table.column("mask").to_numpy()
+    widths = sorted(row["width"] for row in seeds.select("width").distinct().collect())
+    shared = spark.sparkContext.broadcast((filled.view(np.uint8), widths))
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    own = rows.mapInArrow(_document_seeds(shared), f"doc_id {kind}, text_hash long, width int, seed long")
+    own = own.withColumn("doc", F.struct("doc_id", "text_hash")).drop("doc_id", "text_hash")
+    reach = F.sum(F.col("places") * F.col("width"))
+    near = own.join(seeds, ["width", "seed"]).groupBy("doc", "item").agg(reach.alias("reach"), F.max("tokens").alias("tokens"))
+    near = stored(near.filter(F.col("reach") >= coverage * F.col("tokens")).select("doc", "item"), "item-candidates")
+    texts = rows.withColumn("doc", F.struct("doc_id", "text_hash"))
+    pairs = near.join(texts, "doc").join(named, "item")
+    return pairs.select("doc_id", "text_hash", "text", "item_id", "item_text")
+
+
+def _item_seeds(min_tokens: int):
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                codes = _codes(text)
+                width = min(min_tokens, len(codes))
+                if not width:
+                    continue
+                hashes, places = np.unique(rolling(codes, width).view(np.int64), return_counts=True)
+                out += [(item, len(codes), width, h, n) for h, n in zip(hashes.tolist(), places.tolist(), strict=True)]
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            names = ["item", "tokens", "width", "seed", "places"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    return make
+
+
+def _document_seeds(shared):
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filled, widths = shared.value
+        for batch in batches:
+            at, wide, seeds = [], [], []
+            for n, text in enumerate(batch.column(2)):
+                codes = _codes(text.as_py())
+                for width in widths:
+                    hashes = np.unique(rolling(codes, width))
+                    hit = hashes
+                    for shift in _SHIFTS:
+                        # Bit by bit as in 64-bit words of the least byte first.
+                        slots = (hit >> np.uint64(shift)) % np.uint64(FILTER_BITS)
+                        hit = hit[(filled[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+                    at += [n] * len(hit)
+                    wide += [width] * len(hit)
+                    seeds.append(hit.view(np.int64))
+            take = pa.array(at, pa.int64())
+            columns = [batch.column(0).take(take), batch.column(1).take(take), pa.array(wide, pa.int32())]
+            columns.append(pa.array(np.concatenate(seeds) if seeds else np.array([], np.int64)))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "width", "seed"])
+
+    return make
+
+
+def _checker(min_tokens: int, coverage: float):
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, hits = [], []
+            for n, (text, item) in enumerate(zip(batch.column(2), batch.column(4), strict=True)):
+                for hit in covered(text.as_py(), Items([(None, item.as_py())], min_tokens), coverage):
+                    rows.append(n)
+                    hits.append(hit[1:])
+            at = pa.array(rows, pa.int64())
+            columns = [batch.column(i).take(at) for i in (0, 1, 3)]
+            columns += [pa.array([hit[i] for hit in hits], pa.int32()) for i in range(4)]
+            names = ["doc_id", "text_hash", "item_id", "item_tokens", "covered", "tiles", "longest"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return check
+
+
 def _finder(shared, min_tokens: int, coverage: float):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(shared.value, min_tokens)

@@ -73,11 +73,11 @@ def test_a_few_words_are_no_match():
     assert not list(covered("a fox jumps over the lazy dog in a song", Items([(7, ITEM)]), 0.6))
 
 
-@pytest.mark.parametrize("block_bytes", [60, 1 << 20])
-def test_documents(spark, block_bytes):
+@pytest.mark.parametrize("broadcast_bytes", [60, 1 << 20])
+def test_documents(spark, broadcast_bytes):
     texts = [*TEXTS, (50, "x " * 30 + ITEM.upper() + "!"), (51, ITEM.replace("fox", "cat")), (None, ITEM), (52, "so " + "short one")]
     tests = [(1, ITEM), (2, "short one"), (3, None), (4, " . "), (None, ITEM), (1, ITEM)]
-    found = contaminated(documents(spark, texts), items(spark, tests), block_bytes=block_bytes).collect()
+    found = contaminated(documents(spark, texts), items(spark, tests), broadcast_bytes=broadcast_bytes).collect()
     pairs = sorted((r["doc_id"] or -1, r["item_id"] or -1, round(r["coverage"], 2)) for r in found)
     n = len(tokens(ITEM))
     near = round((n - 4) / n, 2)  # three words before the changed one are too few for a tile
@@ -118,3 +118,22 @@ def test_a_million_equal_words_stay_in_memory():
     tracemalloc.stop()
     assert found == [("long", 1000, 1000, 1, 1000)]
     assert peak < 400 << 20
+
+
+def test_joined_seeds_find_what_the_broadcast_items_find(spark):
+    draw = random.Random(12)
+    words = [f"w{n}" for n in range(300)]
+    tests = [(n, " ".join(draw.choices(words, k=draw.choice([1, 3, 5, 20, 60])))) for n in range(60)]
+    texts = []
+    for n in range(150):
+        parts = [" ".join(draw.choices(words, k=draw.randrange(40)))]
+        for _, item in draw.sample(tests, 2):
+            cut = item.split()
+            parts.append(" ".join(cut[: draw.randrange(len(cut) + 1)]))
+        draw.shuffle(parts)
+        texts.append((n, " ".join(parts)))
+    either = [
+        sorted(map(tuple, contaminated(documents(spark, texts), items(spark, tests), broadcast_bytes=b).collect()))
+        for b in (0, 1 << 20)
+    ]
+    assert either[0] == either[1] and len(either[0]) > 50
