@@ -131,6 +131,11 @@ def lookup_width(keys: Sequence[str], seq: str | Sequence[str]) -> Column:
     return width
 
 
+def lookup_bytes(winners: DataFrame, keys: Sequence[str], seq: str | Sequence[str]) -> int:
+    """Bytes of all that ``merge_few_winners`` broadcasts."""
+    return winners.agg(F.sum(lookup_width(keys, seq))).first()[0] or 0
+
+
 def read_current(
     base: DataFrame, kind: str = ROW_KIND, hide: Sequence[str] = ()
 ) -> DataFrame:
