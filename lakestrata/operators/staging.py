@@ -31,6 +31,8 @@ from lakestrata.sources.readers import read_if_present
 CLAIM_SECONDS = 600
 #: How long a writer waits for the one before it.
 CLAIM_WAIT_SECONDS = 3600
+#: The claims that this process holds or waits for.
+_HELD: set[str] = set()
 # Fixed by Spark: how the name of a bucketed file ends, and the folder of a null.
 _BUCKET_NAME = re.compile(r"_(\d{5})(?:\.[^/]*)?$")
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
@@ -129,14 +131,20 @@ def claimed(spark: SparkSession, table: PartitionedTable, wait: float = CLAIM_WA
     """Hold the claim on a table's stage; whoever wants it too waits.
 
     The holder renews the claim while it works. One that was not renewed for
-    ``CLAIM_SECONDS`` is taken over.
+    ``CLAIM_SECONDS`` is taken over, and at once one that this application left
+    behind, as a stream does that is stopped in the middle of a batch.
     """
-    place, token = f"{table.stage}/claim", uuid.uuid4().hex
+    own = f"{spark.sparkContext.applicationId}:"
+    place, token = f"{table.stage}/claim", f"{own}{uuid.uuid4().hex}"
     until = time.monotonic() + wait
+    _HELD.add(token)
     while not fs.create_new(spark, place, token):
-        if fs.age_seconds(spark, place) > CLAIM_SECONDS:
+        holder = fs.read_text(spark, place) or ""
+        left_behind = holder.startswith(own) and holder not in _HELD
+        if left_behind or fs.age_seconds(spark, place) > CLAIM_SECONDS:
             fs.delete(spark, place)
         elif time.monotonic() > until:
+            _HELD.discard(token)
             raise TimeoutError(f"another writer holds {table.path}")
         else:
             time.sleep(0.1)
@@ -153,6 +161,7 @@ def claimed(spark: SparkSession, table: PartitionedTable, wait: float = CLAIM_WA
     finally:
         done.set()
         renewal.join()
+        _HELD.discard(token)
         if fs.read_text(spark, place) == token:
             fs.delete(spark, place)
 

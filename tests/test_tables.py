@@ -196,6 +196,9 @@ def test_a_claim_is_exclusive_and_a_lost_one_is_taken_over(spark, tmp_path):
             pass
     files.write_text(spark, f"{table.stage}/claim", "a driver that is gone")
     set_modified(spark, table.stage, "claim", 1)
+    with staging.claimed(spark, table, wait=5):
+        pass
+    files.write_text(spark, f"{table.stage}/claim", f"{spark.sparkContext.applicationId}:left by a stopped stream")
     with staging.claimed(spark, table, wait=5):
         pass
     assert not files.exists(spark, f"{table.stage}/claim")
