@@ -208,10 +208,12 @@ def _stage(spark: SparkSession, table: PartitionedTable, rows: DataFrame) -> Non
         rows = rows.withColumn(_BUCKET, table.bucket())
     if _BUCKET in rows.columns:
         keys.append(_BUCKET)
-    if keys:
-        rows.hint("rebalance", *keys).write.partitionBy(*keys).parquet(place)
-    else:
-        rows.hint("rebalance").write.parquet(place)
+    gathered = rows.hint("rebalance", *keys)
+    if table.bucket_by:
+        # The writer sorts by partition and bucket anyhow; the table declares that buckets are sorted.
+        gathered = gathered.sortWithinPartitions(*keys, *table.bucket_by)
+    writer = gathered.write.partitionBy(*keys) if keys else gathered.write
+    writer.parquet(place)
 
 
 def _set_mark(spark: SparkSession, table: PartitionedTable, old: list[str]) -> None:

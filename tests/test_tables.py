@@ -400,6 +400,9 @@ def test_keyed_table_in_the_catalog_holds_one_row_per_key(spark, tmp_path):
     assert stored.count() == stored.select("id", "pt_created_date").distinct().count()
     buckets = {path.rsplit("_", 1)[1].split(".")[0] for path in glob.glob(f"{tmp_path}/keyed/*/*.parquet")}
     assert buckets == {"00000", "00001", "00002", "00003"}
+    for file in glob.glob(f"{tmp_path}/keyed/pt_created_date=2024010*/*.parquet"):
+        ids = [r.id for r in spark.read.parquet(file).select("id").collect()]
+        assert ids == sorted(ids)
     assert upkeep(spark, "ddl_checks.keyed", dt.date(2034, 1, 10))[:1] == ["20240101"]
     assert spark.table("ddl_checks.keyed").filter("pt_created_date = 20240101").isEmpty()
 
