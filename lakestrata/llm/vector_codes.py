@@ -84,16 +84,17 @@ def assign_all(x: np.ndarray, book: Codebook, nearest: int) -> np.ndarray:
     rows = np.arange(len(x))
     state["entry"] = entry
     state["upper"] = _above(squared[rows, entry], off)
-    others = squared.copy()
-    others[rows, entry] = np.inf
-    order = np.argsort(others, axis=1, kind="stable")[:, : nearest + 1]
-    state["next"] = order[:, :nearest]
-    state["lower"] = _below(np.take_along_axis(others, order[:, :nearest], 1), off[:, None])
     count = len(book.exact)
-    if nearest + 1 < count:
-        state["outer"] = _below(others[rows, order[:, nearest]], off)
-    else:
-        state["outer"] = np.inf
+    squared[rows, entry] = np.inf
+    # The nearest others and one more, which bounds all that are left.
+    some = min(nearest + 1, count - 1)
+    order = np.argpartition(squared, max(some - 1, 0), axis=1)[:, :some]
+    far = np.take_along_axis(squared, order, 1)
+    by_far = np.argsort(far, axis=1)
+    order, far = np.take_along_axis(order, by_far, 1), np.take_along_axis(far, by_far, 1)
+    state["next"] = order[:, :nearest]
+    state["lower"] = _below(far[:, :nearest], off[:, None])
+    state["outer"] = _below(far[:, nearest], off) if nearest < some else np.inf
     return state
 
 
