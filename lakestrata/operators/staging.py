@@ -92,16 +92,21 @@ class PartitionedTable:
         wanted: dict[str, set[int | None]] = {}
         for folder, bucket in units:
             wanted.setdefault(folder, set()).add(bucket)
-        found: list[str] = []
+        names = files_in(spark, self, wanted)
+        unnamed = {_folder(name) for name in names if bucket_of(name) is None} if self.buckets else set()
 
-        def look(folder: str) -> None:
-            names = fs.data_files(spark, f"{self.path}/{folder}")
-            of = {name: bucket_of(name) if self.buckets else None for name in names}
-            every = not self.buckets or None in of.values()
-            found.extend(f"{folder}/{name}" for name in names if every or of[name] in wanted[folder])
+        def taken(name: str) -> bool:
+            folder = _folder(name)
+            return not self.buckets or folder in unnamed or bucket_of(name) in wanted[folder]
 
-        fs.for_all(look, wanted)
-        return sorted(found)
+        return [name for name in names if taken(name)]
+
+
+def files_in(spark: SparkSession, table: PartitionedTable, folders: Iterable[str]) -> list[str]:
+    """The files in partition folders, some of which may be missing."""
+    places = {f"{table.path.rstrip('/')}/{folder}" for folder in folders}
+    there = [place for place, found in zip(places, fs.for_all(lambda p: fs.exists(spark, p), places), strict=True) if found]
+    return fs.files_below(spark, table.path, there)
 
 
 def bucket_of(name: str) -> int | None:
@@ -182,10 +187,8 @@ def replace_files(
         if new is None:
             return []
         _stage(spark, table, new.rows)
-        folders = sorted({_folder(f) for f in new.old})
-        names = fs.for_all(lambda folder: set(fs.data_files(spark, f"{table.path}/{folder}")), folders)
-        there = dict(zip(folders, names, strict=True))
-        left = {_folder(f) for f in new.old if f.rpartition("/")[2] not in there[_folder(f)]}
+        there = set(files_in(spark, table, {_folder(f) for f in new.old}))
+        left = {_folder(f) for f in new.old if f not in there}
         for folder in left:
             fs.delete(spark, f"{table.stage}/rows/{folder}")
         _set_mark(spark, table, [f for f in new.old if _folder(f) not in left])
@@ -261,9 +264,8 @@ def _delete_old(spark: SparkSession, table: PartitionedTable, old: list[str]) ->
 
 def _tell_catalog(spark: SparkSession, table: PartitionedTable, came: set[str], went: set[str]) -> None:
     """Drop the partitions that have no file left, and name new ones to the catalog."""
-    lost = sorted(f for f in went - came if f)
-    left = fs.for_all(lambda folder: fs.data_files(spark, f"{table.path}/{folder}"), lost)
-    drop_folders(spark, table, [folder for folder, names in zip(lost, left, strict=True) if not names])
+    lost = {f for f in went - came if f}
+    drop_folders(spark, table, sorted(lost - {_folder(name) for name in files_in(spark, table, lost)}))
     if not table.name:
         return
     new = sorted(f for f in came if f)

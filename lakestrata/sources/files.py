@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
@@ -41,16 +42,19 @@ def move(spark: SparkSession, source: str, target: str) -> None:
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
     """The data files below a folder, by their paths within it; none when it is missing."""
-    system, where = _system(spark, path)
-    if not system.exists(where):
+    return files_below(spark, path, [path]) if exists(spark, path) else []
+
+
+def files_below(spark: SparkSession, top: str, folders: Sequence[str]) -> list[str]:
+    """The data files below some folders that are there, by their paths within ``top``.
+
+    Spark lists them, by a job where there are many, and leaves out what is hidden.
+    """
+    if not folders:
         return []
-    top = place_of(spark, path)
-    found, listing = [], system.listFiles(where, True)
-    while listing.hasNext():
-        name = listing.next().getPath().toUri().getPath()[len(top) + 1 :]
-        if not any(part[0] in "_." and "=" not in part for part in name.split("/")):
-            found.append(name)
-    return sorted(found)
+    found = spark.read.schema("x int").option("recursiveFileLookup", "true").parquet(*folders)
+    start = len(place_of(spark, top)) + 1
+    return sorted(_place(name)[start:] for name in found.inputFiles())
 
 
 def place_of(spark: SparkSession, path: str) -> str:
@@ -58,10 +62,13 @@ def place_of(spark: SparkSession, path: str) -> str:
     return spark._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath().rstrip("/")
 
 
-def within(spark: SparkSession, path: str, uri: str, encoded: bool = True) -> str:
+def within(spark: SparkSession, path: str, uri: str) -> str:
     """The path inside the folder ``path`` of a file that Spark names by ``uri``."""
-    place = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", uri)
-    return (unquote(place) if encoded else place)[len(place_of(spark, path)) + 1 :]
+    return _place(uri)[len(place_of(spark, path)) + 1 :]
+
+
+def _place(uri: str) -> str:
+    return unquote(re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", uri))
 
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
@@ -78,8 +85,13 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
 
 def for_all(work, items: Iterable) -> list:
     """Do the same small file operation for each item, some at a time, and return what each gave."""
-    with ThreadPoolExecutor(_AT_ONCE) as pool:
-        return list(pool.map(work, items))
+    return list(_pool().map(work, items))
+
+
+@cache
+def _pool() -> ThreadPoolExecutor:
+    # Kept: every new thread would open a connection to the JVM, and close it.
+    return ThreadPoolExecutor(_AT_ONCE, thread_name_prefix="files")
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
