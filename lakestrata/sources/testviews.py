@@ -24,8 +24,10 @@ def _money(col: str) -> str:
     return f"CAST(CAST({col} AS DECIMAL(18,2)) AS DECIMAL(38,10))"
 
 
-def _own_value(name: str, dtype: str, at: int, number: str) -> str:
+def _own_value(name: str, dtype: str, at: int, number: str, shared: bool) -> str:
     """A value that no other column of the row has; some are missing."""
+    if shared:
+        return _own_value_of_shared(name, dtype, at)
     if dtype == "string":
         value = f"'{name}-'||CAST({number} AS STRING)"
     elif dtype.startswith("timestamp"):
@@ -37,15 +39,34 @@ def _own_value(name: str, dtype: str, at: int, number: str) -> str:
     return f"CASE WHEN ({number}) % 11 = {at % 11} THEN NULL ELSE {value} END"
 
 
-def _raw_columns(table: DetailTable, given: dict[str, str], number: str) -> str:
+def _own_value_of_shared(name: str, dtype: str, at: int) -> str:
+    """The same value from what ``_SHARED`` holds."""
+    if dtype == "string":
+        value = f"'{name}-'||number_text"
+    elif dtype.startswith("timestamp"):
+        value = f"CAST('2024-01-01 00:00:00' AS TIMESTAMP_NTZ) + INTERVAL {at} HOUR"
+    elif dtype == "boolean":
+        value = f"number_odd = {at % 2}"
+    else:
+        value = f"CAST(number_low + {at}.25 AS {dtype})"
+    return f"CASE WHEN number_turn = {at % 11} THEN NULL ELSE {value} END"
+
+
+# What the own values of a row have in common, computed once. Written out in every
+# column, it makes a method of generated code that the JVM is too large to compile.
+_SHARED = """(SELECT *, CAST({number} AS STRING) AS number_text, ({number}) % 11 AS number_turn,
+  ({number}) % 2 AS number_odd, CAST(({number}) % 1000 AS DECIMAL(18,2)) AS number_low FROM {{rows}}) numbered"""
+
+
+def _raw_columns(table: DetailTable, given: dict[str, str], number: str, shared: bool = False) -> str:
     types = {f.name: f.dataType.simpleString() for f in table.source_schema}
     return ", ".join(
-        f"{given.get(name) or _own_value(name, dtype, at, number)} AS {name}"
+        f"{given.get(name) or _own_value(name, dtype, at, number, shared)} AS {name}"
         for at, (name, dtype) in enumerate(types.items())
     )
 
 
-_PAY = _raw_columns(
+_PAY_GIVEN = (
     PAYMENTS,
     {
         "Id": "o_orderkey",
@@ -61,7 +82,7 @@ _PAY = _raw_columns(
 
 _LINE_ID = "CAST(l_orderkey AS STRING)||'-'||CAST(l_linenumber AS STRING)"
 
-_TXN = _raw_columns(
+_TXN_GIVEN = (
     TRANSACTION_DETAILS,
     {
         "Id": _LINE_ID,
@@ -81,37 +102,33 @@ _EVENT_DAY = f"CASE WHEN event_id % 10 = 0 THEN NULL ELSE {_day('ts')} END"
 _ROW_KIND = """CASE WHEN event_type = 'error' THEN '-D' WHEN event_type = 'click' THEN '-U'
        WHEN event_type = 'signup' THEN '+I' ELSE '+U' END"""
 
-_PAY_FEED = (
-    _raw_columns(
-        PAYMENTS,
-        {
-            "Id": "user_id",
-            "PatronId": "'P'||CAST(user_id AS STRING)",
-            "Amount": _money("value"),
-            "Status": "event_type",
-            "CreatedTime": "ts",
-            "pt_created_date": _EVENT_DAY,
-        },
-        "event_id",
-    )
-    + f", event_id AS _seq, {_ROW_KIND} AS _row_kind"
+_PAY_FEED_GIVEN = (
+    PAYMENTS,
+    {
+        "Id": "user_id",
+        "PatronId": "'P'||CAST(user_id AS STRING)",
+        "Amount": _money("value"),
+        "Status": "event_type",
+        "CreatedTime": "ts",
+        "pt_created_date": _EVENT_DAY,
+    },
+    "event_id",
 )
 
-_TXN_FEED = (
-    _raw_columns(
-        TRANSACTION_DETAILS,
-        {
-            "Id": "CAST(user_id AS STRING)",
-            "PaymentId": "event_id",
-            "Amount": _money("value"),
-            "Channel": "event_type",
-            "CreatedTime": "ts",
-            "pt_created_date": _EVENT_DAY,
-        },
-        "event_id",
-    )
-    + f", {_ROW_KIND} AS _row_kind"
+_TXN_FEED_GIVEN = (
+    TRANSACTION_DETAILS,
+    {
+        "Id": "CAST(user_id AS STRING)",
+        "PaymentId": "event_id",
+        "Amount": _money("value"),
+        "Channel": "event_type",
+        "CreatedTime": "ts",
+        "pt_created_date": _EVENT_DAY,
+    },
+    "event_id",
 )
+_SEQ_AND_KIND = f", event_id AS _seq, {_ROW_KIND} AS _row_kind"
+_KIND = f", {_ROW_KIND} AS _row_kind"
 
 
 # Computed once per row, not once per measure.
@@ -120,7 +137,18 @@ _LINES = """(SELECT *, CAST(l_quantity AS DECIMAL(18,2)) AS quantity,
   CAST(l_partkey % 4 AS INT) AS part_turn, CAST(l_suppkey % 3 AS INT) AS supp_turn FROM {rows}) lines"""
 
 
-def _hand_columns() -> str:
+# Besides, what a turn makes of the measures, once per turn: the measures' code
+# is to stay small enough for the JVM to compile.
+_TURNED_LINES = (
+    "(SELECT *, "
+    + ", ".join(f"CASE WHEN part_turn = {turn} THEN NULL ELSE quantity END AS stake_{turn}" for turn in range(4))
+    + ", "
+    + ", ".join(f"CASE WHEN supp_turn = {turn} THEN NULL ELSE price END AS price_{turn}" for turn in range(3))
+    + f" FROM {_LINES}) turned"
+)
+
+
+def _hand_columns(turned: bool = False) -> str:
     given = {
         "uid": _LINE_ID,
         "game_id": "'  '||CAST(l_orderkey AS STRING)||' '",
@@ -143,6 +171,12 @@ def _hand_columns() -> str:
     for i, (bet, payoff) in enumerate(BET_PAIRS.values()):
         # Every fourth measure is missing and every fourth zero, shifted by one
         # from option to option; every third payoff is missing.
+        if turned:
+            more = f"CAST({i} AS DECIMAL(18,2))"
+            stake = f"CAST(stake_{-i % 4} + {more} AS DECIMAL(18,2))"
+            given[bet] = f"CASE WHEN part_turn = {(1 - i) % 4} THEN CAST(0 AS DECIMAL(18,2)) ELSE {stake} END"
+            given[payoff] = f"CAST(price_{-i % 3} + {more} AS DECIMAL(18,2))"
+            continue
         given[bet] = (
             f"CAST(CASE WHEN part_turn = {-i % 4} THEN NULL WHEN part_turn = {(1 - i) % 4} THEN 0"
             f" ELSE quantity + {i} END AS DECIMAL(18,2))"
@@ -160,15 +194,29 @@ _MODEL_SRC = """event_id AS transaction_id, user_id, CAST(value AS DECIMAL(18,2)
 
 # view: (test table, select list, what it selects from)
 VIEWS = {
-    "pay": ("orders", _PAY, "{rows}"),
-    "txn": ("lineitem", _TXN, "{rows}"),
-    "pay_feed": ("events", _PAY_FEED, "{rows}"),
-    "txn_feed": ("events", _TXN_FEED, "{rows}"),
+    "pay": ("orders", _raw_columns(*_PAY_GIVEN), "{rows}"),
+    "txn": ("lineitem", _raw_columns(*_TXN_GIVEN), "{rows}"),
+    "pay_feed": ("events", _raw_columns(*_PAY_FEED_GIVEN) + _SEQ_AND_KIND, "{rows}"),
+    "txn_feed": ("events", _raw_columns(*_TXN_FEED_GIVEN) + _KIND, "{rows}"),
     "wide": ("lineitem", _hand_columns(), _LINES),
     "feed": ("events", _FEED, "{rows}"),
     "model_src": ("events", _MODEL_SRC, "{rows}"),
 }
 
+
+def _shared(table: DetailTable, given: dict[str, str], number: str, more: str = "") -> tuple[str, str]:
+    return _raw_columns(table, given, number, shared=True) + more, _SHARED.format(number=number)
+
+
+# The same rows by a select list and an origin that compute once what columns share.
+_SPARK_VIEWS = {
+    "pay": _shared(*_PAY_GIVEN),
+    "txn": _shared(*_TXN_GIVEN),
+    "pay_feed": _shared(*_PAY_FEED_GIVEN, _SEQ_AND_KIND),
+    "txn_feed": _shared(*_TXN_FEED_GIVEN, _KIND),
+    "wide": (_hand_columns(turned=True), _TURNED_LINES),
+}
+
 TABLE_SCHEMAS = {
     "orders": (
         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
@@ -195,7 +243,7 @@ def duckdb_view(name: str) -> str:
 
 def view_of(rows: DataFrame, name: str) -> DataFrame:
     """The view over rows of its test table, wherever they are read from."""
-    _, columns, origin = VIEWS[name]
+    columns, origin = _SPARK_VIEWS.get(name, VIEWS[name][1:])
     return rows.sparkSession.sql(f"SELECT {columns} FROM {origin}", rows=rows)
 
 

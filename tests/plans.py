@@ -13,3 +13,10 @@ def optimized(df) -> str:
 
 def same_rows(left, right) -> bool:
     return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+def largest_method(df) -> int:
+    """Bytes of the largest method of the generated code. The JVM does not compile one beyond 8000."""
+    debug = getattr(getattr(df.sparkSession._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.length()))
