@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
@@ -39,6 +40,7 @@ from lakestrata.plans.ratings import bets, no_bets
 from lakestrata.plans.views import late_minutes
 from lakestrata.plans.views import page_views_per_minute as views_per_minute
 from lakestrata.session import work_dir
+from lakestrata.sources import files as fs
 from lakestrata.sources.readers import Sources, scan, set_modified
 from lakestrata.sources.tables import Keyed, create_database, create_table, create_table_as, evolve_table, insert_into
 from lakestrata.sources.testviews import table_rows, table_schema, view, view_of
@@ -231,9 +233,19 @@ def _event_files(spark: SparkSession, sf_dir: str, folder: str, batches) -> None
         _batch(events, "event_id", i).write.parquet(f"{folder}/batch-{i}")
 
 
-def _event_stream(spark: SparkSession, folder: str, name: str, files: int | None = 1) -> DataFrame:
-    rows = scan(spark, f"{folder}/batch-*", table_schema("events"), streaming=True, max_files_per_batch=files)
-    return view_of(rows, name)
+def _raw_event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The event files as a stream that takes a batch at a time, by however many tasks it was written.
+
+    A batch of the stream costs a merge into the whole table, so their number must
+    not grow with the number of files.
+    """
+    files = Counter(name.partition("/")[0] for name in fs.data_files(spark, folder))
+    most = max(files.values(), default=1)
+    return scan(spark, f"{folder}/batch-*", table_schema("events"), streaming=True, max_files_per_batch=most)
+
+
+def _event_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return view_of(_raw_event_stream(spark, folder), name)
 
 
 def late_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +267,7 @@ def late_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _keyed_load(folder: str, raw: str, transform, target: UpsertTarget) -> Load:
-    """A load of the event files in ``folder``, one at a time, merged by key."""
+    """A load of the event files in ``folder``, a batch of them at a time, merged by key."""
     return Load(
         name=f"{raw}-{uuid.uuid4().hex[:8]}",
         source=lambda session: _event_stream(session, f"{folder}/raw", raw),
@@ -381,9 +393,7 @@ def shared_position_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = Sink("log", lambda rows: view_of(rows, "feed"), append_to=f"{folder}/log")
     load = SharedLoad(
         name=f"shared-{uuid.uuid4().hex[:8]}",
-        source=lambda session: scan(
-            session, f"{folder}/raw/batch-*", table_schema("events"), streaming=True, max_files_per_batch=1
-        ),
+        source=lambda session: _raw_event_stream(session, f"{folder}/raw"),
         sinks=(
             Sink("payments", lambda rows: payment_changes(view_of(rows, "pay_feed")), upsert_into=paid),
             Sink("transaction_details", details, upsert_into=detailed),

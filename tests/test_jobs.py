@@ -17,11 +17,19 @@ from lakestrata.operators import append_changes, conform_with_rejects, finished_
 from lakestrata.operators.ranges import cut_ranges
 from lakestrata.plans.ewallet import PAYMENTS, to_detail
 from lakestrata.plans.graph import MODELS, Model, lineage, run_graph, run_order
-from lakestrata.queries import AS_OF, FEED_KEYS, FEED_SCHEMA, PAYMENT_KEYED, feed_target, spending_models
+from lakestrata.queries import (
+    AS_OF,
+    FEED_KEYS,
+    FEED_SCHEMA,
+    PAYMENT_KEYED,
+    _raw_event_stream,
+    feed_target,
+    spending_models,
+)
 from lakestrata.sources import files as fs
 from lakestrata.sources.readers import scan
 from lakestrata.sources.tables import create_database, create_table, evolve_table, insert_into
-from lakestrata.sources.testviews import view
+from lakestrata.sources.testviews import table_schema, view
 from lakestrata.streaming import (
     Follower,
     Load,
@@ -130,6 +138,19 @@ def test_a_job_lost_between_sinks_leaves_no_difference(spark, tmp_path, feed):
     assert read_sink(spark, load.sinks[0]).count() == feed.count()
 
 
+def test_a_stream_of_arrivals_takes_one_at_a_time_by_however_many_tasks_it_was_written(spark, tmp_path):
+    schema = table_schema("events")
+    for at in (1, 0):
+        rows = spark.createDataFrame([(2 * n + at, None, 1, "view", 1.0, None) for n in range(12)], schema)
+        rows.repartition(3).write.parquet(f"{tmp_path}/raw/batch-{at}")
+    assert len(fs.data_files(spark, f"{tmp_path}/raw")) == 6
+    taken = []
+    stream = _raw_event_stream(spark, f"{tmp_path}/raw").writeStream.trigger(availableNow=True)
+    stream = stream.option("checkpointLocation", f"{tmp_path}/checkpoint")
+    stream.foreachBatch(lambda rows, _: taken.append(sorted(r["event_id"] for r in rows.collect()))).start().awaitTermination()
+    assert taken == [list(range(1, 24, 2)), list(range(0, 24, 2))]
+
+
 def test_sinks_need_a_place_and_a_name(spark, tmp_path):
     sink = Sink("a", lambda rows: rows, append_to=str(tmp_path / "a"))
     load = SharedLoad("x", lambda s: s.readStream.format("rate").load(), (sink, sink), str(tmp_path / "c"))
