@@ -70,22 +70,25 @@ def merge_winners(
 ) -> DataFrame:
     """``apply_changes`` for changes of any size that already hold one row per key.
 
-    Each side is shuffled once, on keys unique in it, so no task runs hot.
+    Each side is shuffled once, on keys unique in it, so no task runs hot. A row
+    is chosen as a whole: a choice per column makes a method of generated code
+    that is too large for the JVM to compile.
     """
-    stored = base.withColumn("_stored", F.lit(True)).alias("old")
-    arrived = winners.withColumn("_arrived", F.lit(True)).alias("new")
-    both = stored.join(arrived, _same(_side("old", keys), _side("new", keys)), "full")
-    newer = _version(_side("new", _columns(seq))) > _version(_side("old", _columns(seq)))
-    take_new = F.col("_arrived").isNotNull() & (F.col("_stored").isNull() | newer)
-
-    def merged(column: str) -> Column:
-        old, new = F.col(f"old.`{column}`"), F.col(f"new.`{column}`")
-        if column in keep_first:
-            live = F.col("_stored").isNotNull() & ~F.col(f"old.`{kind}`").eqNullSafe(DELETE)
-            new = F.coalesce(F.when(live, old), new)
-        return F.when(take_new, new).otherwise(old).alias(column)
-
-    return both.select(*[merged(column) for column in base.columns])
+    new_keys, old_keys = [f"_new_{i}" for i in range(len(keys))], [f"_old_{i}" for i in range(len(keys))]
+    stored = base.select(*_renamed(keys, old_keys), F.struct(*_quoted(base.columns)).alias("_old"))
+    arrived = winners.select(*_renamed(keys, new_keys), F.struct(*_quoted(base.columns)).alias("_new"))
+    both = stored.join(arrived, _same(old_keys, new_keys), "full")
+    newer = _version(_side("_new", _columns(seq))) > _version(_side("_old", _columns(seq)))
+    take_new = F.col("_new").isNotNull() & (F.col("_old").isNull() | newer)
+
+    new = F.col("_new")
+    if keep_first:
+        live = F.col("_old").isNotNull() & ~F.col(f"_old.`{kind}`").eqNullSafe(DELETE)
+        fields = {column: F.col(f"_new.`{column}`") for column in base.columns}
+        for column in keep_first:
+            fields[column] = F.coalesce(F.when(live, F.col(f"_old.`{column}`")), fields[column])
+        new = F.struct(*[value.alias(column) for column, value in fields.items()])
+    return both.select(F.when(take_new, new).otherwise(F.col("_old")).alias("_row")).select("_row.*")
 
 
 def merge_few_winners(
@@ -143,6 +146,10 @@ def read_current(
     return base.filter(~F.col(kind).eqNullSafe(DELETE)).drop(kind, *hide)
 
 
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{name}`" for name in names]
+
+
 def _side(side: str, names: Sequence[str]) -> list[str]:
     return [f"{side}.`{name}`" for name in names]
 

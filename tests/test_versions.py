@@ -4,7 +4,7 @@ import random
 
 import pytest
 from conftest import SF
-from plans import physical
+from plans import largest_method, physical
 
 from lakestrata.operators import apply_changes, latest_by_key, read_current
 from lakestrata.operators.versions import (
@@ -13,6 +13,8 @@ from lakestrata.operators.versions import (
     merge_winners,
     winning_changes,
 )
+from lakestrata.plans.ewallet import TRANSACTION_DETAILS, keyed_target
+from lakestrata.session import session_conf
 from lakestrata.sources.testviews import view
 from pyspark.sql import functions as F
 
@@ -153,3 +155,18 @@ def test_lookup_size_counts_keys_and_sequences(spark):
     rows = spark.sql("SELECT * FROM VALUES ('abcd', 1), (NULL, 10) AS t(k, s)")
     assert lookup_bytes(rows, ["k"], "s") == (64 + 4 + 1) + (64 + 2)
     assert lookup_bytes(rows.limit(0), ["k"], "s") == 0
+
+
+def test_a_merge_of_wide_rows_has_no_method_too_large_to_compile(spark, tmp_path):
+    target = keyed_target(TRANSACTION_DETAILS, str(tmp_path / "table"), seq=("payment_id",))
+    spark.createDataFrame([], target.schema).write.parquet(f"{tmp_path}/rows")
+    rows = [spark.read.parquet(f"{tmp_path}/rows") for _ in range(2)]
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        assert largest_method(merge_winners(*rows, target.keys, target.seq, target.kind)) < 8000
+
+
+def test_a_full_merge_keeps_first_values_of_live_rows_only(spark):
+    base = spark.createDataFrame([(1, 1, 5, "+I", "a"), (2, 1, 5, "-D", "b"), (3, 1, 9, "+I", "c"), (5, 1, 1, "+I", None)], SCHEMA)
+    new = spark.createDataFrame([(1, 1, 6, "+U", "x"), (2, 1, 6, "+U", "y"), (3, 1, 6, "+U", "z"), (4, 1, 1, "+I", "n"), (5, 1, 2, "+U", "o")], SCHEMA)
+    kept = {tuple(r) for r in merge_winners(base, new, KEYS, "seq", keep_first=("value",)).collect()}
+    assert kept == {(1, 1, 6, "+U", "a"), (2, 1, 6, "+U", "y"), (3, 1, 9, "+I", "c"), (4, 1, 1, "+I", "n"), (5, 1, 2, "+U", "o")}
