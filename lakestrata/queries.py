@@ -222,6 +222,8 @@ def resumed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     load = _append_load(spark, sf_dir, "wide", bets, work_dir(spark, "stream-bets"))
+    # The raw rows are evened out: as wide ones they would take several times the bytes.
+    load = replace(load, source=lambda session: view(session, sf_dir, "wide", streaming=True, even=True), even=True)
     run_loads(spark, [load], bounded=True)
     return spark.read.parquet(load.append_to)
 

@@ -258,12 +258,17 @@ def store_views(spark: SparkSession, sf_dir: str, folder: str, files: int = 8) -
     _STORED[sf_dir] = folder
 
 
-def view(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
-    """The view over the tables in ``sf_dir``, bounded or as a stream; read from its folder once it is stored."""
+def view(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False, even: bool = False) -> DataFrame:
+    """The view over the tables in ``sf_dir``, bounded or as a stream; read from its folder once it is stored.
+
+    ``even`` spreads the stored rows evenly over the tasks, whatever their files and row groups.
+    """
     if sf_dir in _STORED:
         place = f"{_STORED[sf_dir]}/{name}"
-        return scan(spark, place, spark.read.parquet(place).schema, streaming)
-    return view_of(table_rows(spark, sf_dir, VIEWS[name][0], streaming), name)
+        rows = scan(spark, place, spark.read.parquet(place).schema, streaming)
+        return rows.hint("rebalance") if even else rows
+    rows = table_rows(spark, sf_dir, VIEWS[name][0], streaming)
+    return view_of(rows.hint("rebalance") if even else rows, name)
 
 
 def table_rows(spark: SparkSession, sf_dir: str, table: str, streaming: bool = False) -> DataFrame:

@@ -18,7 +18,8 @@ class Load:
 
     The sink is a folder to append to (``append_to``, exactly once) or a keyed
     table (``upsert_into``, repeated batches change nothing). The checkpoint is
-    the load's identity: it holds the source position.
+    the load's identity: it holds the source position. ``even`` says that the
+    source has spread its rows evenly already, where they were smaller.
     """
 
     name: str
@@ -29,6 +30,7 @@ class Load:
     partition: str | None = None
     upsert_into: UpsertTarget | None = None
     interval: str = "2 minutes"
+    even: bool = False
 
 
 def start_load(spark: SparkSession, load: Load, bounded: bool = False) -> StreamingQuery:
@@ -36,7 +38,7 @@ def start_load(spark: SparkSession, load: Load, bounded: bool = False) -> Stream
     if (load.append_to is None) == (load.upsert_into is None):
         raise ValueError(f"load {load.name} needs exactly one sink")
     source = load.source(spark)
-    if load.append_to and not load.partition:
+    if load.append_to and not load.partition and not load.even:
         # Files follow the size of the data and not the input's files or row
         # groups; before the transform, which may make many rows of one.
         source = source.hint("rebalance")
@@ -50,6 +52,8 @@ def start_load(spark: SparkSession, load: Load, bounded: bool = False) -> Stream
     if load.append_to:
         if load.partition:
             writer = writer.partitionBy(load.partition)
+        # What a transform repeats in many rows of one packs better than by the default.
+        writer = writer.option("compression", "zstd")
         return writer.format("parquet").outputMode("append").start(load.append_to)
 
     def merge(batch: DataFrame, batch_id: int) -> None:

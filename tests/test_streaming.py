@@ -83,6 +83,20 @@ def test_unpivot_stream_is_written_by_several_tasks(spark, tmp_path):
     assert len(glob.glob(f"{load.append_to}/*.parquet")) > 1
 
 
+def test_an_even_source_is_shuffled_once_as_it_was_stored(spark, tmp_path):
+    source = lambda s: view(s, SF, "wide", streaming=True, even=True)
+    load = replace(append("even", tmp_path, source, bets), even=True)
+    query = start_load(spark, load, bounded=True)
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("REBALANCE_PARTITIONS_BY_NONE") == 1
+    assert "l_quantity" in final and "bet_chip" not in final.split("REBALANCE_PARTITIONS_BY_NONE")[1]
+    files = glob.glob(f"{load.append_to}/*.parquet")
+    assert files and all(".zstd." in file for file in files)
+    assert same_rows(spark.read.parquet(load.append_to), bets(view(spark, SF, "wide")))
+
+
 @pytest.mark.parametrize("age", [1, 30, 3000])
 def test_files_with_old_time_stamps_are_taken(spark, tmp_path, age):
     source = str(tmp_path / "in")
