@@ -137,52 +137,72 @@ _LINES = """(SELECT *, CAST(l_quantity AS DECIMAL(18,2)) AS quantity,
   CAST(l_partkey % 4 AS INT) AS part_turn, CAST(l_suppkey % 3 AS INT) AS supp_turn FROM {rows}) lines"""
 
 
-# Besides, what a turn makes of the measures, once per turn: the measures' code
-# is to stay small enough for the JVM to compile.
-_TURNED_LINES = (
-    "(SELECT *, "
-    + ", ".join(f"CASE WHEN part_turn = {turn} THEN NULL ELSE quantity END AS stake_{turn}" for turn in range(4))
-    + ", "
-    + ", ".join(f"CASE WHEN supp_turn = {turn} THEN NULL ELSE price END AS price_{turn}" for turn in range(3))
-    + f" FROM {_LINES}) turned"
-)
+_HAND = {
+    "uid": _LINE_ID,
+    "game_id": "'  '||CAST(l_orderkey AS STRING)||' '",
+    "property": "CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_linestatus END",
+    "box_number": "l_linenumber",
+    "rating_id": "'R'||CAST(l_orderkey % 97 AS STRING)",
+    "game_info_uid": "CAST(l_partkey AS STRING)",
+    "dt": "CAST(year(l_shipdate) AS STRING)",
+    "game_start_datetime": "l_shipdate + INTERVAL 1 HOUR",
+    "game_finish_datetime": "l_shipdate + INTERVAL 2 HOUR",
+    "hardware_id": "' H'||CAST(l_suppkey AS STRING)||'   '",
+    "operation_id": "CASE WHEN l_linenumber = 3 THEN NULL ELSE 'O'||CAST(l_linenumber AS STRING) END",
+    "patron_id": "'P'||CAST(l_partkey AS STRING)",
+    "create_datetime": "l_shipdate + INTERVAL 3 HOUR",
+    "seated_patron_exists": "l_partkey % 2 = 0",
+    "bet_chip_sum": "CAST(CASE WHEN l_linenumber % 5 = 0 THEN 0 ELSE quantity END AS DECIMAL(18,2))",
+    "pay_off_sum": "CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE CAST(price + 0.5 AS DECIMAL(18,2)) END",
+    "chip_set_name": "CASE WHEN l_returnflag = 'A' THEN 'TOTAL' ELSE l_returnflag END",
+}
+
+
+def _listed(columns: dict[str, str]) -> str:
+    return ", ".join(f"{expression} AS {name}" for name, expression in columns.items())
 
 
-def _hand_columns(turned: bool = False) -> str:
-    given = {
-        "uid": _LINE_ID,
-        "game_id": "'  '||CAST(l_orderkey AS STRING)||' '",
-        "property": "CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_linestatus END",
-        "box_number": "l_linenumber",
-        "rating_id": "'R'||CAST(l_orderkey % 97 AS STRING)",
-        "game_info_uid": "CAST(l_partkey AS STRING)",
-        "dt": "CAST(year(l_shipdate) AS STRING)",
-        "game_start_datetime": "l_shipdate + INTERVAL 1 HOUR",
-        "game_finish_datetime": "l_shipdate + INTERVAL 2 HOUR",
-        "hardware_id": "' H'||CAST(l_suppkey AS STRING)||'   '",
-        "operation_id": "CASE WHEN l_linenumber = 3 THEN NULL ELSE 'O'||CAST(l_linenumber AS STRING) END",
-        "patron_id": "'P'||CAST(l_partkey AS STRING)",
-        "create_datetime": "l_shipdate + INTERVAL 3 HOUR",
-        "seated_patron_exists": "l_partkey % 2 = 0",
-        "bet_chip_sum": "CAST(CASE WHEN l_linenumber % 5 = 0 THEN 0 ELSE quantity END AS DECIMAL(18,2))",
-        "pay_off_sum": "CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE CAST(price + 0.5 AS DECIMAL(18,2)) END",
-        "chip_set_name": "CASE WHEN l_returnflag = 'A' THEN 'TOTAL' ELSE l_returnflag END",
-    }
+def _hand_columns() -> str:
+    given = dict(_HAND)
     for i, (bet, payoff) in enumerate(BET_PAIRS.values()):
         # Every fourth measure is missing and every fourth zero, shifted by one
         # from option to option; every third payoff is missing.
-        if turned:
-            more = f"CAST({i} AS DECIMAL(18,2))"
-            stake = f"CAST(stake_{-i % 4} + {more} AS DECIMAL(18,2))"
-            given[bet] = f"CASE WHEN part_turn = {(1 - i) % 4} THEN CAST(0 AS DECIMAL(18,2)) ELSE {stake} END"
-            given[payoff] = f"CAST(price_{-i % 3} + {more} AS DECIMAL(18,2))"
-            continue
         given[bet] = (
             f"CAST(CASE WHEN part_turn = {-i % 4} THEN NULL WHEN part_turn = {(1 - i) % 4} THEN 0"
             f" ELSE quantity + {i} END AS DECIMAL(18,2))"
         )
         given[payoff] = f"CASE WHEN supp_turn = {-i % 3} THEN NULL ELSE CAST(price + {i} AS DECIMAL(18,2)) END"
-    return ", ".join(f"{expression} AS {name}" for name, expression in given.items())
+    return _listed(given)
+
+
+# What a turn leaves of the measures, once per turn.
+_TURNED_LINES = (
+    "(SELECT *, "
+    + ", ".join(
+        f"CASE WHEN part_turn IN ({turn}, {(turn + 1) % 4}) THEN NULL ELSE quantity END AS stake_{turn}"
+        for turn in range(4)
+    )
+    + ", "
+    + ", ".join(f"CASE WHEN supp_turn = {turn} THEN NULL ELSE price END AS price_{turn}" for turn in range(3))
+    + f" FROM {_LINES}) turned"
+)
+
+
+def _measures(name: str, turns: int) -> str:
+    """The measures of all options as one array: a sum in each column makes a method too large for the JVM."""
+    by_option = ", ".join(f"{name}_{-i % turns}" for i in range(len(BET_PAIRS)))
+    added = "CAST(measure + CAST(option AS DECIMAL(18,2)) AS DECIMAL(18,2))"
+    return f"transform(array({by_option}), (measure, option) -> {added})"
+
+
+def _hands_by_arrays() -> tuple[str, str]:
+    """Select list and origin of the same hands, their measures taken out of two arrays."""
+    arrays = {"stakes": _measures("stake", 4), "payoffs": _measures("price", 3), "turn": "part_turn"}
+    given = {name: name for name in _HAND}
+    for i, (bet, payoff) in enumerate(BET_PAIRS.values()):
+        given[bet] = f"CASE WHEN turn = {(1 - i) % 4} THEN CAST(0 AS DECIMAL(18,2)) ELSE stakes[{i}] END"
+        given[payoff] = f"payoffs[{i}]"
+    return _listed(given), f"(SELECT {_listed(_HAND | arrays)} FROM {_TURNED_LINES}) hands"
 
 
 _FEED = f"""user_id AS id, {_day('ts')} AS pt_created_date, event_id AS seq,
@@ -214,7 +234,7 @@ _SPARK_VIEWS = {
     "txn": _shared(*_TXN_GIVEN),
     "pay_feed": _shared(*_PAY_FEED_GIVEN, _SEQ_AND_KIND),
     "txn_feed": _shared(*_TXN_FEED_GIVEN, _KIND),
-    "wide": (_hand_columns(turned=True), _TURNED_LINES),
+    "wide": _hands_by_arrays(),
 }
 
 TABLE_SCHEMAS = {
